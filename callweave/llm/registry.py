@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callweave.llm import quality
+from callweave.llm import mixing, quality
 from callweave.llm._shared import prepare, table
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
@@ -37,9 +37,34 @@ FROM b
 """
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT + 1]::DOUBLE AS weight, 1.5 * sum(source_size) OVER () AS budget FROM s),
+o AS (SELECT *, 2.0 * source_size AS most, coalesce(sum(2.0 * source_size) OVER a, 0) AS before, sum(weight) OVER () - coalesce(sum(weight) OVER a, 0) AS open_weight FROM w
+  WINDOW a AS (ORDER BY 2.0 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, (budget - before) / open_weight * weight > most AS is_full FROM o),
+l AS (SELECT (max(budget) - coalesce(sum(most) FILTER (is_full), 0)) / sum(weight) FILTER (NOT is_full) AS level FROM f),
+t AS (SELECT source, source_size, CASE WHEN is_full THEN most ELSE level * weight END AS target FROM f, l),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
+u AS (SELECT d.doc_id, d.source, d.size, rate, source_size, target, k,
+  ('0x' || substr(md5((k // 4) || ':' || coalesce(doc_id::VARCHAR, 'null')), (k % 4)::INT * 8 + 1, 8))::BIGINT / 4294967296.0 AS draw
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source, (SELECT unnest(range(0, 16)) AS k)),
+e AS (SELECT source, k, abs(coalesce(sum(size) FILTER (draw < rate - floor(rate)), 0) - max((rate - floor(rate)) * source_size)) AS off FROM u GROUP BY source, k),
+b AS (SELECT source, k FROM e QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, k) = 1)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source AND u.k = b.k
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_quality_rules": op10_quality_rules}
+    return {"op3_mix_sources": op3_mix_sources, "op10_quality_rules": op10_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": OP10_SQL}
+    return {"op3_mix_sources": OP3_SQL, "op10_quality_rules": OP10_SQL}
