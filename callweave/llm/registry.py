@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callweave.llm import mixing, quality
+from callweave.llm import mixing, packing, quality
 from callweave.llm._shared import prepare, table
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
 
 
+def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(prepare(spark), sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs).select("doc_id", *COUNTS, "base_failed", "kept")
@@ -63,7 +67,7 @@ FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source AND u.k = b.k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_mix_sources": op3_mix_sources, "op10_quality_rules": op10_quality_rules}
+    return {"op3_mix_sources": op3_mix_sources, "op9_pack_sequences": op9_pack_sequences, "op10_quality_rules": op10_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
