@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from callweave.llm import mixing, packing, quality
-from callweave.llm._shared import prepare, table
+from callweave.llm import mixing, packing, quality, rollup, secrets
+from callweave.llm._shared import materialise, prepare, table
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(prepare(spark), sf_dir, "documents"))
+
+
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(prepare(spark), sf_dir, "documents"))
 
@@ -41,6 +46,22 @@ FROM b
 """
 
 
+def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three commits and a replay: guesses inserted, guesses revised to counts, documents without tokens deleted."""
+    counts = materialise(rollup.token_counts(table(prepare(spark), sf_dir, "documents")), "token-counts")
+    totals = rollup.Rollup(spark)
+    inserts = counts.select(*rollup.KEYS, F.lit("insert").alias("op"), F.col("guess").alias("tokens"), F.lit(0).alias("was"))
+    revised = counts.select(*rollup.KEYS, F.lit("revise").alias("op"), "tokens", F.col("guess").alias("was"))
+    deletes = counts.where("tokens = 0").select(*rollup.KEYS, F.lit("delete").alias("op"), "tokens", F.lit(0).alias("was"))
+    totals.commit("1-guesses", inserts)
+    totals.commit("2-counts", revised)
+    totals.compact()
+    totals.commit("2-counts", revised)
+    totals.commit("3-empty", deletes)
+    totals.commit("3-empty", deletes)
+    return totals.totals()
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -67,7 +88,7 @@ FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source AND u.k = b.k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_mix_sources": op3_mix_sources, "op9_pack_sequences": op9_pack_sequences, "op10_quality_rules": op10_quality_rules}
+    return {f.__name__: f for f in (op2_token_rollup, op3_mix_sources, op6_secret_scan, op9_pack_sequences, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
