@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import mixing, packing, quality, rollup, secrets
+from callweave.llm import mixing, neardup, packing, quality, rollup, secrets
 from callweave.llm._shared import materialise, prepare, table
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
@@ -17,6 +17,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(prepare(spark), sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(table(prepare(spark), sf_dir, "documents"))
+
+
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(prepare(spark), sf_dir, "documents"))
 
@@ -88,7 +92,7 @@ FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source AND u.k = b.k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_rollup, op3_mix_sources, op6_secret_scan, op9_pack_sequences, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_token_rollup, op3_mix_sources, op6_secret_scan, op8_near_duplicates, op9_pack_sequences, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
