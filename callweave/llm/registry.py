@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import langid, mixing, neardup, packing, quality, rollup, secrets, toxicity
+from callweave.llm import langid, mainhtml, mixing, neardup, packing, quality, rollup, secrets, toxicity
 from callweave.llm._shared import materialise, prepare, table
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
@@ -17,6 +17,10 @@ def op4_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(prepare(spark), sf_dir, "documents"))
 
 
+def op5_main_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainhtml.extract(table(prepare(spark), sf_dir, "pages"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(prepare(spark), sf_dir, "documents"))
 
@@ -101,7 +105,7 @@ FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source AND u.k = b.k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_rollup, op3_mix_sources, op4_language_spans, op6_secret_scan, op7_toxicity, op8_near_duplicates, op9_pack_sequences, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_token_rollup, op3_mix_sources, op4_language_spans, op5_main_html, op6_secret_scan, op7_toxicity, op8_near_duplicates, op9_pack_sequences, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
