@@ -1,6 +1,6 @@
 """Near-duplicate documents by banded MinHash with sequential Bayesian verification.
 
-1. Each text becomes a set of hashed word shingles, a signature of BANDS * ROWS
+1. Each text becomes a set of hashed word shingles, a signature of bands * rows
    minima and a key of its word sequence. Texts with equal keys share one node.
 2. Nodes that agree on a band share a bucket. In each bucket all nodes are
    compared with one pivot, the smallest: as many pairs as nodes.
@@ -13,8 +13,8 @@
    buckets list those pairs; large ones are cut into blocks that are compared
    inside a task, which gives back links only. No bucket is capped.
 
-A pair at the threshold shares no band with probability (1 - t^ROWS)^BANDS, 2e-6
-at 0.85; sets are compared by 64-bit shingle hashes.
+A pair at the threshold t shares no band with probability (1 - t^rows)^bands, 2e-6
+for either setting; sets are compared by 64-bit shingle hashes.
 
 Defined results: null, empty and blank texts have no shingles and are linked with
 nothing; rows that repeat a doc_id are one document, and all get its component;
@@ -25,6 +25,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -36,17 +38,33 @@ from pyspark.sql import functions as F
 
 from callweave.llm._shared import materialise
 
-WORDS = 3
-#: Least similarity as a fraction of hundredths: 100 * intersection >= PERCENT * union.
-PERCENT = 85
-ROWS, BANDS = 6, 28
 #: Posterior probability below which a pair is given up.
 MISS = 1e-7
-#: Signature places compared at a time.
-BATCH = 28
 #: Buckets with more pairs than this are compared in blocks of so many nodes a side.
 PAIRS_LISTED, BLOCK = 256, 512
 
+
+
+@dataclass(frozen=True)
+class Settings:
+    """Words of a shingle; least similarity, 100 * intersection >= percent * union; rows and number of bands.
+
+    Signatures are compared a band's number of places at a time."""
+
+    words: int = 3
+    percent: int = 85
+    rows: int = 6
+    bands: int = 28
+
+    @property
+    def places(self) -> int:
+        return self.rows * self.bands
+
+
+THREE_WORDS = Settings()
+#: What holds where nothing else is said: five words, 0.8.
+FIVE_WORDS = Settings(words=5, percent=80, rows=5, bands=34)
+
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _SHIFT = np.uint64(32)
@@ -75,7 +93,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(words: list[bytes], width: int = WORDS) -> np.ndarray:
+def shingle_set(words: list[bytes], width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; fewer words than `width` are one shingle."""
     if not words:
         return np.zeros(0, np.uint64)
@@ -88,23 +106,24 @@ def shingle_set(words: list[bytes], width: int = WORDS) -> np.ndarray:
     return np.unique(h)
 
 
-def _multipliers() -> np.ndarray:
-    return np.random.default_rng(85).integers(1, 2**63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
+@lru_cache(maxsize=4)
+def _multipliers(places: int) -> np.ndarray:
+    return np.random.default_rng(85).integers(1, 2**63, places, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray], how: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(signatures as uint16, band keys as int64) of non-empty sets."""
     flat, starts = np.concatenate(sets), np.cumsum([0, *(len(s) for s in sets[:-1])])
-    full = np.empty((len(sets), ROWS * BANDS), np.uint64)
-    for k, a in enumerate(_multipliers()):
+    full = np.empty((len(sets), how.places), np.uint64)
+    for k, a in enumerate(_multipliers(how.places)):
         full[:, k] = np.minimum.reduceat((flat * a) >> _SHIFT, starts)
-    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64) * _K[1], (len(sets), 1))
-    for k in range(ROWS):
-        keys = _mix(keys * _K[0] + full[:, k::ROWS])
+    keys = np.tile(np.arange(1, how.bands + 1, dtype=np.uint64) * _K[1], (len(sets), 1))
+    for k in range(how.rows):
+        keys = _mix(keys * _K[0] + full[:, k :: how.rows])
     return (full >> np.uint64(16)).astype(np.uint16), keys.astype(np.int64)
 
 
-def least_matches(places: int, percent: int = PERCENT, miss: float = MISS) -> int:
+def least_matches(places: int, percent: int, miss: float = MISS) -> int:
     """Fewest matches in so many places at which P(similarity >= t) under a uniform prior is not below `miss`."""
     t, tail = percent / 100, 0.0
     for m in range(places + 1):
@@ -114,39 +133,41 @@ def least_matches(places: int, percent: int = PERCENT, miss: float = MISS) -> in
     return places
 
 
-_STEPS = [(k, least_matches(k + BATCH)) for k in range(0, ROWS * BANDS, BATCH)]
+@lru_cache(maxsize=4)
+def _steps(how: Settings) -> list[tuple[int, int]]:
+    return [(k, least_matches(k + how.bands, how.percent)) for k in range(0, how.places, how.bands)]
 
 
-def surviving(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def surviving(a: np.ndarray, b: np.ndarray, how: Settings) -> np.ndarray:
     """Indexes of the row pairs of two signature matrices that no batch prunes."""
     left, matches = np.arange(len(a)), np.zeros(len(a), np.int32)
-    for start, least in _STEPS:
-        matches += (a[left, start : start + BATCH] == b[left, start : start + BATCH]).sum(1, dtype=np.int32)
+    for start, least in _steps(how):
+        matches += (a[left, start : start + how.bands] == b[left, start : start + how.bands]).sum(1, dtype=np.int32)
         ok = matches >= least
         left, matches = left[ok], matches[ok]
     return left
 
 
-def _linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return bool(both) and 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, ROWS * BANDS)
+def _matrix(column, how: Settings) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, how.places)
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, how: Settings) -> DataFrame:
     """(doc_id, n_shingles, key, sig, bands) of docs (doc_id, text); key, sig and bands are null without shingles."""
 
     def run(batches):
         for batch in batches:
             words = [split_words(t.as_py()) for t in batch.column("text")]
-            sets = [shingle_set(w) for w in words]
+            sets = [shingle_set(w, how.words) for w in words]
             some = [k for k, s in enumerate(sets) if len(s)]
             sig, bands, keys = [None] * len(sets), [None] * len(sets), [None] * len(sets)
             if some:
-                s, b = signatures([sets[k] for k in some])
+                s, b = signatures([sets[k] for k in some], how)
                 for row, k in enumerate(some):
                     sig[k], bands[k], keys[k] = s[row].tobytes(), b[row], xxhash.xxh3_128_digest(b" ".join(words[k]))
             columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
@@ -155,17 +176,17 @@ def sketch(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, key binary, sig binary, bands array<long>")
 
 
-def _sizes_allow(a: Column | str, b: Column | str) -> Column:
+def _sizes_allow(a: Column | str, b: Column | str, how: Settings) -> Column:
     """No smaller ratio of set sizes can reach the threshold."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+    return 100 * F.least(a, b) >= how.percent * F.greatest(a, b)
 
 
-def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, how: Settings) -> DataFrame:
     """The linked ones among pairs (a, b): Bayesian pruning on signatures, then the full sets."""
 
     def prune(batches):
         for batch in batches:
-            left = surviving(_matrix(batch.column("sig_a").to_pylist()), _matrix(batch.column("sig_b").to_pylist())) if batch.num_rows else []
+            left = surviving(_matrix(batch.column("sig_a").to_pylist(), how), _matrix(batch.column("sig_b").to_pylist(), how), how) if batch.num_rows else []
             yield batch.select(["a", "b"]).take(pa.array(left, pa.int64()))
 
     def exact(batches):
@@ -175,11 +196,11 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             if text not in kept:
                 if len(kept) > 64:
                     kept.clear()
-                kept[text] = shingle_set(split_words(text))
+                kept[text] = shingle_set(split_words(text), how.words)
             return kept[text]
 
         for batch in batches:
-            ok = [_linked(of(x.as_py()), of(y.as_py())) for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True)]
+            ok = [_linked(of(x.as_py()), of(y.as_py()), how.percent) for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     sigs = nodes.select("node", "sig")
@@ -216,10 +237,10 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select("a", "a").distinct())
 
 
-def _block_links(table: pd.DataFrame) -> pd.DataFrame:
+def _block_links(table: pd.DataFrame, how: Settings) -> pd.DataFrame:
     """Links between the two sides of one block pair: a forest, for links inside what is joined already add nothing."""
     o, a = table[table["side"] == 0].reset_index(drop=True), table[table["side"] == 1].reset_index(drop=True)
-    so, sa = _matrix(o["sig"]), _matrix(a["sig"])
+    so, sa = _matrix(o["sig"], how), _matrix(a["sig"], how)
     sets: dict[int, np.ndarray] = {}
     roots: dict[int, int] = {}
 
@@ -231,23 +252,23 @@ def _block_links(table: pd.DataFrame) -> pd.DataFrame:
     def full(side: int, k: int, frame: pd.DataFrame) -> np.ndarray:
         key = 2 * k + side
         if key not in sets:
-            sets[key] = shingle_set(split_words(frame["text"][k]))
+            sets[key] = shingle_set(split_words(frame["text"][k]), how.words)
         return sets[key]
 
     out = []
     for k in range(len(o)):
         n, comp = o["n"][k], o["component"][k]
-        may = np.flatnonzero((a["component"].values != comp) & (100 * np.minimum(a["n"].values, n) >= PERCENT * np.maximum(a["n"].values, n)))
-        for j in may[surviving(np.broadcast_to(so[k], (len(may), so.shape[1])), sa[may])]:
-            if root(comp) != root(a["component"][j]) and _linked(full(0, k, o), full(1, j, a)):
+        may = np.flatnonzero((a["component"].values != comp) & (100 * np.minimum(a["n"].values, n) >= how.percent * np.maximum(a["n"].values, n)))
+        for j in may[surviving(np.broadcast_to(so[k], (len(may), so.shape[1])), sa[may], how)]:
+            if root(comp) != root(a["component"][j]) and _linked(full(0, k, o), full(1, j, a), how.percent):
                 roots[root(comp)] = root(a["component"][j])
                 out.append((comp, a["component"][j]))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def components(docs: DataFrame) -> DataFrame:
+def components(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of docs (doc_id, text)."""
-    sketched = materialise(sketch(docs), "sketches")
+    sketched = materialise(sketch(docs, how), "sketches")
     some = sketched.where("doc_id is not null and key is not null")
     kept = F.min_by(F.struct("n_shingles", "sig", "bands"), "doc_id")
     nodes = some.groupBy("key").agg(F.min("doc_id").alias("node"), kept.alias("x")).select("key", "node", F.col("x.n_shingles").alias("n"), "x.sig", "x.bands")
@@ -256,8 +277,8 @@ def components(docs: DataFrame) -> DataFrame:
     banded = nodes.select("node", "n", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("pivot"), F.count(F.lit(1)).alias("total")).where("total > 1")
     members = materialise(banded.join(shared, "band").select("band", "node", "n", "pivot", "total"), "members")
-    near = members.where((F.col("node") != F.col("pivot.node")) & _sizes_allow("n", "pivot.n"))
-    links = confirm(near.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct(), nodes, docs)
+    near = members.where((F.col("node") != F.col("pivot.node")) & _sizes_allow("n", "pivot.n", how))
+    links = confirm(near.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct(), nodes, docs, how)
     first = materialise(smallest_reachable(links), "first")
 
     labelled = members.join(first, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("component"))
@@ -268,9 +289,9 @@ def components(docs: DataFrame) -> DataFrame:
     few = F.col("others") * F.col("total") <= PAIRS_LISTED
 
     x, y = again.where(few & (F.col("component") != F.col("main"))).alias("x"), again.where(few).alias("y")
-    listed = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & _sizes_allow("x.n", "y.n"))
+    listed = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & _sizes_allow("x.n", "y.n", how))
     listed = listed.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    pair_links = confirm(listed, nodes, docs)
+    pair_links = confirm(listed, nodes, docs, how)
 
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     place = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
@@ -280,7 +301,7 @@ def components(docs: DataFrame) -> DataFrame:
     dealt = outside.union(every)
     wanted = many.select("node").distinct().join(nodes.select("node", "sig"), "node")
     wanted = wanted.join(docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("text is not null"), "node")
-    block_links = dealt.join(materialise(wanted, "texts"), "node").groupBy("band", "p", "q").applyInPandas(_block_links, "a long, b long")
+    block_links = dealt.join(materialise(wanted, "texts"), "node").groupBy("band", "p", "q").applyInPandas(lambda t: _block_links(t, how), "a long, b long")
 
     of = first.toDF("node", "component")
     joined = pair_links.join(of.toDF("a", "ca"), "a", "left").join(of.toDF("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
@@ -294,9 +315,9 @@ def components(docs: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
     """docs with one document of each component: the smallest doc_id, and of rows that repeat it, one."""
-    judged = materialise(components(docs), "judged")
+    judged = materialise(components(docs, how), "judged")
     dropped = judged.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
     left = docs.join(dropped, docs["doc_id"].cast("long") == dropped["__dropped"], "left_anti")
     again = judged.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")

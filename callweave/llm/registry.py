@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import langid, mainhtml, mixing, neardup, packing, quality, rollup, secrets, toxicity
+from callweave.llm import langid, mainhtml, mixing, neardup, packing, quality, rollup, secrets, toxicity, webp
 from callweave.llm._shared import materialise, prepare, table
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
@@ -31,7 +31,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.components(table(prepare(spark), sf_dir, "documents"))
+    return neardup.components(table(prepare(spark), sf_dir, "documents"), neardup.THREE_WORDS)
 
 
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,10 @@ FROM b
 """
 
 
+def op1_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webp.store_and_read(table(prepare(spark), sf_dir, "documents"))
+
+
 def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three commits and a replay: guesses inserted, guesses revised to counts, documents without tokens deleted."""
     counts = materialise(rollup.token_counts(table(prepare(spark), sf_dir, "documents")), "token-counts")
@@ -105,7 +109,10 @@ FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source AND u.k = b.k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_rollup, op3_mix_sources, op4_language_spans, op5_main_html, op6_secret_scan, op7_toxicity, op8_near_duplicates, op9_pack_sequences, op10_quality_rules)}
+    import corpus_pipeline
+
+    ops = (op1_lossless_webp, op2_token_rollup, op3_mix_sources, op4_language_spans, op5_main_html, op6_secret_scan, op7_toxicity, op8_near_duplicates, op9_pack_sequences, op10_quality_rules)
+    return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

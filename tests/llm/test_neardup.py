@@ -48,7 +48,7 @@ def test_components_match_brute_force(spark, monkeypatch, listed, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
     rows = corpus(3, 12, 4) + [(d + 10_000, t) for d, t in corpus(4, 2, 60)]
     want = brute(rows)
-    got = {r["doc_id"]: r for r in neardup.components(prepare(spark).createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r["doc_id"]: r for r in neardup.components(prepare(spark).createDataFrame(rows, "doc_id long, text string"), neardup.THREE_WORDS).collect()}
     assert {d: r["component_id"] for d, r in got.items()} == want
     assert all(r["kept"] == (d == want[d]) for d, r in got.items())
     assert all(got[d]["n_shingles"] == len(shingles(t)) for d, t in rows)
@@ -58,12 +58,12 @@ def test_edge_rows(spark):
     long = " ".join(f"x{k % 977}y{k % 31}" for k in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "one two"), (5, "One TWO"), (6, "one"), (7, long), (8, long + " z"), (9, "a b c d"), (9, "p q r s t"), (10, "P q R s t"), (None, "a b c d"), (3, " "), (11, "a\xa0b é"), (11, "a\xa0b é")]
     docs = prepare(spark).createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, n long, component_id string")
-    got = [(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.components(docs).collect()]
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.components(docs, neardup.THREE_WORDS).collect()]
     assert len(got) == len(rows)
     by = {r[0]: r[1:] for r in got}
     assert [by[k][1] for k in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11)] == [1, 2, 3, 4, 4, 6, 7, 7, 9, 9, 11]
     assert by[None] == (2, None, True) and by[1] == (0, 1, True) and by[5] == (1, 4, False)
-    kept = neardup.deduplicate(docs)
+    kept = neardup.deduplicate(docs, neardup.THREE_WORDS)
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 4, 6, 7, 9, None, 11]))
     assert neardup.components(docs.limit(0)).count() == 0
@@ -72,7 +72,7 @@ def test_edge_rows(spark):
 def test_pruning_bounds_keep_pairs_at_the_threshold():
     """At the threshold fewer than 1 pair in 10^4 is pruned; far below it nearly all are."""
     r = np.random.default_rng(1)
-    a = r.integers(0, 2**16, (20_000, neardup.ROWS * neardup.BANDS)).astype(np.uint16)
+    a = r.integers(0, 2**16, (20_000, neardup.THREE_WORDS.places)).astype(np.uint16)
     for similarity, least, most in ((0.85, 0.9999, 1), (0.5, 0, 0.01)):
         b = np.where(r.random(a.shape) < similarity, a, a + 1).astype(np.uint16)
-        assert least <= len(neardup.surviving(a, b)) / len(a) <= most
+        assert least <= len(neardup.surviving(a, b, neardup.THREE_WORDS)) / len(a) <= most
