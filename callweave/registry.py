@@ -1,18 +1,558 @@
-"""Queries over the driver's tables and the SQL that must give the same rows."""
+"""Queries over the driver's tables and the SQL that must give the same rows.
+
+The tables hold no source code, so relational operators run through an adapter that
+makes the events table look like scanned events, trace lines or code lines.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callweave import fixtures
+from callweave.functions import evaluate, ids, predicates, text
+from callweave.operators import dispatch, rules
+from callweave.operators import events as ev
+from callweave.plans import engine
+from callweave.sources import files, java, kotlin, kotlin_tree
+from callweave.streaming import trace
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query by its name, with its SQL if there is one."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _filled(column: str) -> Column:
+    """A whole number with -1 for null, so that clients without nullable integers read it as it is."""
+    return F.coalesce(F.col(column), F.lit(-1)).alias(column)
+
+
+# --- adapter: the events table as scanned events -----------------------------------------------------
+
+
+def scan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as scanned events; scan_seq is the event's id."""
+    kotlin_side, k = F.col("user_id") % 2 == 0, F.get_json_object("props", "$.k")
+    kind = F.col("event_type")
+    return (
+        _table(spark, sf_dir, "events")
+        .select("event_id", "user_id", "event_type", "props")
+        .select(
+            F.when(kotlin_side, "kotlin").otherwise("java").alias("language"),
+            F.concat(F.lit("com.example.U"), "user_id").alias("fqcn"),
+            F.concat(F.lit("m"), F.col("event_id") % 23).alias("method"),
+            F.concat(F.lit("m"), F.col("event_id") % 23, F.lit("()")).alias("signature"),
+            F.when(kind == "signup", "switch")
+            .when(kind == "purchase", F.when(kotlin_side, "when-branch").otherwise("switch-case"))
+            .when(kind == "view", "if-true")
+            .when(kind == "click", "if-false")
+            .otherwise(F.when(kotlin_side, "write").otherwise("throw"))
+            .alias("kind"),
+            (F.col("event_id") % 400 + 1).cast("int").alias("line"),
+            F.when(kind.isin("view", "click"), F.concat(F.lit("k == "), k))
+            .when(kind == "signup", "k")
+            .when(kind == "purchase", k)
+            .otherwise(F.concat(F.lit("v"), F.col("user_id") % 5))
+            .alias("condition_text"),
+            F.col("event_id").alias("scan_seq"),
+        )
+    )
+
+
+EV = """ev AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'kotlin' ELSE 'java' END AS language, 'com.example.U' || user_id AS fqcn, 'm' || (event_id % 23) AS method,
+  'm' || (event_id % 23) || '()' AS signature,
+  CASE event_type WHEN 'signup' THEN 'switch' WHEN 'purchase' THEN CASE WHEN user_id % 2 = 0 THEN 'when-branch' ELSE 'switch-case' END
+    WHEN 'view' THEN 'if-true' WHEN 'click' THEN 'if-false' ELSE CASE WHEN user_id % 2 = 0 THEN 'write' ELSE 'throw' END END AS kind,
+  (event_id % 400 + 1)::INT AS line,
+  CASE event_type WHEN 'signup' THEN 'k' WHEN 'purchase' THEN json_extract_string(props, '$.k') WHEN 'view' THEN 'k == ' || json_extract_string(props, '$.k')
+    WHEN 'click' THEN 'k == ' || json_extract_string(props, '$.k') ELSE 'v' || (user_id % 5) END AS condition_text, event_id AS scan_seq FROM events)"""
+
+FLAGGED = (
+    EV
+    + """, fl AS (SELECT *, row_number() OVER (PARTITION BY language, fqcn, method, signature ORDER BY line, kind, scan_seq) = 1 AS is_first,
+  language = 'kotlin' AND kind = 'when-branch' AND NOT max((language = 'kotlin' AND kind = 'switch')::INT) OVER (PARTITION BY language, fqcn, method, signature)::BOOL AS is_orphan FROM ev)"""
+)
+
+RULES = (
+    FLAGGED
+    + """, ex AS (SELECT *, unnest(list_filter([CASE WHEN is_first THEN 'enter' END, CASE WHEN is_first THEN 'exit' END, CASE WHEN is_orphan THEN 'synthetic' END,
+    CASE WHEN kind IN ('if-true', 'if-false') THEN kind WHEN kind = 'switch' THEN 'when' WHEN kind IN ('when-branch', 'switch-case') THEN 'case' WHEN kind = 'write' THEN 'write' END], lambda x: x IS NOT NULL)) AS made FROM fl),
+  p AS (SELECT *, made IN ('enter', 'exit') AS at_method, CASE WHEN made = 'synthetic' THEN 'when { … }' ELSE condition_text END AS shown,
+    CASE WHEN made = 'synthetic' THEN 'when' WHEN made = 'write' THEN 'write-' || condition_text ELSE made END AS rule_kind FROM ex),
+  r AS (SELECT language, fqcn, method, signature, CASE WHEN NOT at_method THEN line END AS line, rule_kind, scan_seq,
+    concat_ws(chr(10), CASE WHEN at_method THEN 'RULE ' || made || '@' || fqcn || '.' || method ELSE 'RULE ' || fqcn || '.' || method || ':' || line || ':' || rule_kind END,
+      'CLASS ' || fqcn, 'METHOD ' || method || '(..)', 'HELPER trace.Helper',
+      CASE made WHEN 'enter' THEN 'AT ENTRY' WHEN 'exit' THEN 'AT EXIT' WHEN 'write' THEN 'AFTER WRITE $' || condition_text ELSE 'AT LINE ' || line END,
+      CASE made WHEN 'if-true' THEN 'IF (' || condition_text || ')' WHEN 'if-false' THEN 'IF (!(' || condition_text || '))' END,
+      CASE WHEN at_method THEN 'DO ' || made || '("' || fqcn || '","' || method || '", $LINE)'
+        ELSE 'DO ' || CASE WHEN made LIKE 'if-%' THEN 'iff' WHEN made = 'case' THEN 'kase' WHEN made = 'write' THEN 'writeVar' ELSE 'sw' END || '("' || fqcn || '","' || method || '",' || line || ',"' || shown || '"'
+          || CASE made WHEN 'if-true' THEN ', true)' WHEN 'if-false' THEN ', false)' WHEN 'write' THEN ', $' || condition_text || ')' ELSE ')' END END,
+      'ENDRULE') AS rule_text,
+    CASE WHEN NOT at_method THEN fqcn || '.' || method END AS method_key,
+    fqcn || '#' || method || ':' || CASE WHEN at_method OR made = 'write' THEN 0 ELSE line END AS shard_key FROM p)"""
+)
+
+
+def _java_hash(expression: str) -> str:
+    return f"list_reduce(list_prepend(0::BIGINT, list_transform(string_split({expression}, ''), lambda c: unicode(c)::BIGINT)), lambda a, c: (a * 31 + c) & 4294967295)"
+
+
+# --- rules ------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {RULES} SELECT language, fqcn, method, signature, coalesce(line, -1) AS line, rule_kind, rule_text, method_key, shard_key FROM r")
+def events_to_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.to_rules(scan_events(spark, sf_dir)).select("language", "fqcn", "method", "signature", _filled("line"), "rule_kind", "rule_text", "method_key", "shard_key")
+
+
+@query(f"WITH {FLAGGED} SELECT language, fqcn, method, signature, kind, line, scan_seq FROM fl WHERE is_first")
+def first_seen_entry_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.first_seen(scan_events(spark, sf_dir)).select(*ev.METHOD, "kind", "line", "scan_seq")
+
+
+@query(
+    f"WITH {EV} SELECT language, fqcn, method, signature, line, scan_seq FROM ev e WHERE language = 'kotlin' AND kind = 'when-branch' AND NOT EXISTS "
+    "(SELECT 1 FROM ev s WHERE s.language = 'kotlin' AND s.kind = 'switch' AND s.fqcn = e.fqcn AND s.method = e.method AND s.signature = e.signature)"
+)
+def synthetic_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.orphan_branches(scan_events(spark, sf_dir)).select(*ev.METHOD, "line", "scan_seq")
+
+
+@query(
+    f"WITH {RULES}, c AS (SELECT *, count(*) FILTER (regexp_matches(rule_text, ':if-|:is-|:when|:case')) OVER (PARTITION BY method_key) AS n FROM r) "
+    "SELECT fqcn, method, coalesce(line, -1) AS line, rule_kind, method_key FROM c WHERE method_key IS NULL OR n >= 2"
+)
+def min_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dispatch.selected(rules.to_rules(scan_events(spark, sf_dir)), min_branches=2).select("fqcn", "method", _filled("line"), "rule_kind", "method_key")
+
+
+@query(f"WITH {RULES} SELECT method_key, count(*) FILTER (regexp_matches(rule_text, ':if-|:is-|:when|:case')) AS branches FROM r WHERE method_key IS NOT NULL GROUP BY method_key")
+def branch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dispatch.branch_counts(rules.to_rules(scan_events(spark, sf_dir)))
+
+
+@query(f"WITH {EV} SELECT scan_seq, row_number() OVER (PARTITION BY language, fqcn ORDER BY method, line, kind, scan_seq) AS place FROM ev")
+def event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql.window import Window
+
+    by = Window.partitionBy("language", "fqcn").orderBy(*ev.ORDER[2:])
+    return scan_events(spark, sf_dir).select("scan_seq", F.row_number().over(by).cast("bigint").alias("place"))
+
+
+@query(f"WITH {EV} SELECT scan_seq, fqcn FROM ev WHERE line >= 0 AND (starts_with(fqcn, 'com.example.U1') OR starts_with(fqcn, 'com.example.U22'))")
+def prefix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.usable(scan_events(spark, sf_dir), ["com.example.U1", "com.example.U22"]).select("scan_seq", "fqcn")
+
+
+@query(f"WITH {EV} SELECT scan_seq, condition_text FROM ev WHERE kind = 'write' AND condition_text IN ('v0', 'v2')")
+def tracked_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.tracked_writes(scan_events(spark, sf_dir), ["v0", "v2"]).select("scan_seq", "condition_text")
+
+
+@query(f"WITH {EV} SELECT fqcn, method FROM ev WHERE language = 'java' EXCEPT SELECT fqcn, method FROM ev WHERE language = 'java' AND kind = 'if-true'")
+def missing_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    java_events = scan_events(spark, sf_dir).where("language = 'java'")
+    return ev.missing_methods(java_events, java_events.where("kind = 'if-true'"))
+
+
+@query(f"WITH {EV} SELECT language, scan_seq FROM ev WHERE kind = 'switch' UNION ALL SELECT language, scan_seq FROM ev WHERE language = 'java'")
+def union_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = scan_events(spark, sf_dir)
+    return ev.union_all(events.where("kind = 'switch'"), events.where("language = 'java'")).select("language", "scan_seq")
+
+
+@query(f"WITH {EV} SELECT DISTINCT language, fqcn, method, signature FROM ev WHERE language = 'kotlin' AND kind = 'switch'")
+def methods_with_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.methods_with_switch(scan_events(spark, sf_dir))
+
+
+@query(f"WITH {RULES} SELECT shard, count(*) AS n, sum(strlen(rule_text) + 2)::BIGINT AS bytes FROM (SELECT *, ({_java_hash('shard_key')} & 2147483647) % 8 AS shard FROM r) GROUP BY shard")
+def shard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = dispatch.sharded(rules.to_rules(scan_events(spark, sf_dir)), 8)
+    return dealt.groupBy(F.col("shard").cast("bigint").alias("shard")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("rule_text") + 2).cast("bigint").alias("bytes"))
+
+
+@query()
+def shard_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = dispatch.sharded(dispatch.selected(rules.to_rules(scan_events(spark, sf_dir))), 4)
+    turned = dispatch.rotated(dealt, 60, 65_536, 4)
+    return turned.groupBy("shard", "rotation").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+
+
+@query()
+def file_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = rules.header("callweave", "trace.Helper", [], [])
+    dealt = dispatch.sharded(dispatch.selected(rules.to_rules(scan_events(spark, sf_dir))), 4)
+    lines = dispatch.file_lines(dispatch.rotated(dealt, len(head), 65_536, 4), head, "tracing-", 4, True)
+    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("items"), F.sum(F.length("value") + 1).alias("chars"))
+
+
+# --- identifiers ------------------------------------------------------------------------------------
+
+LINE_KEY = "'com.example.P' || l_partkey || '#m' || (l_suppkey % 23) || ':' || l_linenumber"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, ({_java_hash(LINE_KEY)} & 2147483647) % 8 AS shard FROM lineitem")
+def stable_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = ids.shard_key(F.concat(F.lit("com.example.P"), "l_partkey"), F.concat(F.lit("m"), F.col("l_suppkey") % 23), F.col("l_linenumber"))
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", ids.stable_shard(key, 8).cast("bigint").alias("shard"))
+
+
+ORDER_PARTS = ["'com.example.O' || o_custkey", "'m' || (o_orderkey % 23)", "'k == ' || (o_orderkey % 7)"]
+
+
+@query(
+    "SELECT o_orderkey, lower(to_hex(((((((31 + a) & 4294967295) * 31 + b) & 4294967295) * 31 + c) & 4294967295) * 31 + d & 4294967295)) AS rule_id FROM "
+    f"(SELECT o_orderkey, {_java_hash(ORDER_PARTS[0])} AS a, {_java_hash(ORDER_PARTS[1])} AS b, o_orderkey % 400 + 1 AS c, {_java_hash(ORDER_PARTS[2])} AS d FROM orders)"
+)
+def rule_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    made = ids.rule_id(F.concat(F.lit("com.example.O"), "o_custkey"), F.concat(F.lit("m"), k % 23), k % 400 + 1, F.concat(F.lit("k == "), k % 7))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", made.alias("rule_id"))
+
+
+# --- files and text ---------------------------------------------------------------------------------
+
+
+@query("SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS rel_path FROM pages WHERE regexp_matches(regexp_replace(url, '^[a-z]+://', ''), '^.*/en/.*$|^[^/]*\\.com/.*$') AND NOT regexp_matches(regexp_replace(url, '^[a-z]+://', ''), '^.*\\.html$')")
+def path_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", "^[a-z]+://", "").alias("rel_path"))
+    return files.by_globs(pages, ["**/en/**", "*.com/**"], ["**.html"])
+
+
+@query("SELECT doc_id, strlen(text) AS size_bytes FROM documents WHERE strlen(text) <= 2000")
+def size_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("bigint").alias("size_bytes"))
+    return files.by_size(docs, 2000)
+
+
+@query("SELECT doc_id AS path, unnest(range(1, len(parts) + 1)) AS n, unnest(parts) AS line FROM (SELECT doc_id, regexp_split_to_array(text, '\\r\\n|\\r|\\n') AS parts FROM documents)")
+def line_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = files.lines_of(_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text"))
+    return out.withColumn("n", F.col("n").cast("bigint"))
+
+
+@query(
+    "WITH l AS (SELECT page_id AS path, unnest(range(1, len(parts) + 1)) AS n, unnest(parts) AS line FROM (SELECT page_id, string_split(html, '>') AS parts FROM pages)) "
+    "SELECT path, n, sum(length(line) - length(replace(line, '{', '')) - length(line) + length(replace(line, '}', ''))) OVER (PARTITION BY path ORDER BY n)::BIGINT AS depth FROM l"
+)
+def brace_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("path"), F.posexplode(F.split("html", ">")).alias("k", "line"))
+    return ev.brace_depth(lines.select("path", (F.col("k") + 1).cast("bigint").alias("n"), "line")).select("path", "n", F.col("depth").cast("bigint").alias("depth"))
+
+
+@query("SELECT doc_id, (1 + length(b) - length(replace(b, chr(10), '')))::BIGINT AS line FROM (SELECT doc_id, left(text, n_chars // 2) AS b FROM documents)")
+def offset_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    return _table(spark, sf_dir, "documents").select("doc_id", text.line_at(F.col("text"), half).cast("bigint").alias("line"))
+
+
+@query("SELECT page_id, split_part(html, '//', 1) AS code FROM pages")
+def strip_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", text.strip_line_comment(F.col("html")).alias("code"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS plain FROM documents")
+def collapse_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", text.collapse_spaces(F.col("text")).alias("plain"))
+
+
+@query(
+    "SELECT page_id, replace(replace(replace(replace(replace(c, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t') AS escaped FROM "
+    "(SELECT page_id, CASE WHEN length(html) > 400 THEN left(html, 400) || '…' ELSE html END AS c FROM pages)"
+)
+def escape_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", text.escape(F.col("html"), 400).alias("escaped"))
+
+
+@query("SELECT doc_id, coalesce(replace(replace(CASE WHEN length(text) > 300 THEN left(text, 300) || '…' ELSE text END, chr(10), '\\n'), chr(13), '\\r'), 'null') AS shown FROM documents")
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", text.preview(F.col("text")).alias("shown"))
+
+
+@query("SELECT c_custkey, '[' || array_to_string([c_name, coalesce(CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END, 'null')], ', ') || ']' AS args FROM customer")
+def argument_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = F.array("c_name", F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")))
+    return _table(spark, sf_dir, "customer").select("c_custkey", text.argument_list(values).alias("args"))
+
+
+@query("SELECT n_nationkey, format('t-{:04d}', n_nationkey + 1) || CASE WHEN n_regionkey > 0 THEN format('-{:05d}', n_regionkey) ELSE '' END || '.btm.gz' AS name FROM nation")
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "nation").select("n_nationkey", text.file_name("t-", F.col("n_nationkey"), F.col("n_regionkey"), True).alias("name"))
+
+
+@query("SELECT p_partkey, regexp_replace(name, '\\.[^.]*$', '') AS stem FROM (SELECT p_partkey, p_brand || '.' || p_size || '.kt' AS name FROM part)")
+def strip_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat("p_brand", F.lit("."), "p_size", F.lit(".kt"))
+    return _table(spark, sf_dir, "part").select("p_partkey", text.strip_extension(name).alias("stem"))
+
+
+@query("SELECT n_nationkey, 'com.n' || n_regionkey AS package FROM nation")
+def package_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = F.concat(F.lit("// head\n  package com.n"), "n_regionkey", F.lit(" ;\nclass "), F.initcap("n_name"), F.lit(" {}\npackage later;"))
+    return _table(spark, sf_dir, "nation").select("n_nationkey", files.package_of(source, "java").alias("package"))
+
+
+# --- code lines -------------------------------------------------------------------------------------
+
+CODE = """code AS (SELECT event_id, CASE event_type WHEN 'signup' THEN 'when (k) {' WHEN 'purchase' THEN '  ' || k || ' -> return v' WHEN 'view' THEN 'if (k == ' || k || ') x = ' || k
+  WHEN 'click' THEN 'throw Oops(' || k || ')' ELSE 'v' || (user_id % 5) || ' = f(' || k || ') // note' END AS line FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events))"""
+
+
+def code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, kind = F.get_json_object("props", "$.k"), F.col("event_type")
+    line = (
+        F.when(kind == "signup", F.lit("when (k) {"))
+        .when(kind == "purchase", F.concat(F.lit("  "), k, F.lit(" -> return v")))
+        .when(kind == "view", F.concat(F.lit("if (k == "), k, F.lit(") x = "), k))
+        .when(kind == "click", F.concat(F.lit("throw Oops("), k, F.lit(")")))
+        .otherwise(F.concat(F.lit("v"), F.col("user_id") % 5, F.lit(" = f("), k, F.lit(") // note")))
+    )
+    return _table(spark, sf_dir, "events").select("event_id", line.alias("line"))
+
+
+@query(
+    f"WITH {CODE}, s AS (SELECT event_id, split_part(line, '//', 1) AS line FROM code) SELECT event_id, nullif(regexp_extract(line, '\\bif\\s*\\(([^)]*)\\)', 1), '') AS if_text, "
+    "nullif(regexp_extract(line, '\\bwhen\\s*\\(([^)]*)\\)', 1), '') AS when_text, CASE WHEN contains(line, '->') THEN trim(split_part(line, '->', 1)) END AS branch, "
+    "regexp_matches(line, '(^|\\W)return(\\W|$)') AS is_return, nullif(trim(regexp_extract(line, '\\bthrow\\s+(.+)', 1)), '') AS thrown FROM s"
+)
+def branch_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = code_lines(spark, sf_dir).withColumn("line", text.strip_line_comment(F.col("line")))
+    got = lambda p: F.nullif(F.trim(F.regexp_extract("line", p, 1)), F.lit(""))
+    return code.select(
+        "event_id",
+        got(r"\bif\s*\(([^)]*)\)").alias("if_text"),
+        got(r"\bwhen\s*\(([^)]*)\)").alias("when_text"),
+        F.when(F.contains("line", F.lit("->")), F.trim(F.substring_index("line", "->", 1))).alias("branch"),
+        F.col("line").rlike(r"(^|\W)return(\W|$)").alias("is_return"),
+        got(r"\bthrow\s+(.+)").alias("thrown"),
+    )
+
+
+@query(f"WITH {CODE} SELECT event_id, regexp_extract(line, '([a-z]\\w*) = ', 1) AS name FROM code WHERE regexp_matches(line, '[a-z]\\w* = ')")
+def writes_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.regexp_extract_all("line", F.lit(kotlin.WRITE.pattern), F.lit(1))
+    return code_lines(spark, sf_dir).select("event_id", F.explode(found).alias("name"))
+
+
+def _sources(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(fixtures.SOURCES, "language string, path string, text string")
+
+
+def _values(rows: list[tuple], names: str, casts: dict[str, str] | None = None) -> str:
+    """SQL that gives these rows."""
+    cell = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    columns = names.split()
+    picked = ", ".join(f"{c}::{(casts or {}).get(c, 'VARCHAR')} AS {c}" for c in columns)
+    return f"SELECT {picked} FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS t({', '.join(columns)})"
+
+
+APPROVAL, MODE = ("kotlin", "com.example.flow.Approval", "decide", "decide(Int,String)"), ("java", "com.example.flow.Mode")
+EXPECTED_EVENTS = [
+    (*APPROVAL, "if-true", 5, "amount > 0 && amount < 10"),
+    (*APPROVAL, "if-false", 5, "amount > 0 && amount < 10"),
+    (*APPROVAL, "write", 7, "approved"),
+    (*APPROVAL, "throw", 9, 'IllegalArgumentException("amount")'),
+    (*APPROVAL, "switch", 11, "name.trim().lowercase()"),
+    (*APPROVAL, "return", 11, None),
+    (*APPROVAL, "when-branch", 13, '"a"'),
+    (*APPROVAL, "when-branch", 14, "else"),
+    (*MODE, "pick", "pick(int)", "if-true", 5, "mode > 1"),
+    (*MODE, "pick", "pick(int)", "if-false", 5, "mode > 1"),
+    (*MODE, "pick", "pick(int)", "return", 5, None),
+    (*MODE, "pick", "pick(int)", "throw", 5, 'new IllegalStateException("no")'),
+    (*MODE, "run", "run(String)", "switch", 8, "k"),
+    (*MODE, "run", "run(String)", "switch-case", 9, 'case "a"'),
+    (*MODE, "run", "run(String)", "switch-case", 10, "default"),
+    (*MODE, "run", "run(String)", "return", 10, None),
+]
+
+
+@query(_values(EXPECTED_EVENTS, "language fqcn method signature kind line condition_text", {"line": "INT"}))
+def scan_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanners = {"kotlin": kotlin.scan, "java": java.scan}
+    found = engine._scan_files(_sources(spark), engine.EVENT_FIELDS, lambda language, text, name: scanners[language](text, name))
+    return found.select(*engine.EVENT_FIELDS)
+
+
+# the method pattern takes a branch at the start of a line for a method of that name
+EXPECTED_REGEX = [
+    ("com.example.flow.Mode", method, kind, line, shown)
+    for method, rows in (
+        ("pick", [("enter", -1, None), ("exit", -1, None), ("if-true", 5, "mode>1"), ("if-false", 5, "mode>1")]),
+        ("if", [("enter", -1, None), ("exit", -1, None)]),
+        ("run", [("enter", -1, None), ("exit", -1, None), ("when", 8, "k"), ("case", 9, 'case "a"'), ("case", 10, "default")]),
+        ("switch", [("enter", -1, None), ("exit", -1, None), ("case", 9, 'case "a"'), ("case", 10, "default")]),
+    )
+    for kind, line, shown in rows
+]
+
+
+@query(_values(EXPECTED_REGEX, "fqcn method rule_kind line condition_text", {"line": "INT"}))
+def regex_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = engine._scan_files(_sources(spark).where("language = 'java'"), engine.ROW_FIELDS, lambda _, text, __: (("java", *r) for r in java.regex_rules(text)))
+    return rows.select("fqcn", "method", "rule_kind", _filled("line"), "condition_text")
+
+
+EXPECTED_LEGACY = [("com.example.flow.Approval", "decide", k, n, t) for k, n, t in (("enter", -1, None), ("exit", -1, None), ("if-true", 5, "amount > 0 &&\n            amount < 10"), ("if-false", 5, "amount > 0 &&\n            amount < 10"), ("write-approved", 7, "approved"), ("when", 11, "name\n            .trim().lowercase()"), ("case", 13, '"a"'), ("case", 14, "else"))]
+
+
+@query(_values(EXPECTED_LEGACY, "fqcn method rule_kind line condition_text", {"line": "INT"}))
+def legacy_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = engine._scan_files(_sources(spark).where("language = 'kotlin'"), engine.ROW_FIELDS, lambda _, text, name: (("kotlin", *r) for r in kotlin_tree.legacy_rules(text, name, tracked={"approved"})))
+    return rows.select("fqcn", "method", "rule_kind", _filled("line"), "condition_text")
+
+
+# --- predicates -------------------------------------------------------------------------------------
+
+E = predicates.EVALUATOR
+EXPECTED_FORMS = [
+    ("a == 1", "equals", "a == 1", f"{E}.ifEq(a, 1)"),
+    ("(a == 1)", "equals", "a == 1", f"{E}.ifEq(a, 1)"),
+    ("x instanceof p.Type", "instanceof", "x instanceof p.Type", f'{E}.ifInstanceOf(x, "p.Type")'),
+    ("a == 1 && b == 2 || c == 'q'", "and", "(a == 1) AND ((b == 2) OR (c == 'q'))", f"{E}.or({E}.and({E}.ifEq(a, 1), {E}.ifEq(b, 2)), {E}.ifEq(c, 'q'))"),
+    ("value != null", "original", "value != null", f"!{E}.ifEq(value, null)"),
+    ("f(x) == 1", "original", "f(x) == 1", "true"),
+    ("flag", "original", "flag", "true"),
+    ("a == 1 || (b != -2.5 && x instanceof T)", "original", "a == 1 || (b != -2.5 && x instanceof T)", f'{E}.or({E}.ifEq(a, 1), {E}.and(!{E}.ifEq(b, -2.5), {E}.ifInstanceOf(x, "T")))'),
+    ('name == "x && y"', "original", 'name == "x && y"', f'{E}.ifEq(name, "x && y")'),
+    ("LIMIT == MAX_VALUE", "equals", "LIMIT == MAX_VALUE", f"{E}.ifEq(LIMIT, MAX_VALUE)"),
+]
+
+
+@query(_values(EXPECTED_FORMS, "condition_text strategy_kind inline_form translated"))
+def translate_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conditions = spark.createDataFrame([(c,) for c in fixtures.CONDITIONS], "condition_text string")
+    return predicates.condition_forms(conditions).select("condition_text", "strategy_kind", "inline_form", "translated")
+
+
+@query(f"WITH {EV} SELECT scan_seq, '{E}.ifEq(k, ' || split_part(condition_text, ' == ', 2) || ')' AS guard FROM ev WHERE language = 'kotlin' AND kind IN ('if-true', 'if-false')")
+def safe_mode_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    guarded = rules.with_guards(scan_events(spark, sf_dir), rules.Style(safe_mode=True, force_helper=True))
+    return guarded.where("language = 'kotlin' and kind in ('if-true', 'if-false')").select("scan_seq", "guard")
+
+
+@query(
+    "SELECT o_orderkey, coalesce(l_linenumber, -1) AS l_linenumber, (o_orderkey % 7) IS NOT DISTINCT FROM l_linenumber AS same_number, o_orderstatus IS NOT DISTINCT FROM l_linestatus AS same_text, l_linenumber IS NULL AND o_orderstatus IS NULL AS mixed "
+    "FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_linenumber > 2) ON o_orderkey = l_orderkey"
+)
+def null_safe_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _table(spark, sf_dir, "lineitem").where("l_linenumber > 2").select("l_orderkey", "l_linenumber", "l_linestatus")
+    both = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 7).alias("seven")).join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    pick = lambda a, b: evaluate.if_eq(both, a, b)
+    return both.select("o_orderkey", _filled("l_linenumber"), pick("seven", "l_linenumber").alias("same_number"), pick("o_orderstatus", "l_linestatus").alias("same_text"), pick("l_linenumber", "o_orderstatus").alias("mixed"))
+
+
+@query(
+    "WITH g AS (SELECT doc_id::VARCHAR AS rule_id, arg_max(CASE WHEN toxic = 1 THEN 'throws' WHEN quality = 1 THEN 'true' ELSE 'false' END, doc_id) AS outcome FROM labels GROUP BY doc_id) "
+    "SELECT d.doc_id::VARCHAR AS rule_id, coalesce(outcome <> 'false', true) AS matched FROM documents d LEFT JOIN g ON g.rule_id = d.doc_id::VARCHAR"
+)
+def fail_open_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcome = F.when(F.col("toxic") == 1, "throws").when(F.col("quality") == 1, "true").otherwise("false")
+    registered = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("rule_id"), outcome.alias("outcome"))
+    wanted = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("rule_id"))
+    return evaluate.if_match(wanted, registered)
+
+
+TYPES = "e AS (SELECT n_name AS type, r_name AS supertype FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT r_name, 'WORLD' FROM region)"
+
+
+def _types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    regions = _table(spark, sf_dir, "region")
+    nations = _table(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    return nations.select(F.col("n_name").alias("type"), F.col("r_name").alias("supertype")).union(regions.select("r_name", F.lit("WORLD")))
+
+
+@query(f"WITH RECURSIVE {TYPES}, c AS (SELECT type, type AS ancestor FROM e UNION SELECT 'WORLD', 'WORLD' UNION SELECT c.type, e.supertype FROM c JOIN e ON c.ancestor = e.type) SELECT type, ancestor FROM c")
+def type_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.type_closure(_types(spark, sf_dir))
+
+
+@query(f"WITH {TYPES} SELECT n_name AS type, EXISTS (SELECT 1 FROM e WHERE e.type = n_name AND e.supertype = 'ASIA') OR n_name = 'ASIA' AS is_instance FROM nation")
+def instance_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = _table(spark, sf_dir, "nation").select(F.col("n_name").alias("type"))
+    return evaluate.if_instance_of(values, evaluate.type_closure(_types(spark, sf_dir)), "ASIA")
+
+
+# --- traces -----------------------------------------------------------------------------------------
+
+
+def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as parsed trace lines."""
+    phase = F.when(F.col("event_type").isin("view", "signup"), "enter").when(F.col("event_type") == "error", "failed").otherwise("exit")
+    return _table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("user_id").alias("cid"), F.concat(F.lit("m"), F.col("event_id") % 5).alias("method"), phase.alias("phase"), F.col("ts").cast("timestamp").alias("ts"), F.floor("value").cast("bigint").alias("elapsed_ms"))
+
+
+TRACE = "t AS (SELECT event_id AS seq, user_id AS cid, 'm' || (event_id % 5) AS method, CASE WHEN event_type IN ('view', 'signup') THEN 'enter' WHEN event_type = 'error' THEN 'failed' ELSE 'exit' END AS phase, ts, floor(value)::BIGINT AS elapsed_ms FROM events)"
+
+
+@query(
+    f"WITH {TRACE}, d AS (SELECT *, sum(CASE WHEN phase = 'enter' THEN 1 ELSE -1 END) OVER (PARTITION BY cid ORDER BY seq) AS run FROM t), "
+    "p AS (SELECT *, CASE WHEN phase = 'enter' THEN run ELSE run + 1 END AS depth FROM d), "
+    "n AS (SELECT *, lead(seq) OVER (PARTITION BY cid, depth ORDER BY seq) AS exit_seq, lead(phase) OVER (PARTITION BY cid, depth ORDER BY seq) AS ended FROM p) "
+    "SELECT cid, depth::BIGINT AS depth, method, seq AS enter_seq, coalesce(exit_seq, -1) AS exit_seq, ended AS phase FROM n WHERE phase = 'enter'"
+)
+def trace_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trace.pair_calls(trace_lines(spark, sf_dir)).select("cid", F.col("depth").cast("bigint").alias("depth"), "method", "enter_seq", _filled("exit_seq"), "phase")
+
+
+def _stamp(c: str) -> Column:
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS")
+
+
+@query(
+    f"WITH {TRACE}, g AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY cid ORDER BY ts) >= INTERVAL 30 MINUTE, true)::INT AS fresh FROM t), "
+    "s AS (SELECT *, sum(fresh) OVER (PARTITION BY cid ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) "
+    "SELECT cid, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%g') AS \"start\", strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%g') AS \"end\", count(*) AS lines FROM s GROUP BY cid, k"
+)
+def trace_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trace.sessions(trace_lines(spark, sf_dir)).select("cid", _stamp("start").alias("start"), _stamp("end").alias("end"), "lines")
+
+
+@query(f"WITH {TRACE} SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S.%g') AS \"start\", method, phase, count(*) AS calls, sum(elapsed_ms)::BIGINT AS total_ms FROM t GROUP BY ALL")
+def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trace.outcome_counts(trace_lines(spark, sf_dir), "1 day").withColumn("start", _stamp("start"))
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_type = 'view' THEN 'enter' WHEN event_type = 'error' THEN 'failed' ELSE 'exit' END AS phase, CASE WHEN user_id % 4 > 0 THEN user_id::VARCHAR END AS cid, 'U' || (user_id % 9) || '.run(..)' AS method, "
+    "CASE WHEN event_type = 'view' THEN '[' || event_id || ', x]' END AS args, CASE WHEN event_type <> 'view' THEN event_id % 1000 ELSE -1 END AS elapsed_ms, CASE WHEN event_type = 'error' THEN 'bad value' END AS message FROM events"
+)
+def trace_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, method = F.col("event_type"), F.concat(F.lit("U"), F.col("user_id") % 9, F.lit(".run(..)"))
+    ms = F.concat((F.col("event_id") % 1000).cast("string"), F.lit(" ms"))
+    body = (
+        F.when(kind == "view", F.concat(F.lit("→ "), method, F.lit(" ["), "event_id", F.lit(", x]")))
+        .when(kind == "error", F.concat(F.lit("✖ "), method, F.lit(" failed in "), ms, F.lit(": bad value (see stacktrace in console)")))
+        .otherwise(F.concat(F.lit("← "), method, F.lit(" OK in "), ms))
+    )
+    cid = F.when(F.col("user_id") % 4 > 0, F.col("user_id").cast("string")).otherwise("-")
+    line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" [WARN] [cid="), cid, F.lit("] "), body)
+    lines = _table(spark, sf_dir, "events").select("event_id", line.alias("value"))
+    return trace.parse(lines, ["event_id"]).select("event_id", "phase", "cid", "method", "args", _filled("elapsed_ms"), "message")
