@@ -39,7 +39,7 @@ SCRIPT_SHARE = 0.01
 BUCKETS = 1 << 16
 SMOOTHING = 2.0
 #: Least share of letters that a document's language must hold in keep_known().
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.3
 
 #: First and last code point of the main blocks of each script.
 SCRIPTS = (

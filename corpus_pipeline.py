@@ -4,7 +4,7 @@ Each stage is one operator of callweave.llm applied to all that the stage before
 kept. Stages exchange Parquet files in the shared folder, so a lost executor costs
 no more than the stage that runs.
 
-* language: documents without a letter, or without a language that holds half of
+* language: documents without a letter, or without a language that holds 30 % of
   their letters, go.
 * near_duplicates: of each group of near copies, over shingles of five words and a
   similarity of 0.8, the smallest doc_id stays.
