@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,12 +29,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """A temporary folder for sessions without a shared one, removed at exit."""
+    path = tempfile.mkdtemp(prefix="callweave-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return f"file://{path}"
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder in the shared checkpoint folder; a temporary one of our own only where none is set."""
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + os.path.join(tempfile.gettempdir(), "callweave-checkpoints")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
