@@ -23,9 +23,9 @@ def if_eq(df: DataFrame, a: str, b: str) -> Column:
     x, y = df[a], df[b]
     if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
         m, n = _number(x, left), _number(y, right)
-        exact = m.try_cast(EXACT).eqNullSafe(n.try_cast(EXACT))
-        wide = m.try_cast(EXACT).isNull() & n.try_cast(EXACT).isNull() & m.isNotNull() & n.isNotNull()
-        same = F.when(wide, m.cast("double") == n.cast("double")).otherwise(exact)
+        exact = m.try_cast(EXACT) == n.try_cast(EXACT)
+        # beyond what a decimal holds, doubles compare as they are
+        same = F.when(m.isNull() | n.isNull(), m.isNull() & n.isNull()).otherwise(F.coalesce(exact, m.cast("double") == n.cast("double")))
     elif type(left) is type(right):
         same = x.eqNullSafe(y)
     else:

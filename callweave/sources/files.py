@@ -37,7 +37,7 @@ def path_glob(glob: str) -> str:
             k += 1
         elif c == "[" and (end := glob.find("]", k + 1)) > 0:
             inner = glob[k:end].replace("\\", "\\\\")
-            out.append(f"[^/&&[^{inner[1:]}]]" if inner[:1] == "!" else f"[{inner}]")
+            out.append(f"(?!/)[^{inner[1:]}]" if inner[:1] == "!" else f"(?!/)[{inner}]")
             k = end + 1
         elif c == "{":
             depth += 1
