@@ -527,7 +527,7 @@ def _stamp(c: str) -> Column:
 
 
 @query(
-    f"WITH {TRACE}, g AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY cid ORDER BY ts) >= INTERVAL 30 MINUTE, true)::INT AS fresh FROM t), "
+    f"WITH {TRACE}, g AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY cid ORDER BY ts) > INTERVAL 30 MINUTE, true)::INT AS fresh FROM t), "
     "s AS (SELECT *, sum(fresh) OVER (PARTITION BY cid ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) "
     "SELECT cid, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%g') AS \"start\", strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%g') AS \"end\", count(*) AS lines FROM s GROUP BY cid, k"
 )

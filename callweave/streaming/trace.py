@@ -98,9 +98,9 @@ def sessions(trace: DataFrame, key: str = "cid", gap: str = "30 minutes", time:
     return trace.groupBy(F.session_window(time, gap).alias("s"), key).agg(F.count(F.lit(1)).alias("lines")).select(key, F.col("s.start").alias("start"), F.col("s.end").alias("end"), "lines")
 
 
-def outcome_counts(trace: DataFrame, width: str = "1 minute", late: str = "10 minutes") -> DataFrame:
-    """(start, method, phase, calls, total_ms) by window; late lines are kept for `late`."""
-    rows = trace.withWatermark("ts", late) if trace.isStreaming else trace
+def outcome_counts(trace: DataFrame, width: str = "1 minute", late: str | None = "10 minutes") -> DataFrame:
+    """(start, method, phase, calls, total_ms) by window; late lines are kept for `late`, null if a watermark is set already."""
+    rows = trace.withWatermark("ts", late) if trace.isStreaming and late else trace
     counted = rows.groupBy(F.window("ts", width).alias("w"), "method", "phase").agg(F.count(F.lit(1)).alias("calls"), F.sum("elapsed_ms").alias("total_ms"))
     return counted.select(F.col("w.start").alias("start"), "method", "phase", "calls", "total_ms")
 
@@ -114,8 +114,8 @@ def distinct_lines(trace: DataFrame, late: str = "10 minutes") -> DataFrame:
 PAIRED = "cid string, method string, depth int, started timestamp, ended timestamp, phase string, elapsed_ms long"
 
 
-def pair_stream(trace: DataFrame, quiet_ms: int = 600_000) -> DataFrame:
-    """Finished calls of a stream, nested ones with their own durations; an id that is quiet for `quiet_ms` is forgotten."""
+def pair_stream(trace: DataFrame, quiet_ms: int = 600_000, late: str = "10 minutes") -> DataFrame:
+    """Finished calls of a stream, nested ones with their own durations; an id that is quiet for `quiet_ms` of event time is forgotten."""
 
     def pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -131,11 +131,12 @@ def pair_stream(trace: DataFrame, quiet_ms: int = 600_000) -> DataFrame:
             elif method in methods:
                 k = len(methods) - 1 - methods[::-1].index(method)
                 started = pd.Timestamp(times[k])
-                out.append((key[0], method, k + 1, started, ts, phase, int((ts - started).total_seconds() * 1000)))
+                out.append((key[0], method, k + 1, started, ts, phase, round((ts - started).total_seconds() * 1000)))
                 del methods[k:], times[k:]
         state.update((methods, times))
-        state.setTimeoutDuration(quiet_ms)
+        latest = int(rows["ts"].iloc[-1].timestamp() * 1000)
+        state.setTimeoutTimestamp(max(latest + quiet_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in PAIRED.split(", ")])
 
-    keyed = trace.where("cid is not null").select("cid", "ts", "phase", "method").groupBy("cid")
-    return keyed.applyInPandasWithState(pair, PAIRED, "methods array<string>, times array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    keyed = trace.where("cid is not null and ts is not null").select("cid", "ts", "phase", "method").withWatermark("ts", late).groupBy("cid")
+    return keyed.applyInPandasWithState(pair, PAIRED, "methods array<string>, times array<string>", "append", GroupStateTimeout.EventTimeTimeout)
