@@ -9,6 +9,7 @@ once and leaves texts of simple shape to column expressions.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -194,12 +195,12 @@ ID_MARK = "\x00"
 FORMS = "condition_text string, strategy_kind string, inline_form string, helper_form string, translated string"
 
 
-def condition_forms(conditions: DataFrame, strict: bool = False, evaluator: str = EVALUATOR) -> DataFrame:
+def condition_forms(conditions: DataFrame, strict: bool = False, evaluator: str = EVALUATOR, own: Callable[[str], Predicate] | None = None) -> DataFrame:
     """(condition_text, strategy_kind, inline_form, helper_form, translated) of the distinct texts in conditions (condition_text)."""
 
     def parse(batches):
         for pdf in batches:
-            found = [classify(t, strict) for t in pdf["condition_text"]]
+            found = [own(t) if own else classify(t, strict) for t in pdf["condition_text"]]
             yield pdf.assign(
                 strategy_kind=[p.kind for p in found],
                 inline_form=[p.inline() for p in found],

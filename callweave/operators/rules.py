@@ -7,6 +7,7 @@ first event, a switch for an orphan branch, and the event's own rule.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,7 +34,7 @@ RULE_KINDS = {
 
 @dataclass(frozen=True)
 class Style:
-    """What rule texts depend on."""
+    """What rule texts depend on; classify takes the place of the built-in classification if given."""
 
     helper: str = "trace.Helper"
     entry_exit: bool = True
@@ -42,6 +43,7 @@ class Style:
     force_helper: bool = False
     evaluator: str = predicates.EVALUATOR
     strict: bool = False
+    classify: Callable[[str], predicates.Predicate] | None = None
 
 
 def rule_kind(language: Column, kind: Column) -> Column:
@@ -64,10 +66,10 @@ def with_guards(events: DataFrame, style: Style) -> DataFrame:
     kotlin = branch & (F.col("language") == "kotlin")
 
     def parsed(text: Column) -> Column:
-        return ~predicates.is_simple(text) | (F.lit(style.safe_mode) & (predicates.simple_kind(text) == "original"))
+        return F.lit(style.classify is not None) | ~predicates.is_simple(text) | (F.lit(style.safe_mode) & (predicates.simple_kind(text) == "original"))
 
     conditions = events.where(kotlin).select(cond.alias("condition_text")).where(parsed(F.col("condition_text")))
-    forms = predicates.condition_forms(conditions, style.strict, style.evaluator)
+    forms = predicates.condition_forms(conditions, style.strict, style.evaluator, style.classify)
     forms = forms.select(F.col("condition_text").alias("__text"), "strategy_kind", "inline_form", "helper_form", F.col("translated").alias("__body"))
     hard = kotlin & parsed(cond)
     joined = identified.join(forms, hard & (cond == F.col("__text")), "left")
