@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from pathlib import PurePosixPath
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +48,25 @@ def _scan_files(sources: DataFrame, fields: list[str], scan: Callable[[str, str,
 
 
 class Engine:
-    """One configuration bound to a session."""
+    """One configuration bound to a session.
+
+    Scanned rows are kept, on executors' disks where memory is short, because conditions, methods and rules are
+    all read from them; a lost executor's part is scanned again. close(), or leaving a with block, drops them."""
 
     def __init__(self, spark: SparkSession, config: Config = Config()) -> None:
         self.spark, self.config = spark, config
+        self._scanned: DataFrame | None = None
+
+    def __enter__(self) -> "Engine":
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        if self._scanned is not None:
+            self._scanned.unpersist()
+            self._scanned = None
 
     def sources(self, language: str) -> DataFrame:
         c = self.config
@@ -67,9 +83,12 @@ class Engine:
 
     def scanned(self) -> DataFrame:
         """Events and failures of all files."""
+        if self._scanned is not None:
+            return self._scanned
         scanners = {"kotlin": kotlin.scan, "java": java.scan}
         frames = [_scan_files(self._pruned(x), EVENT_FIELDS, lambda language, text, name: scanners[language](text, name)) for x in self._languages()]
-        return ev.union_all(*frames)
+        self._scanned = ev.union_all(*frames).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._scanned
 
     def failures(self) -> DataFrame:
         return self.scanned().where("error is not null").select("path", "error")

@@ -70,13 +70,18 @@ def printed(src: Source, first: int, end: int) -> str:
 
 
 def _after_statement(src: Source, k: int) -> int:
-    """The place after the statement that begins at k."""
+    """The place after the statement that begins at k; else-if chains are followed, not nested."""
     word = src.at(k)
+    while word == "if" and src.at(k + 1) == "(":
+        end = _after_statement(src, src.close[k + 1] + 1)
+        if src.at(end) != "else":
+            return end
+        k = end + 1
+        word = src.at(k)
     if word == "{":
         return src.close[k] + 1
-    if word in ("if", "for", "while", "synchronized", "switch") and src.at(k + 1) == "(":
-        end = _after_statement(src, src.close[k + 1] + 1)
-        return _after_statement(src, end + 1) if word == "if" and src.at(end) == "else" else end
+    if word in ("for", "while", "synchronized", "switch") and src.at(k + 1) == "(":
+        return _after_statement(src, src.close[k + 1] + 1)
     if word == "do":
         end = _after_statement(src, k + 1)
         return next((j + 1 for j in src.top(end, len(src.tokens)) if src.at(j) == ";"), len(src.tokens))
@@ -191,8 +196,7 @@ def _ends_type(src: Source, k: int) -> bool:
 def _opens_anonymous(src: Source, k: int, frames: list) -> bool:
     """Whether the brace at k begins the body of `new X(..)` or of an enum constant."""
     if src.at(k - 1) == ")":
-        start = next((j for j, c in src.close.items() if c == k - 1), None)
-        j = start - 1 if start is not None else -1
+        j = src.open.get(k - 1, 0) - 1
     else:
         j = k - 1
     depth = 0

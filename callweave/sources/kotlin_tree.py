@@ -75,7 +75,7 @@ def _operand_start(src: Source, k: int) -> int:
     """Where the postfix expression that ends at k begins."""
     while k > 0:
         if src.at(k) in (")", "]"):
-            k = next((j for j, c in src.close.items() if c == k), k)
+            k = src.open.get(k, k)
             if not src.is_name(k - 1):
                 return k
             k -= 1

@@ -42,6 +42,8 @@ class Source:
                     open_at.pop()
                 if open_at:
                     self.close[open_at.pop()] = k
+        #: The opening place of each closing bracket.
+        self.open = {c: k for k, c in self.close.items()}
         for k in open_at:
             self.close[k] = len(self.tokens) - 1
 

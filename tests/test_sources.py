@@ -50,6 +50,13 @@ def test_java_else_if_chains_repeat():
     assert [e[6] for e in java.scan(text) if e[4] == "if-false"] == ["a", "b", "b"]
 
 
+def test_java_long_chains_and_deep_blocks():
+    chain = "class C { void m() { " + " else ".join(f"if (a == {k}) {{ f(); }}" for k in range(300)) + " } }"
+    found = [e for e in java.scan(chain) if e[4] == "if-true"]
+    assert len(found) == 300 * 301 // 2
+    assert [e[6] for e in java.scan("class C { void m() { if (a) if (b) c(); else d(); else e(); return; } }") if e[4] == "if-false"] == ["a", "b"]
+
+
 def test_java_nesting_constructors_lambdas_and_switch_expressions():
     text = """package p; class Outer { Outer() { if (x) y(); } Runnable r = () -> { if (q) z(); };
       class Inner { int m(int[] a, Map<String, List<Integer>> b) { return switch (a[0]) { case 1, 2 -> 3; default -> { yield 4; } }; } }
