@@ -34,6 +34,20 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(table(prepare(spark), sf_dir, "documents"), neardup.THREE_WORDS)
 
 
+OP8_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM i JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.y FROM r JOIN e ON e.x = r.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM documents JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) ON a = doc_id LEFT JOIN n USING (doc_id)
+"""
+
+
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(prepare(spark), sf_dir, "documents"))
 
@@ -116,4 +130,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": OP3_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op3_mix_sources": OP3_SQL, "op8_near_duplicates": OP8_SQL, "op10_quality_rules": OP10_SQL}
