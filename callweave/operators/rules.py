@@ -59,7 +59,7 @@ def with_guards(events: DataFrame, style: Style) -> DataFrame:
     """events with rule_id, guard and registered, the translated evaluator body where the guard asks for one.
 
     Java conditions stand as they are. Kotlin conditions of simple shape are rendered by column expressions;
-    the distinct others are parsed once each and joined back."""
+    the distinct others are parsed once each and joined back to their rows."""
     cond = F.coalesce("condition_text", F.lit("true"))
     identified = events.withColumn("rule_id", ids.rule_id(F.col("fqcn"), F.col("method"), F.col("line"), cond))
     branch = F.col("kind").isin("if-true", "if-false")
@@ -71,8 +71,11 @@ def with_guards(events: DataFrame, style: Style) -> DataFrame:
     conditions = events.where(kotlin).select(cond.alias("condition_text")).where(parsed(F.col("condition_text")))
     forms = predicates.condition_forms(conditions, style.strict, style.evaluator, style.classify)
     forms = forms.select(F.col("condition_text").alias("__text"), "strategy_kind", "inline_form", "helper_form", F.col("translated").alias("__body"))
-    hard = kotlin & parsed(cond)
-    joined = identified.join(forms, hard & (cond == F.col("__text")), "left")
+    hard = F.coalesce(kotlin & parsed(cond), F.lit(False))
+    # only rows whose condition needs the parser are moved to it; the others stay where they are
+    tough = identified.where(hard).join(forms, cond == F.col("__text"), "left")
+    empty = {name: F.lit(None).cast("string") for name in forms.columns}
+    joined = identified.where(~hard).withColumns(empty).unionByName(tough)
     kind = F.when(hard, F.col("strategy_kind")).otherwise(predicates.simple_kind(cond))
     inline = F.when(hard, F.col("inline_form")).otherwise(predicates.simple_inline(cond))
     called = F.when(hard, F.replace(F.col("helper_form"), F.lit(predicates.ID_MARK), F.col("rule_id"))).otherwise(predicates.simple_helper(cond, F.col("rule_id"), style.evaluator))
@@ -89,7 +92,7 @@ def _literal(value: Column) -> Column:
 
 def to_rules(events: DataFrame, style: Style = Style()) -> DataFrame:
     """The rules of events, in columns and as text; `sub` orders the rules of one event."""
-    flagged = with_guards(ev.with_method_flags(events), style)
+    flagged = ev.with_method_flags(with_guards(events, style))
     own = rule_kind(F.col("language"), F.col("kind"))
     wanted = F.array(
         F.when(F.col("is_first") & F.lit(style.entry_exit), F.struct(F.lit(0).alias("sub"), F.lit("enter").alias("rule_kind"))),
