@@ -181,8 +181,8 @@ def _sizes_allow(a: Column | str, b: Column | str, how: Settings) -> Column:
     return 100 * F.least(a, b) >= how.percent * F.greatest(a, b)
 
 
-def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, how: Settings) -> DataFrame:
-    """The linked ones among pairs (a, b): Bayesian pruning on signatures, then the full sets."""
+def confirm(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, how: Settings) -> DataFrame:
+    """The linked ones among pairs (a, b): Bayesian pruning on sigs (node, sig), then the full sets."""
 
     def prune(batches):
         for batch in batches:
@@ -203,7 +203,6 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, how: Settings)
             ok = [_linked(of(x.as_py()), of(y.as_py()), how.percent) for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    sigs = nodes.select("node", "sig")
     signed = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
     left = materialise(signed.mapInArrow(prune, "a long, b long"), "candidates")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text is not null")
@@ -270,15 +269,15 @@ def components(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of docs (doc_id, text)."""
     sketched = materialise(sketch(docs, how), "sketches")
     some = sketched.where("doc_id is not null and key is not null")
-    kept = F.min_by(F.struct("n_shingles", "sig", "bands"), "doc_id")
-    nodes = some.groupBy("key").agg(F.min("doc_id").alias("node"), kept.alias("x")).select("key", "node", F.col("x.n_shingles").alias("n"), "x.sig", "x.bands")
-    nodes = materialise(nodes, "nodes")
-
-    banded = nodes.select("node", "n", F.explode("bands").alias("band"))
+    # signatures stay in the sketches' table; a node is a key's smallest doc_id
+    nodes = materialise(some.groupBy("key").agg(F.min("doc_id").alias("node")), "nodes")
+    sigs = some.select(F.col("doc_id").alias("node"), "sig")
+    chosen = some.join(nodes.withColumnRenamed("node", "doc_id"), ["key", "doc_id"])
+    banded = chosen.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("pivot"), F.count(F.lit(1)).alias("total")).where("total > 1")
     members = materialise(banded.join(shared, "band").select("band", "node", "n", "pivot", "total"), "members")
     near = members.where((F.col("node") != F.col("pivot.node")) & _sizes_allow("n", "pivot.n", how))
-    links = confirm(near.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct(), nodes, docs, how)
+    links = confirm(near.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct(), sigs, docs, how)
     first = materialise(smallest_reachable(links), "first")
 
     labelled = members.join(first, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("component"))
@@ -291,7 +290,7 @@ def components(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
     x, y = again.where(few & (F.col("component") != F.col("main"))).alias("x"), again.where(few).alias("y")
     listed = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & _sizes_allow("x.n", "y.n", how))
     listed = listed.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    pair_links = confirm(listed, nodes, docs, how)
+    pair_links = confirm(listed, sigs, docs, how)
 
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     place = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
@@ -299,7 +298,7 @@ def components(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
     outside = many.where("component <> main").select("band", "node", "n", "component", F.lit(0).alias("side"), place("others").alias("p"), F.explode(F.sequence(F.lit(0), blocks("total") - 1)).alias("q"))
     every = many.select("band", "node", "n", "component", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), blocks("others") - 1)).alias("p"), place("total").alias("q"))
     dealt = outside.union(every)
-    wanted = many.select("node").distinct().join(nodes.select("node", "sig"), "node")
+    wanted = many.select("node").distinct().join(sigs, "node")
     wanted = wanted.join(docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("text is not null"), "node")
     block_links = dealt.join(materialise(wanted, "texts"), "node").groupBy("band", "p", "q").applyInPandas(lambda t: _block_links(t, how), "a long, b long")
 
