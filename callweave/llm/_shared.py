@@ -17,7 +17,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 #: The white space that separates words: space and code points 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 #: Rows of an Arrow batch. Texts have no length bound, so batches are kept short.
-BATCH_ROWS = "500"
+BATCH_ROWS = "250"
 
 
 def prepare(spark: SparkSession) -> SparkSession:

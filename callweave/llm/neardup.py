@@ -74,7 +74,7 @@ class _WordHashes(dict):
     """Hashes of words met before; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
