@@ -1,15 +1,24 @@
 """Secret scans through nested encodings.
 
-Each text is a layer. A layer is scanned for secrets, then for encoded runs:
-percent escapes, Unicode escapes, base64, and, where base64 bytes are a zlib or
-gzip stream, their contents. Each decoded run is a new layer on a worklist, scanned
-and unwrapped in turn until no layer is left. Layers seen before in the same chain
-are not entered again, so encodings that reproduce themselves end. A secret found
-in an inner layer is reported at the span of the outermost run that holds it.
-
-Layers shrink or are seen before, except compressed ones; what one text may expand
-to is bounded by EXPANSION bytes, and a chain of layers by DEPTH. Runs beyond these
-bounds are reported in `unopened`, not passed over in silence.
+Each text is a layer of bytes. A layer is scanned for secrets, then unwrapped:
+
+* all percent and Unicode escapes of a layer, and the short backslash escapes beside
+  them, are decoded in place into one layer as long as the text, with a map of offsets,
+  so a secret of which only a part is escaped is found with what stands round it. Each
+  escape stands for itself: one that is no valid character spoils nothing else;
+* a base64 run is decoded from each of its first four characters, which between them
+  meet every place inside the run where an encoding may begin; what comes out before
+  that place is noise and holds no secret;
+* where base64 bytes are a zlib or gzip stream, their contents are a layer.
+
+Each layer is unwrapped in turn until none is left; one seen before at the same place
+is not entered again, so encodings that reproduce themselves end. A secret in an
+escaped layer is reported at the characters that spell it, one inside base64 at the
+span of the outermost run that holds it.
+
+Layers shrink or are seen before, except compressed ones; what one text may inflate
+to is bounded by EXPANSION bytes. Runs beyond are reported in `unopened`, not passed
+over in silence.
 
 Defined results: null and empty texts have no spans; the same secret found twice
 at one span counts once; repeated rows are scanned alike; other columns are kept.
@@ -18,10 +27,10 @@ at one span counts once; repeated rows are scanned alike; other columns are kept
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,13 +44,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-PERCENT = re.compile(r"[A-Za-z0-9._~+/=:&?@!$'()*,;\"-]*(?:%[0-9A-Fa-f]{2}[A-Za-z0-9._~+/=:&?@!$'()*,;\"-]*)+")
-UNICODE = re.compile(r"(?:[\x21-\x5B\x5D-\x7E]*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})[\x21-\x5B\x5D-\x7E]*)+")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
-ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})|\\(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|([abfnrtv0\\/'\"]))")
+SHORT = dict(zip(b"abfnrtv0\\/'\"", b"\a\b\f\n\r\t\v\0\\/'\"", strict=True))
+BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}=*")
+STANDARD = bytes.maketrans(b"-_", b"+/")
 #: One linear-time pass finds the texts that could hold anything at all; the others are done.
-ANY = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}|[A-Za-z0-9+/_-]{16}"
+ANY = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}|\\[\"'\\/]|[A-Za-z0-9+/_-]{16}"
+#: The same for layers: what holds none of these holds no secret and no encoding.
+INSIDE = re.compile(rb"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}|\\[\"'\\/]|[A-Za-z0-9+/_-]{16}")
 
+#: Levels of escapes that are layers of their own; deeper ones are decoded to their end in one pass.
 DEPTH = 16
 EXPANSION = 16 << 20
 MASK = "[SECRET]"
@@ -54,60 +66,91 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
-def _readable(data: bytes) -> str | None:
-    """UTF-8 text without control characters, else None: random bytes hardly ever pass."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if len(text) >= 6 and all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
-def _unescape(run: str) -> str | None:
-    out = ESCAPE.sub(lambda m: chr(int(m[1] or m[2], 16)), run)
-    try:
-        return out.encode("utf-16", "surrogatepass").decode("utf-16")
-    except UnicodeDecodeError:
+class Layer:
+    """Bytes with the characters of the text that each stands for; inside base64, `outer` for all of them."""
+
+    def __init__(self, data: bytes, outer: tuple[int, int] | None = None, parent: Layer | None = None, pieces: list[tuple[int, int, int]] = ()) -> None:
+        self.data, self.outer, self.parent = data, outer, parent
+        self.pieces = pieces  # (first byte, first and last byte in the parent), literal pieces as they are
+        self.firsts = [p[0] for p in pieces]
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        """The span of the text that spells these bytes."""
+        layer = self
+        while layer.outer is None and layer.parent is not None:
+            start, end = layer._up(start)[0], layer._up(end - 1)[1]
+            layer = layer.parent
+        return layer.outer or (start, end)
+
+    def _up(self, at: int) -> tuple[int, int]:
+        k = bisect_right(self.firsts, at) - 1
+        first, start, end = self.pieces[k]
+        return (start, end) if end else (start + at - first, start + at - first + 1)
+
+
+def _code(m: re.Match) -> bytes:
+    """The byte of an escape; characters above U+00FF are in no pattern and stand as a question mark."""
+    if m[4]:
+        return bytes((SHORT[m[4][0]],))
+    code = int(m[1] or m[2] or m[3], 16)
+    return bytes((code,)) if code < 256 else b"?"
+
+
+def unescaped(layer: Layer) -> Layer | None:
+    """The layer with its escapes decoded in place, None without any."""
+    data = layer.data
+    if layer.outer is not None:
+        out = ESCAPE.sub(_code, data)
+        return Layer(out, layer.outer) if out != data else None
+    out, pieces, at, n = [], [], 0, 0
+    for m in ESCAPE.finditer(data):
+        if m.start() > at:
+            pieces.append((n, at, 0))
+            out.append(data[at : m.start()])
+            n += m.start() - at
+        pieces.append((n, m.start(), m.end()))
+        out.append(_code(m))
+        at, n = m.end(), n + 1
+    if not out:
         return None
-
-
-def _percent(run: str) -> str | None:
-    data = re.sub(rb"%([0-9A-Fa-f]{2})", lambda m: bytes([int(m[1], 16)]), run.encode("utf-8"))
-    try:
-        return data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-
-
-def _base64(run: str, room: int) -> tuple[str | None, bool]:
-    """The run's text, straight or decompressed; True if it was a stream with more than `room` bytes."""
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None, False
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None, False
+    pieces.append((n, at, 0))
+    return Layer(b"".join([*out, data[at:]]), None, layer, pieces)
+
+
+def settled(layer: Layer) -> Layer:
+    """The layer with escapes decoded until none is left, in one pass however deep they stand."""
+    out, pieces = bytearray(), []
+    for k, byte in enumerate(layer.data):
+        out.append(byte)
+        pieces.append((k, k + 1))
+        while len(out) > 1 and (m := next((m for n in (2, 3, 4, 6) if (m := ESCAPE.fullmatch(out, max(0, len(out) - n)))), None)):
+            start = pieces[m.start()][0]
+            code = _code(m)
+            del out[m.start() :], pieces[m.start() :]
+            out += code
+            pieces.append((start, k + 1))
+    if layer.outer is not None:
+        return Layer(bytes(out), layer.outer)
+    return Layer(bytes(out), None, layer, [(n, a, b) for n, (a, b) in enumerate(pieces)])
+
+
+def _inflated(data: bytes, room: int) -> tuple[bytes | None, bool]:
+    """The contents of a zlib or gzip stream; True if it has more than `room` bytes."""
     if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
         try:
-            stream = zlib.decompressobj(47)
-            out = stream.decompress(data, room + 1)
+            out = zlib.decompressobj(47).decompress(data, room + 1)
         except zlib.error:
-            return _readable(data), False
-        return (None, True) if len(out) > room else (_readable(out), False)
-    return _readable(data), False
+            return None, False
+        return (None, True) if len(out) > room else (out, False)
+    return None, False
+
+
+def _holds(data: bytes) -> bool:
+    return INSIDE.search(data) is not None
 
 
-def encoded_runs(text: str, room: int):
-    """(start, end, decoded or None, over) of a layer's encoded runs."""
-    if "%" in text:
-        for m in PERCENT.finditer(text):
-            yield m.start(), m.end(), _percent(m[0]), False
-    if "\\" in text:
-        for m in UNICODE.finditer(text):
-            yield m.start(), m.end(), _unescape(m[0]), False
-    for m in BASE64.finditer(text):
-        yield m.start(), m.end(), *_base64(m[0], room)
+def _spans(data: bytes) -> list[tuple[str, int, int]]:
+    return base_spans(data.decode("latin-1"))
 
 
 def scan_text(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -115,22 +158,35 @@ def scan_text(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[
     if not text:
         return [], [], 0
     base = base_spans(text)
-    found, unopened, room = set(base), 0, EXPANSION
-    work = [(text, None, frozenset([text]))]
+    found, shut, room, seen = set(base), set(), EXPANSION, set()
+    # no pattern or encoding has other than ASCII characters: a byte a character keeps the offsets
+    work = [(Layer(text.encode("ascii", "replace")), 0)]
     while work:
-        layer, outer, chain = work.pop()
-        if outer is not None:
-            found.update((kind, *outer) for kind, _, _ in base_spans(layer))
-        for start, end, inner, over in encoded_runs(layer, room):
-            new = inner is not None and inner not in chain
-            shut = new and (len(chain) > DEPTH or len(inner) > room)
-            unopened += over or shut
-            if not new or shut:
+        layer, level = work.pop()
+        if layer.outer is not None or layer.parent is not None:
+            found.update((kind, *layer.span(start, end)) for kind, start, end in _spans(layer.data))
+        inner = (unescaped if level < DEPTH else settled)(layer) if level <= DEPTH else None
+        if inner is not None and _holds(inner.data):
+            work.append((inner, level + 1))
+        for m in BASE64.finditer(layer.data):
+            outer = layer.span(*m.span())
+            run = m[0].rstrip(b"=").translate(STANDARD)
+            if (outer, run) in seen:
                 continue
-            room -= len(inner)
-            work.append((inner, outer or (start, end), chain | {inner}))
+            seen.add((outer, run))
+            for k in range(4):
+                body = run[k : len(run) - ((len(run) - k) % 4 == 1)]
+                data = base64.b64decode(body + b"=" * (-len(body) % 4))
+                out, over = _inflated(data, room)
+                if over:
+                    shut.add(outer)
+                if out is not None:
+                    room -= len(out)
+                    work.append((Layer(out, outer), 0))
+                elif _holds(data):
+                    work.append((Layer(data, outer), 0))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    return sorted(base, key=order), sorted(found, key=order), unopened
+    return sorted(base, key=order), sorted(found, key=order), len(shut)
 
 
 def mask(text: str, spans: list[tuple[str, int, int]]) -> str:

@@ -72,3 +72,24 @@ def test_edge_rows(spark):
 def test_redact_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, f"a {KEY} b", "s"), (2, None, None), (3, "clean", "s")], "doc_id long, text string, source string")
     assert [tuple(r) for r in secrets.redact(docs).collect()] == [(1, "a [SECRET] b", "s"), (2, None, None), (3, "clean", "s")]
+
+
+def test_escapes_are_decoded_in_place_with_the_text_round_them():
+    for inner in (r"password = %73%33cr3t%2Dvalue99", r'"password": "hunter22x"', "p%61ssword = hunter22x", "%70assword=%E9 token=hunter%32%32x", r"\ud83d p\x61ssword: hunter22x", r"p%61ssword = hunter22x", r"%5Cu0070assword = hunter22x"):
+        text = f"é {inner} z"
+        base, spans, unopened = secrets.scan_text(text)
+        assert spans and unopened == 0 and "value99" not in secrets.mask(text, spans) and "unter" not in secrets.mask(text, spans)
+    text = "é p%61ssword = hunter22x z"
+    assert secrets.scan_text(text)[1] == [("assign", 2, len(text) - 2)]
+
+
+def test_base64_beginning_inside_a_run():
+    run = base64.b64encode(f"key {KEY} end".encode()).decode()
+    for before in ("//h/", "x", "ab", "abc-", "k_", "/"):
+        text = f"see {before}{run} z"
+        assert secrets.scan_text(text)[1] == [("access", 4, len(text) - 2)]
+
+
+def test_deep_escapes_end_in_linear_time():
+    deep = "%" + "25" * 20_000 + "70assword=hunter22x"
+    assert ("assign", 0, len(deep)) in secrets.scan_text(deep)[1]
