@@ -9,7 +9,11 @@ Each text is a layer of bytes. A layer is scanned for secrets, then unwrapped:
 * a base64 run is decoded from each of its first four characters, which between them
   meet every place inside the run where an encoding may begin; what comes out before
   that place is noise and holds no secret;
-* where base64 bytes are a zlib or gzip stream, their contents are a layer.
+* lines of base64 that follow each other, as wrapped encodings do, are one run;
+* wherever decoded bytes hold a zlib or gzip stream, whatever wrapped it, its contents
+  are a layer, gzip members in a row joined. A broken stream counts as far as it goes.
+
+Every layer is scanned as bytes, printable or not.
 
 Each layer is unwrapped in turn until none is left; one seen before at the same place
 is not entered again, so encodings that reproduce themselves end. A secret in an
@@ -45,16 +49,25 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})|\\(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|([abfnrtv0\\/'\"]))")
+PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})()()()")
+BACKSLASH = re.compile(ESCAPE.pattern.replace(rb"%([0-9A-Fa-f]{2})|", rb"()"))
 SHORT = dict(zip(b"abfnrtv0\\/'\"", b"\a\b\f\n\r\t\v\0\\/'\"", strict=True))
-BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}=*")
+_CHAR, _WRAP = "[A-Za-z0-9+/_-]", r"(?:[ \t]*(?:[\r\n]|\\[rn]))+[ \t]*"
+#: A run of base64, 16 characters at least; its lines may be wrapped, line ends written as escapes too.
+BASE64 = re.compile(rf"(?<!{_CHAR})(?=(?:{_CHAR}(?:{_WRAP})?){{16}}){_CHAR}+(?:{_WRAP}{_CHAR}+)*=*".encode())
+LINE = re.compile(rf"(?:^|(?<=[\r\n \t])|(?<=\\[rn])){_CHAR}+=*".encode())
 STANDARD = bytes.maketrans(b"-_", b"+/")
+#: How gzip members and zlib streams without a preset dictionary begin.
+STREAM = re.compile(b"\x1f\x8b\x08|" + b"|".join(re.escape(bytes((c, f))) for c in range(8, 128, 16) for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32), re.S)
 #: One linear-time pass finds the texts that could hold anything at all; the others are done.
-ANY = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}|\\[\"'\\/]|[A-Za-z0-9+/_-]{16}"
+ANY = rf"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}|%[0-9A-Fa-f]{{2}}|\\[ux][0-9A-Fa-f]{{2}}|\\[\"'\\/]|(?:{_CHAR}(?:{_WRAP})?){{16}}"
 #: The same for layers: what holds none of these holds no secret and no encoding.
-INSIDE = re.compile(rb"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}|\\[\"'\\/]|[A-Za-z0-9+/_-]{16}")
+INSIDE = re.compile(ANY.encode() + b"|" + STREAM.pattern)
 
 #: Levels of escapes that are layers of their own; deeper ones are decoded to their end in one pass.
 DEPTH = 16
+#: Bytes of a stream that are fed and taken at once.
+FEED = 16 << 10
 EXPANSION = 16 << 20
 MASK = "[SECRET]"
 
@@ -96,14 +109,14 @@ def _code(m: re.Match) -> bytes:
     return bytes((code,)) if code < 256 else b"?"
 
 
-def unescaped(layer: Layer) -> Layer | None:
+def unescaped(layer: Layer, escape: re.Pattern = ESCAPE) -> Layer | None:
     """The layer with its escapes decoded in place, None without any."""
     data = layer.data
     if layer.outer is not None:
-        out = ESCAPE.sub(_code, data)
-        return Layer(out, layer.outer) if out != data else None
+        out, n = escape.subn(_code, data)
+        return Layer(out, layer.outer) if n else None
     out, pieces, at, n = [], [], 0, 0
-    for m in ESCAPE.finditer(data):
+    for m in escape.finditer(data):
         if m.start() > at:
             pieces.append((n, at, 0))
             out.append(data[at : m.start()])
@@ -134,15 +147,58 @@ def settled(layer: Layer) -> Layer:
     return Layer(bytes(out), None, layer, [(n, a, b) for n, (a, b) in enumerate(pieces)])
 
 
-def _inflated(data: bytes, room: int) -> tuple[bytes | None, bool]:
-    """The contents of a zlib or gzip stream; True if it has more than `room` bytes."""
-    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-        try:
-            out = zlib.decompressobj(47).decompress(data, room + 1)
-        except zlib.error:
-            return None, False
-        return (None, True) if len(out) > room else (out, False)
-    return None, False
+def unpacked(layer: Layer, m: re.Match):
+    """The layers of a base64 run, decoded from each of its first four characters."""
+    lines = [(x.start() + m.start(), x.end() + m.start()) for x in LINE.finditer(m[0])]
+    run = b"".join(layer.data[a:b] for a, b in lines).rstrip(b"=").translate(STANDARD)
+    for k in range(4):
+        body = run[k : len(run) - ((len(run) - k) % 4 == 1)]
+        data = base64.b64decode(body + b"=" * (-len(body) % 4))
+        if not _holds(data):
+            continue
+        if len(lines) == 1 or layer.outer is not None:
+            yield Layer(data, layer.span(*m.span()))
+            continue
+        pieces, n = [(0, *lines[0])], 0
+        for (start, end), after in zip(lines, lines[1:], strict=False):
+            n += end - start
+            # a byte that is spelled by two lines stands for both
+            whole, split = divmod(max(0, n - k) * 6, 8)
+            if split:
+                pieces.append((whole, start, after[1]))
+            pieces.append((whole + (split > 0), *after))
+        yield Layer(data, None, layer, pieces)
+
+
+def contents(data: bytes, at: int):
+    """What the zlib or gzip stream at a place holds, in pieces; returns the place after it.
+
+    Members of gzip in a row are one stream. A broken or cut stream gives what comes before the break.
+    """
+    gz = data[at] == 0x1F
+    while True:
+        stream, feed = zlib.decompressobj(31 if gz else 15), b""
+        while not stream.eof:
+            if not feed:
+                feed = data[at : at + FEED]
+                at += len(feed)
+            if not feed:
+                yield stream.flush()
+                return at
+            before = stream.copy()
+            try:
+                yield stream.decompress(feed, FEED)
+            except zlib.error:
+                for k in range(len(feed)):
+                    try:
+                        yield before.decompress(feed[k : k + 1])
+                    except zlib.error:
+                        return at - len(feed) + k
+                return at
+            feed = stream.unconsumed_tail
+        at -= len(stream.unused_data)
+        if not gz or data[at : at + 3] != b"\x1f\x8b\x08":
+            return at
 
 
 def _holds(data: bytes) -> bool:
@@ -153,40 +209,82 @@ def _spans(data: bytes) -> list[tuple[str, int, int]]:
     return base_spans(data.decode("latin-1"))
 
 
+class Scan:
+    """The layers of one text, and what became of them."""
+
+    def __init__(self) -> None:
+        self.shut: set[tuple[int, int]] = set()  # spans that hold more than was opened
+        self.seen: set[tuple] = set()
+        self.room = EXPANSION
+
+    def new(self, what: str, span: tuple[int, int], data: bytes) -> bool:
+        key = (what, span, hashlib.blake2b(data, digest_size=16).digest())
+        return key not in self.seen and not self.seen.add(key)
+
+    def inside(self, layer: Layer, level: int):
+        """(layer, its level of escapes) of all that a layer holds."""
+        if level <= DEPTH:
+            inner = (unescaped if level < DEPTH else settled)(layer)
+            if inner is not None and _holds(inner.data):
+                yield inner, level + 1
+            if inner is not None and b"%" in layer.data and b"\\" in layer.data:
+                # bytes of a stream may look like an escape of the other kind
+                for kind in (PERCENT, BACKSLASH):
+                    if (one := unescaped(layer, kind)) is not None and one.data != inner.data:
+                        yield one, DEPTH + 1
+        for m in BASE64.finditer(layer.data):
+            if self.new("run", layer.span(*m.span()), m[0]):
+                for inner in unpacked(layer, m):
+                    yield inner, 0
+        if layer.outer is not None or layer.parent is not None:
+            at = 0
+            while m := STREAM.search(layer.data, at):
+                self.end = m.end()
+                yield from self.stream(layer, m.start())
+                at = max(m.start() + 1, self.end)
+
+    def stream(self, layer: Layer, at: int):
+        """The contents of the stream at a place, if it is one."""
+        taken, size, pieces = [], 0, contents(layer.data, at)
+        while size <= self.room:
+            try:
+                piece = next(pieces)
+            except StopIteration as stop:
+                self.end = stop.value
+                break
+            taken.append(piece)
+            size += len(piece)
+        if not size:
+            return
+        span = layer.span(at, max(self.end, at + 1))
+        if size > self.room:
+            self.end = len(layer.data)
+            self.shut.add(layer.span(at, len(layer.data)))
+            return
+        data = b"".join(taken)
+        del taken
+        if _holds(data) and self.new("stream", span, data):
+            self.room -= len(data)
+            yield Layer(data, span), 0
+
+
 def scan_text(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
     """(base spans, all spans, unopened runs), spans ordered by start, then kind as listed, then end."""
     if not text:
         return [], [], 0
     base = base_spans(text)
-    found, shut, room, seen = set(base), set(), EXPANSION, set()
+    found, scan = set(base), Scan()
     # no pattern or encoding has other than ASCII characters: a byte a character keeps the offsets
-    work = [(Layer(text.encode("ascii", "replace")), 0)]
+    work = [scan.inside(Layer(text.encode("ascii", "replace")), 0)]
     while work:
-        layer, level = work.pop()
-        if layer.outer is not None or layer.parent is not None:
-            found.update((kind, *layer.span(start, end)) for kind, start, end in _spans(layer.data))
-        inner = (unescaped if level < DEPTH else settled)(layer) if level <= DEPTH else None
-        if inner is not None and _holds(inner.data):
-            work.append((inner, level + 1))
-        for m in BASE64.finditer(layer.data):
-            outer = layer.span(*m.span())
-            run = m[0].rstrip(b"=").translate(STANDARD)
-            if (outer, run) in seen:
-                continue
-            seen.add((outer, run))
-            for k in range(4):
-                body = run[k : len(run) - ((len(run) - k) % 4 == 1)]
-                data = base64.b64decode(body + b"=" * (-len(body) % 4))
-                out, over = _inflated(data, room)
-                if over:
-                    shut.add(outer)
-                if out is not None:
-                    room -= len(out)
-                    work.append((Layer(out, outer), 0))
-                elif _holds(data):
-                    work.append((Layer(data, outer), 0))
+        layer, level = next(work[-1], (None, 0))
+        if layer is None:
+            work.pop()
+            continue
+        found.update((kind, *layer.span(start, end)) for kind, start, end in _spans(layer.data))
+        work.append(scan.inside(layer, level))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    return sorted(base, key=order), sorted(found, key=order), len(shut)
+    return sorted(base, key=order), sorted(found, key=order), len(scan.shut)
 
 
 def mask(text: str, spans: list[tuple[str, int, int]]) -> str:

@@ -93,3 +93,28 @@ def test_base64_beginning_inside_a_run():
 def test_deep_escapes_end_in_linear_time():
     deep = "%" + "25" * 20_000 + "70assword=hunter22x"
     assert ("assign", 0, len(deep)) in secrets.scan_text(deep)[1]
+
+
+def _b64(data):
+    return base64.b64encode(data).decode()
+
+
+def test_streams_are_opened_whatever_wraps_them():
+    inner = f"key {KEY} end ​　\xa0".encode()
+    packed, zipped = zlib.compress(inner), gzip.compress(inner)
+    noise = bytes(range(256)) * 3
+    wrapped = base64.encodebytes(zlib.compress(noise + inner + noise)).decode().strip()
+    runs = [_b64(gzip.compress(zipped)), _b64(zlib.compress(zlib.compress(zipped))), _b64(gzip.compress(b"first") + zipped), _b64(gzip.compress(f"see {KEY[:9]}".encode()) + gzip.compress(KEY[9:].encode()))]
+    runs += [urllib.parse.quote(packed, safe=""), "".join(f"\\x{c:02x}" for c in packed), "".join(f"\\u{c:04x}" for c in zipped), repr(zipped)[2:-1]]
+    runs += [_b64(inner), _b64(packed[:-3]), _b64(b"head" + zipped), wrapped, wrapped.replace("\n", "\r\n  "), wrapped.replace("\n", "\\n"), _b64(wrapped.encode())]
+    for run in runs:
+        text = f"é {run}, z"
+        base, spans, unopened = secrets.scan_text(text)
+        assert any(k == "access" for k, _, _ in spans) and unopened == 0, run
+        assert ("access", 2, 2 + len(run)) in spans or run in runs[4:8], (run, spans)
+
+
+def test_a_wrapped_run_reports_the_lines_of_the_secret():
+    lines = [_b64(b"nothing here at all, it is only filling"), _b64(f"{KEY}, ".encode() * 2)]
+    text = "\n".join(["word", *(x.rstrip("=") for x in lines), "word"])
+    assert [text[a:b] for _, a, b in secrets.scan_text(text)[1]] == [lines[1].rstrip("=")]
