@@ -11,7 +11,8 @@ Each text is a layer of bytes. A layer is scanned for secrets, then unwrapped:
   that place is noise and holds no secret;
 * lines of base64 that follow each other, as wrapped encodings do, are one run;
 * wherever decoded bytes hold a zlib or gzip stream, whatever wrapped it, its contents
-  are a layer, gzip members in a row joined. A broken stream counts as far as it goes.
+  are a layer, gzip members in a row joined. A cut stream counts as far as it goes, and
+  so does a broken one where decoded bytes begin with it.
 
 Every layer is scanned as bytes, printable or not.
 
@@ -20,9 +21,12 @@ is not entered again, so encodings that reproduce themselves end. A secret in an
 escaped layer is reported at the characters that spell it, one inside base64 at the
 span of the outermost run that holds it.
 
-Layers shrink or are seen before, except compressed ones; what one text may inflate
-to is bounded by EXPANSION bytes. Runs beyond are reported in `unopened`, not passed
-over in silence.
+Layers shrink or are seen before, except compressed ones. Streams of which EXPANSION
+bytes are not enough to hold all that are open at once are scanned in chunks, cut where
+no pattern or encoding can go on; so a stream of any size is scanned to its end. Two
+things are not exact and put the run into `unopened`, and redact() masks it whole: a
+chunk without such a place, which is cut with an overlap, and streams inside streams
+beyond NESTED bytes in one text, which could go on without end.
 
 Defined results: null and empty texts have no spans; the same secret found twice
 at one span counts once; repeated rows are scanned alike; other columns are kept.
@@ -68,7 +72,12 @@ INSIDE = re.compile(ANY.encode() + b"|" + STREAM.pattern)
 DEPTH = 16
 #: Bytes of a stream that are fed and taken at once.
 FEED = 16 << 10
+#: Bytes of open streams that are held at once; size and overlap of the chunks beyond; bytes of nested streams in a text.
 EXPANSION = 16 << 20
+CHUNK, OVERLAP = 1 << 20, 64 << 10
+NESTED = 1 << 30
+#: Where a chunk may end, before the last byte: a byte that is in no pattern, or a blank between words that no pattern or encoding spans.
+CUT = re.compile(rb"[^A-Za-z0-9+/_.=%:\\\"' \t\r\n-]|[g-mo-qs-zG-Z] (?=[A-Za-z0-9])", re.S)
 MASK = "[SECRET]"
 
 
@@ -171,7 +180,7 @@ def unpacked(layer: Layer, m: re.Match):
 
 
 def contents(data: bytes, at: int):
-    """What the zlib or gzip stream at a place holds, in pieces; returns the place after it.
+    """What the zlib or gzip stream at a place holds, in pieces; returns the place after it and how it ended.
 
     Members of gzip in a row are one stream. A broken or cut stream gives what comes before the break.
     """
@@ -184,7 +193,7 @@ def contents(data: bytes, at: int):
                 at += len(feed)
             if not feed:
                 yield stream.flush()
-                return at
+                return at, "cut"
             before = stream.copy()
             try:
                 yield stream.decompress(feed, FEED)
@@ -193,12 +202,12 @@ def contents(data: bytes, at: int):
                     try:
                         yield before.decompress(feed[k : k + 1])
                     except zlib.error:
-                        return at - len(feed) + k
-                return at
+                        return at - len(feed) + k, "broken"
+                return at, "broken"
             feed = stream.unconsumed_tail
         at -= len(stream.unused_data)
         if not gz or data[at : at + 3] != b"\x1f\x8b\x08":
-            return at
+            return at, "whole"
 
 
 def _holds(data: bytes) -> bool:
@@ -209,82 +218,135 @@ def _spans(data: bytes) -> list[tuple[str, int, int]]:
     return base_spans(data.decode("latin-1"))
 
 
+def _cut(data: bytes) -> int:
+    """The last place where a chunk may end, 0 if there is none."""
+    for size in (1 << 12, len(data)):
+        at = 0
+        for m in CUT.finditer(data, max(0, len(data) - size)):
+            at = m.end()
+        if at:
+            return at
+    return 0
+
+
 class Scan:
     """The layers of one text, and what became of them."""
 
     def __init__(self) -> None:
-        self.shut: set[tuple[int, int]] = set()  # spans that hold more than was opened
+        self.shut: set[tuple[int, int]] = set()  # spans that may hold more than was found
         self.seen: set[tuple] = set()
-        self.room = EXPANSION
+        self.room, self.nested = EXPANSION, 0
 
     def new(self, what: str, span: tuple[int, int], data: bytes) -> bool:
         key = (what, span, hashlib.blake2b(data, digest_size=16).digest())
         return key not in self.seen and not self.seen.add(key)
 
-    def inside(self, layer: Layer, level: int):
-        """(layer, its level of escapes) of all that a layer holds."""
+    def inside(self, layer: Layer, level: int = 0, depth: int = 0, cut: bool = False):
+        """(layer, its level of escapes, streams round it, whether it is a chunk that goes on) of all that a layer holds."""
         if level <= DEPTH:
             inner = (unescaped if level < DEPTH else settled)(layer)
             if inner is not None and _holds(inner.data):
-                yield inner, level + 1
+                yield inner, level + 1, depth, cut
             if inner is not None and b"%" in layer.data and b"\\" in layer.data:
                 # bytes of a stream may look like an escape of the other kind
                 for kind in (PERCENT, BACKSLASH):
                     if (one := unescaped(layer, kind)) is not None and one.data != inner.data:
-                        yield one, DEPTH + 1
+                        yield one, DEPTH + 1, depth, cut
         for m in BASE64.finditer(layer.data):
             if self.new("run", layer.span(*m.span()), m[0]):
                 for inner in unpacked(layer, m):
-                    yield inner, 0
+                    yield inner, 0, depth, cut and m.end() == len(layer.data)
         if layer.outer is not None or layer.parent is not None:
             at = 0
             while m := STREAM.search(layer.data, at):
-                self.end = m.end()
-                yield from self.stream(layer, m.start())
-                at = max(m.start() + 1, self.end)
-
-    def stream(self, layer: Layer, at: int):
-        """The contents of the stream at a place, if it is one."""
-        taken, size, pieces = [], 0, contents(layer.data, at)
-        while size <= self.room:
-            try:
-                piece = next(pieces)
-            except StopIteration as stop:
-                self.end = stop.value
+                end = yield from self.stream(layer, m.start(), depth, cut)
+                at = max(m.start() + 1, end)
+
+    def stream(self, layer: Layer, at: int, depth: int, cut: bool):
+        """The contents of the stream at a place, if it is one, whole or in chunks; returns the place after it."""
+        pieces, end, buffer = contents(layer.data, at), None, bytearray()
+        span = layer.outer
+        whole = True
+        while end is None:
+            least = len(buffer) + CHUNK if not whole else self.room + 1
+            while end is None and len(buffer) < least:
+                try:
+                    piece = next(pieces)
+                except StopIteration as stop:
+                    end, how = stop.value
+                    break
+                buffer += piece
+                self.nested += len(piece) if depth else 0
+                if self.nested > NESTED:
+                    self.shut.add(span or layer.span(at, len(layer.data)))
+                    return len(layer.data)
+            if end is not None:
                 break
-            taken.append(piece)
-            size += len(piece)
-        if not size:
-            return
-        span = layer.span(at, max(self.end, at + 1))
-        if size > self.room:
-            self.end = len(layer.data)
-            self.shut.add(layer.span(at, len(layer.data)))
-            return
-        data = b"".join(taken)
-        del taken
+            if whole:
+                # too large to be held: from here on in chunks
+                whole = False
+                if span is None or at:
+                    rest = contents(layer.data, at)
+                    try:
+                        while True:
+                            next(rest)
+                    except StopIteration as stop:
+                        span = layer.span(at, max(at + 1, stop.value[0]))
+                        if at and stop.value[1] == "broken":
+                            return at + 1
+                if self.room < -4 * EXPANSION:
+                    self.shut.add(span)
+                    return len(layer.data)
+            to = _cut(buffer) if len(buffer) >= CHUNK else 0
+            if not to and len(buffer) < max(CHUNK, self.room):
+                continue
+            if not to:
+                self.shut.add(span)
+            data, buffer = bytes(buffer[: to or len(buffer)]), buffer[to or max(1, len(buffer) - OVERLAP) :]
+            yield from self._held(data, span, depth, True)
+        if at and how == "broken":
+            # bytes that look like a stream by chance
+            return at + 1
+        span = span or layer.span(at, max(at + 1, end))
+        if cut and how == "cut":
+            self.shut.add(span)
+        if buffer:
+            data = bytes(buffer)
+            buffer.clear()
+            yield from self._held(data, span, depth, False)
+        return end
+
+    def _held(self, data: bytes, span: tuple[int, int], depth: int, cut: bool):
         if _holds(data) and self.new("stream", span, data):
             self.room -= len(data)
-            yield Layer(data, span), 0
+            yield Layer(data, span), 0, depth + 1, cut
+            self.room += len(data)
 
 
-def scan_text(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
-    """(base spans, all spans, unopened runs), spans ordered by start, then kind as listed, then end."""
+def scan_layers(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], list[tuple[int, int]]]:
+    """(base spans, all spans, spans not fully opened), spans ordered by start, then kind as listed, then end."""
     if not text:
-        return [], [], 0
+        return [], [], []
     base = base_spans(text)
     found, scan = set(base), Scan()
     # no pattern or encoding has other than ASCII characters: a byte a character keeps the offsets
-    work = [scan.inside(Layer(text.encode("ascii", "replace")), 0)]
+    work = [scan.inside(Layer(text.encode("ascii", "replace")))]
     while work:
-        layer, level = next(work[-1], (None, 0))
-        if layer is None:
+        inner = next(work[-1], None)
+        if inner is None:
             work.pop()
             continue
+        layer = inner[0]
         found.update((kind, *layer.span(start, end)) for kind, start, end in _spans(layer.data))
-        work.append(scan.inside(layer, level))
+        work.append(scan.inside(*inner))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    return sorted(base, key=order), sorted(found, key=order), len(scan.shut)
+    return sorted(base, key=order), sorted(found, key=order), sorted(scan.shut)
+
+
+def scan_text(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
+    """(base spans, all spans, number of runs not fully opened)."""
+    base, every, shut = scan_layers(text)
+    return base, every, len(shut)
 
 
 def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -330,11 +392,15 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with every found span of text masked; all rows and all other columns stay as they are."""
+    """docs with every found span of text masked, and runs that could not be opened to their end; all rows and all other columns stay as they are."""
+
+    def clean(text):
+        _, every, shut = scan_layers(text)
+        return mask(text, every + [("shut", *s) for s in shut])
 
     @F.pandas_udf("string")
     def masked(texts):
         may = _candidates(pa.array(texts, pa.string(), from_pandas=True))
-        return texts.where([not m for m in may], [mask(t, scan_text(t)[1]) if m else t for t, m in zip(texts, may, strict=True)])
+        return texts.where([not m for m in may], [clean(t) if m else t for t, m in zip(texts, may, strict=True)])
 
     return docs.select(*(masked(docs["text"]).alias("text") if c == "text" else docs[c] for c in docs.columns))

@@ -118,3 +118,30 @@ def test_a_wrapped_run_reports_the_lines_of_the_secret():
     lines = [_b64(b"nothing here at all, it is only filling"), _b64(f"{KEY}, ".encode() * 2)]
     text = "\n".join(["word", *(x.rstrip("=") for x in lines), "word"])
     assert [text[a:b] for _, a, b in secrets.scan_text(text)[1]] == [lines[1].rstrip("=")]
+
+
+def test_streams_beyond_the_room_are_scanned_to_their_end(monkeypatch):
+    monkeypatch.setattr(secrets, "EXPANSION", 1 << 16)
+    monkeypatch.setattr(secrets, "CHUNK", 1 << 12)
+    filling = "".join(f"line {k}, words here\n" for k in range(20_000))
+    late = _b64(zlib.compress((filling + f"password = {'h' * 9}, {_b64(KEY.encode())}").encode()))
+    text = f"é {late} z " + "%41%42 " * 30_000 + _b64(f"key {KEY} end".encode())
+    base, spans, unopened = secrets.scan_text(text)
+    assert base == [] and unopened == 0
+    assert {(k, e) for k, _, e in spans} == {("assign", 2 + len(late)), ("access", 2 + len(late)), ("access", len(text))}
+    for first in range(900, 4200, 400):
+        edge = _b64(zlib.compress((filling + "x" * first + f" token = {'k' * 12}, " + filling).encode()))
+        assert secrets.scan_text(edge)[1:] == ([("assign", 0, len(edge))], 0)
+
+
+def test_redact_masks_what_could_not_be_opened(spark, monkeypatch):
+    bomb = _b64(zlib.compress(b"z" * (secrets.EXPANSION + 10)))
+    docs = spark.createDataFrame([(1, f"a {bomb} b")], "doc_id long, text string")
+    assert secrets.scan_text(f"a {bomb} b")[1:] == ([], 1)
+    assert [tuple(r) for r in secrets.redact(docs).collect()] == [(1, "a [SECRET] b")]
+
+
+def test_many_streams_side_by_side_and_nests_of_bombs():
+    big = _b64(zlib.compress(b", " * (6 << 20)))
+    text = f"{big} {big[:-8]} {_b64(gzip.compress(f'key {KEY}'.encode()))}"
+    assert [s[0] for s in secrets.scan_text(text)[1]] == ["access"] and secrets.scan_text(text)[2] == 0
