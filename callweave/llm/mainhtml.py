@@ -38,36 +38,77 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 LEFT_OUT = frozenset("nav footer aside form script style textarea title noscript iframe xmp noembed noframes template head button select option svg math object audio video canvas dialog menu fieldset".split())
 ARTICLE = frozenset(("article", "main"))
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|paywall"
-    r"|sidebar|side-?nav|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|footer|copyright|share|sharing|social|related|recommend\w*|trending|widget|tags?"
-    r"|comments?|commentlist|disqus|respond|replies|search|skip)(?:$|[\s_-])",
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|paywall"
+    r"|sidebar|sidenav|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|footer|copyright|share|sharing|social|related|recommend\w*|trending|widget|tags?"
+    r"|comments?|commentlist|disqus|respond|replies|search|skip",
     re.I,
 )
+#: Names that say so whatever follows them in a class or id, and what may follow the others.
+PLAIN = re.compile(r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|gdpr|newsletter|subscri\w+|paywall|disqus|breadcrumbs?|pagination", re.I)
+SUFFIX = re.compile(r"\d+|box|blocks?|wrap|wrapper|container|bars?|list|area|section|panel|inner|outer|items?|links?|buttons?|btn|icons?|form|top|bottom|left|right|header|title|content|primary|secondary|to|posts?|articles?|stories", re.I)
+#: Parts that make a class say something about the page's layout or state.
+STATE = re.compile(r"no|not|has|have|with|without|is|hide|show|open|opened|closed|enabled?|disabled?|active|inactive|on|off|results?", re.I)
+#: Elements left out by name or kind that may yet turn out to wrap the page.
+WRAPS = frozenset(("form", "fieldset"))
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([a-zA-Z-]+)")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 
-def _left_out(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of the main text."""
-    if name in LEFT_OUT or name == "header" and not inside:
-        return True
+def _named(value: str, inside: bool) -> bool:
+    """Whether one of the classes or ids names something that is no main text."""
+    for token in value.split():
+        parts = [p for p in re.split(r"[-_]+", token) if p]
+        if not parts or any(STATE.fullmatch(p) for p in parts):
+            continue
+        if NAMED.fullmatch(parts[-1]) or PLAIN.fullmatch(parts[0]) or not inside and parts[-1].lower() == "header":
+            return True
+        if any(NAMED.fullmatch(p) and all(SUFFIX.fullmatch(q) or NAMED.fullmatch(q) for q in parts[k + 1 :]) for k, p in enumerate(parts)):
+            return True
+    return False
+
+
+def _left_out(name: str, attributes: str, inside: bool) -> str:
+    """Whether an element is no part of the main text: "" if it is, "name" if only its name or kind says so, else "sure"."""
+    if name in LEFT_OUT and name not in WRAPS or name == "header" and not inside:
+        return "sure"
+    said = "name" if name in WRAPS else ""
     if not attributes.strip() or name in ARTICLE or name in ("html", "body"):
-        return False
+        return said
     for m in ATTRIBUTE.finditer(attributes):
         key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id") and (NAMED.search(value) or not inside and re.search(r"(?:^|[\s_-])header(?:$|[\s_-])", value, re.I)):
-            return True
+        if key in ("class", "id") and _named(value, inside):
+            said = "name"
         if key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return "sure"
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return "sure"
+    return said
 
 
 def lines_of(html: str) -> list[tuple[str, bool, float]]:
-    """(text, inside a marked article, linked share) of each block; left-out blocks are blank lines."""
+    """(text, inside a marked article, linked share) of each block; left-out blocks are blank lines.
+
+    An element that only its name leaves out is taken after all if it wraps an article, or most of the unlinked
+    text of a page outside articles, or if nothing is left without such elements.
+    """
+    spared: set[int] = set()
+    while True:
+        lines, held, total = _read(html, spared)
+        more = {k for k, (size, article) in held.items() if article or 2 * size > total}
+        if not more and not any(text for text, _, _ in lines):
+            more = set(held)
+        if not more:
+            return lines
+        spared |= more
+
+
+def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, bool, float]], dict[int, list], int]:
+    """The lines; of each element left out by name, by the place of its tag, its unlinked text and whether it holds an article; the page's unlinked text."""
+    names: list[int] = []  # places of the open elements left out by name
+    held: dict[int, list] = {}
+    total = 0
     lines: list[tuple[str, bool, float]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, left out, article
+    stack: list[tuple[str, str, bool]] = []  # name, left out, article
     text: list[str] = []
     state = {"out": 0, "article": 0, "linked": 0}
 
@@ -80,13 +121,21 @@ def lines_of(html: str) -> list[tuple[str, bool, float]]:
 
     def pop(to: int) -> None:
         for name, out, article in stack[to:]:
-            state["out"] -= out
+            if out == "name":
+                names.pop()
+            state["out"] -= out != ""
             state["article"] -= article
             if (out or article) and name not in INLINE:
                 lines.extend([("", state["article"] > 0, 0.0)] * WINDOW)
         del stack[to:]
 
     def add(piece: str) -> None:
+        nonlocal total
+        if state["out"] == len(names) and not any(x[0] == "a" for x in stack[-4:]):
+            size = len(piece.strip())
+            total += size
+            for k in names if not state["article"] else ():
+                held[k][0] += size
         if piece and not state["out"]:
             text.append(piece)
             if any(x[0] == "a" for x in stack[-4:]):
@@ -128,14 +177,22 @@ def lines_of(html: str) -> list[tuple[str, bool, float]]:
         if m[3].endswith("/"):
             continue
         out = _left_out(name, m[3], state["article"] > 0)
+        if out == "name" and m.start() in spared:
+            out = ""
+        if name in ARTICLE and state["out"] == len(names):
+            for k in names:
+                held[k][1] = True
+        if out == "name":
+            names.append(m.start())
+            held[m.start()] = [0, False]
         article = name in ARTICLE and not state["out"]
         if article and not state["article"]:
             lines.extend([("", False, 0.0)] * WINDOW)
         stack.append((name, out, article))
-        state["out"] += out
+        state["out"] += out != ""
         state["article"] += article
     flush()
-    return lines
+    return lines, held, total
 
 
 def regions(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:

@@ -30,3 +30,14 @@ def test_edges(spark):
     assert got[:5] == [(1, "u", "", 0), (2, None, "", 0), (None, "u", "plain < text & more", 19), (4, "u", "a", 1), (5, "u", "", 0)]
     assert got[5][3] == 499_999
     assert mainhtml.extract(pages.limit(0)).count() == 0
+
+
+def test_names_of_wrappers_do_not_empty_the_page():
+    article = f"<h1>Head</h1><p>{LONG}</p><p>{LONG * 2}</p>"
+    want = f"Head\n{LONG.strip()}\n{(LONG * 2).strip()}"
+    for tag in ('div class="layout no-sidebar"', 'div class="has-sidebar"', 'div class="with-nav"', 'div class="comments-open"', 'div class="share-enabled"', 'div class="post hentry tag-foo"', 'div id="search-result"', "form", 'div class="widget"'):
+        name = tag.split()[0]
+        assert mainhtml.main_text(f"<body>{NAV}<{tag}>{article}</{name}></body>") == want, tag
+        assert mainhtml.main_text(f"<body>{NAV}<{tag}><article>{article}</article></{name}></body>") == want, tag
+    for name in ("site-footer", "ad-leaderboard", "cookie-consent-banner", "comments-area", "sidebar left", "post_tags", "social-share-buttons"):
+        assert mainhtml.main_text(f'<body><div><h1>Head</h1><p>{LONG}</p><p>{LONG * 2}</p></div><div class="{name}"><p>{LONG}</p></div></body>') == want, name
