@@ -26,7 +26,8 @@ bytes are not enough to hold all that are open at once are scanned in chunks, cu
 no pattern or encoding can go on; so a stream of any size is scanned to its end. Two
 things are not exact and put the run into `unopened`, and redact() masks it whole: a
 chunk without such a place, which is cut with an overlap, and streams inside streams
-beyond NESTED bytes in one text, which could go on without end.
+beyond NESTED bytes in one text, or four times EXPANSION open at once, which could go
+on without end.
 
 Defined results: null and empty texts have no spans; the same secret found twice
 at one span counts once; repeated rows are scanned alike; other columns are kept.
