@@ -1,23 +1,29 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped into lines, one for each block of the page. Lines of menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments, and lines that are mostly links, are blank. Text lengths are summed over
-sliding windows of WINDOW lines: a region starts where the sum surges from nothing
-and ends where it dives to nothing again. The largest region and those of at least
-SHARE of its text are kept, whole, short lines included; outside a marked article
-a region must also reach SURGE characters in some window.
-
-Where a page marks its article, what stands outside is blank; what is left out
-inside it does not end a region.
-
-Defined results: null and empty pages give an empty text; unclosed and stray tags
-are read as browsers do, as far as block structure goes; repeated rows are read
-alike; page_id and url are passed through, nulls too; other columns are ignored.
+Markup is stripped into lines, one for each block of the page; a line's length is its
+unlinked text. Elements of menus, headers, footers, sidebars, notices, adverts, forms,
+scripts, styles and reader comments give no lines but a gap of WINDOW empty ones, and
+none where their container goes on with prose of its own. Lines that are mostly links
+and lines that state rights have no length.
+
+Lengths are summed over sliding windows of WINDOW lines. A region surges where the sums
+leave zero and dives where they return to it; it counts if some window of it reaches
+SURGE characters. The text between surge and dive is kept, paragraphs that are links
+included; lists of links and lines of rights inside it are not.
+
+Where a page marks its article, and it holds at least half of the page's unlinked text,
+lines outside have no length, gaps inside it do not count, and neither does SURGE.
+
+Defined results: null and empty pages give an empty text; a page on which nothing
+surges gives all its lines with a length; unclosed and stray tags are read as browsers
+do, as far as block structure goes; repeated rows are read alike; page_id and url are
+passed through, nulls too; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from dataclasses import dataclass, field
 import re
 from html import unescape
 
@@ -25,18 +31,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 WINDOW = 3
-SURGE = 80
-SHARE = 0.3
-#: Lines of which more than this share is link text count as menus outside a marked article.
+#: Unlinked characters that some window of a region must reach; headlines weigh more.
+SURGE, HEADLINE = 40, 4
+#: Lines of which more than this share is link text have no length.
 LINKED = 0.6
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A quote opens a value only after an equals sign; a tag that never ends takes the rest of the page.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^>\s]*+|))*+)(?:>|\Z)", re.S)
+#: A line that states rights, as footers do.
+RIGHTS = re.compile(r"(?:©|\(c\)|copyright)\s*(?:©|\(c\))?\s*(?:\d{4}|by\b)|all rights reserved\W*$", re.I)
+RIGHTS_LENGTH = 200
 #: Elements by how they are read.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br picture source".split())
 LEFT_OUT = frozenset("nav footer aside form script style textarea title noscript iframe xmp noembed noframes template head button select option svg math object audio video canvas dialog menu fieldset".split())
 ARTICLE = frozenset(("article", "main"))
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dl dd dt".split())
 NAMED = re.compile(
     r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|paywall"
     r"|sidebar|sidenav|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|footer|copyright|share|sharing|social|related|recommend\w*|trending|widget|tags?"
@@ -48,6 +59,8 @@ PLAIN = re.compile(r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|gdpr|ne
 SUFFIX = re.compile(r"\d+|box|blocks?|wrap|wrapper|container|bars?|list|area|section|panel|inner|outer|items?|links?|buttons?|btn|icons?|form|top|bottom|left|right|header|title|content|primary|secondary|to|posts?|articles?|stories", re.I)
 #: Parts that make a class say something about the page's layout or state.
 STATE = re.compile(r"no|not|has|have|with|without|is|hide|show|open|opened|closed|enabled?|disabled?|active|inactive|on|off|results?", re.I)
+#: What readers wrote may be most of a page and still is no main text.
+COMMENTS = re.compile(r"(?<![a-z])(?:comments?|commentlist|disqus|respond|replies)(?![a-z])", re.I)
 #: Elements left out by name or kind that may yet turn out to wrap the page.
 WRAPS = frozenset(("form", "fieldset"))
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([a-zA-Z-]+)")
@@ -85,146 +98,216 @@ def _left_out(name: str, attributes: str, inside: bool) -> str:
     return said
 
 
-def lines_of(html: str) -> list[tuple[str, bool, float]]:
-    """(text, inside a marked article, linked share) of each block; left-out blocks are blank lines.
+@dataclass
+class Line:
+    """A block's text, whether a marked article holds it, its unlinked length, its element and the place of its container."""
 
-    An element that only its name leaves out is taken after all if it wraps an article, or most of the unlinked
-    text of a page outside articles, or if nothing is left without such elements.
-    """
-    spared: set[int] = set()
-    while True:
-        lines, held, total = _read(html, spared)
-        more = {k for k, (size, article) in held.items() if article or 2 * size > total}
-        if not more and not any(text for text, _, _ in lines):
-            more = set(held)
-        if not more:
-            return lines
-        spared |= more
+    text: str
+    inside: bool = False
+    length: int = 0
+    kind: str = ""
+    container: int = -1
+
+
+@dataclass
+class Open:
+    """An open element: how it is left out, whether it is an article, where its tag stands; of one left out by name, what it holds."""
 
+    name: str
+    out: str
+    article: bool
+    at: int
+    size: int = 0
+    holds_article: bool = False
+    comments: bool = False
 
-def _read(html: str, spared: set[int]) -> tuple[list[tuple[str, bool, float]], dict[int, list], int]:
-    """The lines; of each element left out by name, by the place of its tag, its unlinked text and whether it holds an article; the page's unlinked text."""
-    names: list[int] = []  # places of the open elements left out by name
-    held: dict[int, list] = {}
-    total = 0
-    lines: list[tuple[str, bool, float]] = []
-    stack: list[tuple[str, str, bool]] = []  # name, left out, article
-    text: list[str] = []
-    state = {"out": 0, "article": 0, "linked": 0}
-
-    def flush() -> None:
-        line = " ".join(unescape("".join(text)).split())
-        if line:
-            lines.append((line, state["article"] > 0, state["linked"] / max(1, sum(map(len, text)))))
-        text.clear()
-        state["linked"] = 0
-
-    def pop(to: int) -> None:
-        for name, out, article in stack[to:]:
-            if out == "name":
-                names.pop()
-            state["out"] -= out != ""
-            state["article"] -= article
-            if (out or article) and name not in INLINE:
-                lines.extend([("", state["article"] > 0, 0.0)] * WINDOW)
-        del stack[to:]
-
-    def add(piece: str) -> None:
-        nonlocal total
-        if state["out"] == len(names) and not any(x[0] == "a" for x in stack[-4:]):
+
+@dataclass
+class Page:
+    """What one reading gives: lines, and of each element left out by name its unlinked text and whether it holds an article."""
+
+    lines: list[Line] = field(default_factory=list)
+    held: dict[int, tuple[int, bool]] = field(default_factory=dict)
+    total: int = 0
+
+
+class Reader:
+    """One pass over a page's tags; elements whose tags stand at `spared` places are not left out by name."""
+
+    def __init__(self, html: str, spared: set[int]) -> None:
+        self.html, self.spared, self.page = html, spared, Page()
+        self.stack: list[Open] = []
+        self.names: Counter = Counter()  # names on the stack
+        self.out = self.by_name = self.articles = self.links = 0
+        self.text: list[str] = []
+        self.linked = 0
+
+    def read(self) -> Page:
+        at = 0
+        while True:
+            m = TAG.search(self.html, at)
+            self.add(self.html[at : m.start() if m else len(self.html)])
+            if not m:
+                break
+            at = m.end()
+            if name := (m[2] or "").lower():
+                at = self.tag(m, name, at)
+        self.flush()
+        self.pop(0)
+        return self.page
+
+    def add(self, piece: str) -> None:
+        if not piece:
+            return
+        if self.out == self.by_name and not self.links:
             size = len(piece.strip())
-            total += size
-            for k in names if not state["article"] else ():
-                held[k][0] += size
-        if piece and not state["out"]:
-            text.append(piece)
-            if any(x[0] == "a" for x in stack[-4:]):
-                state["linked"] += len(piece)
-
-    at = 0
-    while True:
-        m = TAG.search(html, at)
-        add(html[at : m.start() if m else len(html)])
-        if not m:
-            break
-        at, name = m.end(), (m[2] or "").lower()
-        if not name:
-            continue
-        if name not in INLINE:
-            flush()
+            self.page.total += size
+            if self.by_name and not self.articles:
+                next(x for x in reversed(self.stack) if x.out == "name").size += size
+        if not self.out:
+            self.text.append(piece)
+            self.linked += len(piece) if self.links else 0
+
+    def flush(self) -> None:
+        raw = "".join(self.text)
+        text = " ".join(unescape(raw).split())
+        if text:
+            blocks = [x for x in self.stack[-8:] if x.name not in INLINE]
+            kind = blocks[-1].name if blocks else ""
+            home = blocks[-2:-1] if kind in PROSE else blocks[-1:]
+            some = len(raw) * LINKED >= self.linked and not (len(text) <= RIGHTS_LENGTH and RIGHTS.search(text))
+            self.page.lines.append(Line(text, self.articles > 0, len(text) if some else 0, kind, home[0].at if home else -1))
+        self.text.clear()
+        self.linked = 0
+
+    def gap(self) -> None:
+        home = next((x.at for x in reversed(self.stack) if x.name not in INLINE), -1)
+        self.page.lines.extend([Line("", self.articles > 0, 0, "gap", home)] * WINDOW)
+
+    def pop(self, to: int) -> None:
+        while len(self.stack) > to:
+            x = self.stack.pop()
+            self.names[x.name] -= 1
+            self.out -= x.out != ""
+            self.articles -= x.article
+            self.links -= x.name == "a"
+            if x.out == "name":
+                self.by_name -= 1
+                self.page.held[x.at] = (0 if x.comments else x.size, x.holds_article)
+                for outer in reversed(self.stack):
+                    if outer.out == "name":
+                        outer.size += x.size
+                        outer.holds_article |= x.holds_article
+                        break
+            if (x.out or x.article) and x.name not in INLINE and not self.out:
+                self.gap()
+
+    def close(self, name: str) -> None:
+        if self.names[name] > 0:
+            self.pop(next(k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k].name == name))
+
+    def tag(self, m: re.Match, name: str, at: int) -> int:
+        """Read one tag; returns where to go on."""
+        block = name not in INLINE
+        if block:
+            self.flush()
         elif name == "br":
-            add(" ")
+            self.add(" ")
         if m[1]:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if k is not None:
-                pop(k)
-            continue
+            self.close(name)
+            return at
         if name in VOID:
-            continue
+            return at
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
-            continue
-        if name not in INLINE:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    pop(k)
-                    break
-                if stack[k][0] not in INLINE:
-                    break
-            if stack and name == stack[-1][0] and name in ("li", "td", "th", "tr", "dd", "dt", "option"):
-                pop(len(stack) - 1)
+            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(self.html, at)
+            return end.end() if end else len(self.html)
+        if block and self.stack:
+            tail = len(self.stack)
+            while tail and self.stack[tail - 1].name in INLINE:
+                tail -= 1
+            if tail and (self.stack[tail - 1].name == "p" or self.stack[tail - 1].name == name and name in ("li", "td", "th", "tr", "dd", "dt", "option")):
+                self.pop(tail - 1)
         if m[3].endswith("/"):
-            continue
-        out = _left_out(name, m[3], state["article"] > 0)
-        if out == "name" and m.start() in spared:
+            return at
+        out = _left_out(name, m[3], self.articles > 0)
+        if out == "name" and m.start() in self.spared:
             out = ""
-        if name in ARTICLE and state["out"] == len(names):
-            for k in names:
-                held[k][1] = True
-        if out == "name":
-            names.append(m.start())
-            held[m.start()] = [0, False]
-        article = name in ARTICLE and not state["out"]
-        if article and not state["article"]:
-            lines.extend([("", False, 0.0)] * WINDOW)
-        stack.append((name, out, article))
-        state["out"] += out != ""
-        state["article"] += article
-    flush()
-    return lines, held, total
-
-
-def regions(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
-    """[surge, dive) ranges: runs of lines in which every window of so many lines holds text."""
-    sums = [sum(lengths[k : k + window]) for k in range(len(lengths))]
-    out, start = [], None
-    for k, n in enumerate([*sums, 0]):
-        if start is None and n:
-            start = next(j for j in range(k, k + window) if lengths[j])
-        elif start is not None and not n:
-            out.append((start, max(j for j in range(start, k) if lengths[j]) + 1))
+        if not block and not out and name != "a" and not (self.out and self.names[name]):
+            return at  # what only changes how text looks
+        if name == "a" and self.links:
+            self.close("a")  # links do not nest
+        if name in ARTICLE and self.out == self.by_name and self.by_name:
+            next(x for x in reversed(self.stack) if x.out == "name").holds_article = True
+        article = name in ARTICLE and not self.out
+        if article and not self.articles:
+            self.gap()
+        self.stack.append(Open(name, out, article, m.start(), comments=COMMENTS.search(m[3]) is not None))
+        self.names[name] += 1
+        self.out += out != ""
+        self.by_name += out == "name"
+        self.articles += article
+        self.links += name == "a"
+        return at
+
+
+def lines_of(html: str) -> list[Line]:
+    """The page's lines and gaps.
+
+    An element that only its name leaves out is taken after all if it wraps an article, or, unless it is named for
+    comments, most of the unlinked text of a page outside articles, or if nothing is left without such elements.
+    """
+    spared: set[int] = set()
+    while True:
+        page = Reader(html, spared).read()
+        more = {at for at, (size, article) in page.held.items() if article or 2 * size > page.total}
+        if not more and not any(x.text for x in page.lines):
+            more = set(page.held)
+        if not more:
+            return _bridged(page.lines)
+        spared |= more
+
+
+def _bridged(lines: list[Line]) -> list[Line]:
+    """The lines without gaps whose container has prose of its own before and after."""
+    first: dict[int, int] = {}
+    last: dict[int, int] = {}
+    for k, x in enumerate(lines):
+        if x.text:
+            first.setdefault(x.container, k)
+            last[x.container] = k
+    return [x for k, x in enumerate(lines) if x.text or not first.get(x.container, k) < k < last.get(x.container, k)]
+
+
+def regions(lengths: list[int], least: int = 0, window: int = WINDOW) -> list[tuple[int, int]]:
+    """[surge, dive) ranges of lines: sums over so many lines leave zero, return to it, and reach `least` in between."""
+    out, start, held, top = [], None, 0, 0
+    ahead = sum(lengths[:window])
+    for k in range(len(lengths) + 1):
+        if ahead and start is None:
+            start, held, top = k, k, 0
+        if start is not None and not ahead:
+            if top >= least:
+                out.append((next(j for j in range(start, k + window) if lengths[j]), held + 1))
             start = None
+        if k < len(lengths):
+            held = k if lengths[k] else held
+            top = max(top, ahead)
+            ahead += (lengths[k + window] if k + window < len(lengths) else 0) - lengths[k]
     return out
 
 
 def main_text(html: str | None) -> str:
     """The page's main text, a line for each block."""
     lines = lines_of(html or "")
-    marked = any(inside and text for text, inside, _ in lines)
-    if marked:
-        # blank lines of what is left out inside an article say nothing about its end
-        lines = [x for x in lines if x[0] or not x[1]]
-        lengths = [len(text) if inside else 0 for text, inside, _ in lines]
-    else:
-        lengths = [len(text) if linked <= LINKED else 0 for text, _, linked in lines]
-    found = regions(lengths)
-    if not marked:
-        surging = [(a, b) for a, b in found if max(sum(lengths[k : min(b, k + WINDOW)]) for k in range(a, b)) >= SURGE]
-        found = surging or found
-    most = max((sum(lengths[a:b]) for a, b in found), default=0)
-    kept = [(a, b) for a, b in found if sum(lengths[a:b]) >= SHARE * most]
-    return "\n".join(lines[k][0] for a, b in kept for k in range(a, b) if lengths[k])
+    inside, every = (sum(x.length for x in lines if x.inside or not only) for only in (True, False))
+    if inside and 2 * inside >= every:
+        lines = [x for x in lines if x.text or not x.inside]
+        lengths = [len(x.text) if x.inside else 0 for x in lines]
+        return "\n".join(lines[k].text for a, b in regions(lengths) for k in range(a, b) if lengths[k])
+    weights = [x.length * (HEADLINE if x.kind == "h1" else 1) for x in lines]
+    found = regions(weights, SURGE) or regions(weights)
+    keep = lambda x: x.length or x.text and x.kind in PROSE and not RIGHTS.search(x.text)
+    return "\n".join(lines[k].text for a, b in found for k in range(a, b) if keep(lines[k]))
 
 
 def extract(pages: DataFrame) -> DataFrame:

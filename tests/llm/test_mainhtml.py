@@ -1,3 +1,7 @@
+import time
+
+import pytest
+
 from callweave.llm import mainhtml
 
 NAV = "<nav><ul><li><a href='/a'>Alpha</a></li><li><a href='/b'>Beta</a></li></ul></nav>"
@@ -19,8 +23,9 @@ def test_unmarked_page_uses_surge_and_dive():
 
 
 def test_regions_by_windows():
-    assert mainhtml.regions([0, 0, 5, 0, 0, 7, 0, 0, 0, 4], 3) == [(2, 6), (9, 10)]
-    assert mainhtml.regions([], 3) == [] and mainhtml.regions([0, 0], 3) == []
+    assert mainhtml.regions([0, 0, 5, 0, 0, 7, 0, 0, 0, 4], 0, 3) == [(2, 6), (9, 10)]
+    assert mainhtml.regions([], 0, 3) == [] and mainhtml.regions([0, 0], 0, 3) == []
+    assert mainhtml.regions([4, 0, 5, 0, 0, 0, 30, 0, 0, 0, 2], 9, 3) == [(0, 3), (6, 7)]
 
 
 def test_edges(spark):
@@ -41,3 +46,39 @@ def test_names_of_wrappers_do_not_empty_the_page():
         assert mainhtml.main_text(f"<body>{NAV}<{tag}><article>{article}</article></{name}></body>") == want, tag
     for name in ("site-footer", "ad-leaderboard", "cookie-consent-banner", "comments-area", "sidebar left", "post_tags", "social-share-buttons"):
         assert mainhtml.main_text(f'<body><div><h1>Head</h1><p>{LONG}</p><p>{LONG * 2}</p></div><div class="{name}"><p>{LONG}</p></div></body>') == want, name
+
+
+S = LONG.strip()
+MENU = "".join(f"<div><a href='/{k}'>Item {k}</a></div>" for k in range(9))
+#: (name, page, main text): written and labelled by hand.
+PAGES = [
+    ("names that only look like notices", f"<article><p>{S}</p><div class='share-price'><p>Shares fell.</p></div><p class='search-theory'>Theory.</p><p id='social-history'>Past.</p></article>", f"{S}\nShares fell.\nTheory.\nPast."),
+    ("rights at the end of an unmarked page", f"<body><div><p>{S}</p><p>{S}</p></div><div>Copyright 2020 Foo Inc</div></body>", f"{S}\n{S}"),
+    ("rights inside the container", f"<body><div><p>{S}</p><p>&copy; 2020 Foo Inc. All rights reserved.</p></div></body>", S),
+    ("a sentence about copyright stays", f"<body><div><p>{S}</p><p>Copyright is a right that authors hold.</p></div></body>", f"{S}\nCopyright is a right that authors hold."),
+    ("a quote inside a value", f"<body><p title='it's'>{S}</p></body>", S),
+    ("a short part after an aside", f"<body><div><p>{S} {S} {S} {S}</p></div><aside>side</aside><div><p>{S}</p></div></body>", f"{S} {S} {S} {S}\n{S}"),
+    ("a paragraph that is one link", f"<body><div><p>{S}</p><p><a href=x>{S}</a></p><p>{S}</p></div></body>", f"{S}\n{S}\n{S}"),
+    ("an advert after the intro", f"<body><div><h1>Head</h1><p>intro</p><div class=ad>buy</div><p>{S}</p><p>{S}</p></div></body>", f"Head\nintro\n{S}\n{S}"),
+    ("an advert before the last line", f"<body><div><p>{S}</p><p>{S}</p><div class='ad-box'>buy</div><p>The end.</p></div></body>", f"{S}\n{S}\nThe end."),
+    ("a teaser in an article element", f"<body><div><article><h3>Teaser</h3><p>short card</p></article></div><div><p>{S}</p><p>{S}</p><p>{S}</p></div></body>", f"{S}\n{S}\n{S}"),
+    ("a headline apart from its text", f"<body><div><h1>A headline of five words</h1></div><div class=share>Share</div><div><p>{S}</p></div></body>", f"A headline of five words\n{S}"),
+    ("menus of plain blocks round the text", f"<body><div>{MENU}</div><div><p>{S}</p><ul><li>one point</li><li>another</li></ul><p>{S}</p></div><div>{MENU}</div><div>Imprint</div></body>", f"{S}\none point\nanother\n{S}"),
+    ("text without paragraphs", f"<body><nav><a href=x>Home</a></nav><div>{S}<br>{S}<div class=advert>buy</div>{S}</div></body>", f"{S} {S}\n{S}"),
+    ("reader comments", f"<body><div><p>{S}</p></div><div id=comments><p>{S}</p><p>{S}</p></div></body>", S),
+    ("a table", f"<body><div><p>{S}</p><table><tr><td>a<td>b<tr><td>c</table></div></body>", f"{S}\na\nb\nc"),
+    ("hidden and blank parts", f"<body><div><p>{S}</p><p hidden>no</p><p style='display:none'>no</p><p>&nbsp;</p></div></body>", S),
+    ("repeated rows and ties", f"<body><div><p>{S}</p><p>{S}</p></div><nav>x</nav><div><p>{S}</p><p>{S}</p></div></body>", f"{S}\n{S}\n{S}\n{S}"),
+]
+
+
+@pytest.mark.parametrize("name,html,want", PAGES, ids=[p[0] for p in PAGES])
+def test_pages_labelled_by_hand(name, html, want):
+    assert mainhtml.main_text(html) == want
+
+
+@pytest.mark.parametrize("html", ["<a " * 40_000, "<a href='x" * 20_000, "<a>" * 20_000 + "<p>x", "<b>x" * 40_000, "</x>" * 40_000, "<div>" * 20_000 + "</x>" * 20_000, "<div class=ad>" * 3_000 + "x", '<a b="' * 20_001, "<p>" * 40_000])
+def test_broken_markup_takes_linear_time(html):
+    began = time.perf_counter()
+    mainhtml.main_text(html)
+    assert time.perf_counter() - began < 2
