@@ -53,8 +53,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})|\\(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|([abfnrtv0\\/'\"]))")
-PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})()()()")
+ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})|\\(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|([abfnrtv0\\/'\"])|u\{0*([0-9A-Fa-f]{1,6})\}|U000([0-9A-Fa-f]{5}))")
+PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})()()()()()")
 BACKSLASH = re.compile(ESCAPE.pattern.replace(rb"%([0-9A-Fa-f]{2})|", rb"()"))
 SHORT = dict(zip(b"abfnrtv0\\/'\"", b"\a\b\f\n\r\t\v\0\\/'\"", strict=True))
 _CHAR, _WRAP = "[A-Za-z0-9+/_-]", r"(?:[ \t]*(?:[\r\n]|\\[rn]))+[ \t]*"
@@ -65,7 +65,7 @@ STANDARD = bytes.maketrans(b"-_", b"+/")
 #: How gzip members and zlib streams without a preset dictionary begin.
 STREAM = re.compile(b"\x1f\x8b\x08|" + b"|".join(re.escape(bytes((c, f))) for c in range(8, 128, 16) for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32), re.S)
 #: One linear-time pass finds the texts that could hold anything at all; the others are done.
-ANY = rf"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}|%[0-9A-Fa-f]{{2}}|\\[ux][0-9A-Fa-f]{{2}}|\\[\"'\\/]|(?:{_CHAR}(?:{_WRAP})?){{16}}"
+ANY = rf"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}|%[0-9A-Fa-f]{{2}}|\\[ux][0-9A-Fa-f]{{2}}|\\u\{{|\\U000|\\[\"'\\/]|(?:{_CHAR}(?:{_WRAP})?){{16}}"
 #: The same for layers: what holds none of these holds no secret and no encoding.
 INSIDE = re.compile(ANY.encode() + b"|" + STREAM.pattern)
 
@@ -115,7 +115,7 @@ def _code(m: re.Match) -> bytes:
     """The byte of an escape; characters above U+00FF are in no pattern and stand as a question mark."""
     if m[4]:
         return bytes((SHORT[m[4][0]],))
-    code = int(m[1] or m[2] or m[3], 16)
+    code = int(m[1] or m[2] or m[3] or m[5] or m[6], 16)
     return bytes((code,)) if code < 256 else b"?"
 
 
@@ -146,7 +146,7 @@ def settled(layer: Layer) -> Layer:
     for k, byte in enumerate(layer.data):
         out.append(byte)
         pieces.append((k, k + 1))
-        while len(out) > 1 and (m := next((m for n in (2, 3, 4, 6) if (m := ESCAPE.fullmatch(out, max(0, len(out) - n)))), None)):
+        while len(out) > 1 and (m := next((m for n in range(2, 13) if (m := ESCAPE.fullmatch(out, max(0, len(out) - n)))), None)):
             start = pieces[m.start()][0]
             code = _code(m)
             del out[m.start() :], pieces[m.start() :]

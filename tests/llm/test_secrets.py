@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -145,3 +146,23 @@ def test_many_streams_side_by_side_and_nests_of_bombs():
     big = _b64(zlib.compress(b", " * (6 << 20)))
     text = f"{big} {big[:-8]} {_b64(gzip.compress(f'key {KEY}'.encode()))}"
     assert [s[0] for s in secrets.scan_text(text)[1]] == ["access"] and secrets.scan_text(text)[2] == 0
+
+
+def test_all_forms_of_unicode_escapes():
+    for text in ("\\u{70}assword=abcdef12345", "\\u{000070}assword=abcdef12345", "\\U00000070assword=abcdef12345", "\\u0070assword=abcdef12345", "\\x70assword=abcdef12345"):
+        assert secrets.scan_text(text)[1] == [("assign", 0, len(text))], text
+        assert secrets.scan_text(base64.b64encode(text.encode()).decode())[1]
+
+
+def test_long_unbroken_runs_take_linear_time():
+    for text in ("a" * 1_000_000 + " 50%25 x", "a" * 1_000_000 + " \\u0041 x", "aB3/" * 250_000 + " %41", "%41%42 " * 150_000, "\\u0041" * 150_000):
+        began = time.perf_counter()
+        secrets.scan_text(text)
+        assert time.perf_counter() - began < 5
+
+
+def test_eighteen_layers_of_base64():
+    text = "password=abcdef12345"
+    for _ in range(18):
+        text = base64.b64encode(text.encode()).decode()
+    assert secrets.scan_text(text) == ([], [("assign", 0, len(text))], 0)
