@@ -159,5 +159,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32"))
     ranked = salted.withColumn("within", within).join(starts, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("within") - 1)
     here = (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("from_rank") + F.col("n"))
-    out = ranked.join(placed, here)
+    # the plan has a bound in the capacity, whatever the corpus; joined by a shuffle, a common length would be one task
+    out = ranked.join(F.broadcast(placed), here)
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("rank") - F.col("from_rank")).alias("sequence_id"), "offset")
