@@ -41,8 +41,9 @@ from callweave.llm._shared import materialise
 #: Posterior probability below which a pair is given up.
 MISS = 1e-7
 #: Buckets with more pairs than this are compared in blocks of so many nodes a side.
-PAIRS_LISTED, BLOCK = 256, 512
-
+PAIRS_LISTED, BLOCK = 256, 128
+#: Bits of the filter that keeps rows out of a join whose ids are in no pair: so many for each id, and a bound in all.
+FILTER_BITS_EACH, FILTER_BITS = 16, 1 << 26
 
 
 @dataclass(frozen=True)
@@ -181,6 +182,28 @@ def _sizes_allow(a: Column | str, b: Column | str, how: Settings) -> Column:
     return 100 * F.least(a, b) >= how.percent * F.greatest(a, b)
 
 
+def possible(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """rows whose `column` may be among ids (one long column): all that are, and a few others.
+
+    A join then shuffles those rows' texts and no others. The ids become a bitmap of at most FILTER_BITS bits, whose
+    64-bit words are put together on the executors; with far more ids than bits all rows pass and the join decides."""
+    (name,) = ids.columns
+    n = ids.count()
+    bits = min(FILTER_BITS, 64 << max(0, (n * FILTER_BITS_EACH - 1) // 64).bit_length())
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    set_bits = ids.select(place(F.col(name)).alias("at")).select(F.floor(F.col("at") / 64).alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
+    words = set_bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+
+    @F.pandas_udf("boolean")
+    def is_set(at: pd.Series) -> pd.Series:
+        k = at.to_numpy()
+        return pd.Series((bitmap[k >> 6] >> (k & 63)) & 1 != 0)
+
+    return rows.where(F.col(column).isNotNull()).where(is_set(place(F.col(column).cast("long"))))
+
+
 def confirm(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, how: Settings) -> DataFrame:
     """The linked ones among pairs (a, b): Bayesian pruning on sigs (node, sig), then the full sets."""
 
@@ -206,6 +229,7 @@ def confirm(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, how: Settings) -
     signed = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
     left = materialise(signed.mapInArrow(prune, "a long, b long"), "candidates")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text is not null")
+    texts = possible(texts, "id", left.select("a").union(left.select("b")).distinct())
     full = left.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
     return full.mapInArrow(exact, "a long, b long").distinct()
 
@@ -298,8 +322,9 @@ def components(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
     outside = many.where("component <> main").select("band", "node", "n", "component", F.lit(0).alias("side"), place("others").alias("p"), F.explode(F.sequence(F.lit(0), blocks("total") - 1)).alias("q"))
     every = many.select("band", "node", "n", "component", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), blocks("others") - 1)).alias("p"), place("total").alias("q"))
     dealt = outside.union(every)
-    wanted = many.select("node").distinct().join(sigs, "node")
-    wanted = wanted.join(docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("text is not null"), "node")
+    nodes_again = many.select("node").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("text is not null")
+    wanted = nodes_again.join(sigs, "node").join(possible(texts, "node", nodes_again), "node")
     block_links = dealt.join(materialise(wanted, "texts"), "node").groupBy("band", "p", "q").applyInPandas(lambda t: _block_links(t, how), "a long, b long")
 
     of = first.toDF("node", "component")
