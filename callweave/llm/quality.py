@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade, in DataFrame expressions only.
 
 Every rule is a boolean column that is true where a document fails. A bounded,
-hash-chosen sample gives each rule its cost (seconds a row) and its selectivity
-(share of rows it rejects); the rules then run in descending rejection per cost
+hash-chosen sample gives each rule its selectivity (share of rows it rejects) and its
+cost: the time of an aggregate that evaluates it EVALUATIONS times, less that of the
+same aggregate without it. The rules then run in descending rejection per cost
 inside one CASE, so a later rule is evaluated only where all earlier ones pass.
 The order changes what a row costs, never its verdict.
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from callweave.llm._shared import BLANKS, materialise, word_array
 
 #: Rows expected in the sample that costs and selectivities are estimated on.
 SAMPLE_ROWS = 512
+#: Evaluations of a rule that are timed together, how often, and the cost in seconds below which rules count as equal.
+EVALUATIONS, REPEATS, LEAST_COST = 20_000, 3, 1e-6
 SYMBOLS = "#*$%&|<>"
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 5
@@ -116,18 +120,33 @@ def rank_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: in
     total = docs.count()
     if not total:
         return [(r, 0.0, 1.0) for r in rules]
-    share = min(1.0, sample_rows / total)
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1)).select("doc_id", "text")
+    draws = 1 << 40
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(draws)) < F.lit(int(min(1.0, sample_rows / total) * draws))).select("doc_id", "text")
     sample = materialise(base_columns(chosen), "quality-sample")
-    measured = []
-    for rule in rules:
-        seconds = []
-        for _ in range(2):
+    rows = sample.count()
+    if not rows:
+        return [(r, 0.0, 1.0) for r in rules]
+    many = sample.select("*", F.explode(F.sequence(F.lit(1), F.lit(max(1, EVALUATIONS // rows)))).alias("__again"))
+
+    def seconds(of: list[Column]) -> float:
+        """Of an aggregate over all evaluations: the least of REPEATS runs, for all else that runs only adds."""
+        taken = []
+        for _ in range(REPEATS):
             began = time.perf_counter()
-            rows, rejected = sample.agg(F.count(F.lit(1)), F.count_if(rule.fails())).first()
-            seconds.append(time.perf_counter() - began)
-        measured.append((rule, (rejected or 0) / max(rows, 1), min(seconds) / max(rows, 1)))
-    return sorted(measured, key=lambda x: -x[1] / max(x[2], 1e-12))
+            # an argument that changes by row, so that no run is folded into one evaluation
+            many.agg(F.count("__again"), *of).first()
+            taken.append(time.perf_counter() - began)
+        return min(taken)
+
+    rejected = sample.agg(*(F.count_if(r.fails()) for r in rules)).first()
+    idle = seconds([])
+    measured = []
+    for rule, n in zip(rules, rejected, strict=True):
+        cost = (seconds([F.count_if(rule.fails())]) - idle) / max(rows, EVALUATIONS // rows * rows)
+        # steps of four, so that noise does not reorder rules from run to run; what is below the first costs the same
+        step = max(0, round(log(max(cost, LEAST_COST) / LEAST_COST, 4)))
+        measured.append((rule, n / rows, LEAST_COST * 4**step))
+    return sorted(measured, key=lambda x: -x[1] / x[2])
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
