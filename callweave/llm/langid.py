@@ -32,7 +32,7 @@ UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 1000
 #: Nats that a change of language costs.
 SWITCH = 12.0
-#: Nats that a language without the word's script loses on it.
+#: Nats by which a language without the word's script, which is not scored, stands below the best candidate.
 WRONG_SCRIPT = 40.0
 #: Share of a language's letters from which a script counts as its own.
 SCRIPT_SHARE = 0.01
@@ -49,6 +49,8 @@ SCRIPTS = (
     ("latin", 0x1E00, 0x1EFF), ("greek", 0x1F00, 0x1FFF), ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x9FFF), ("hangul", 0xAC00, 0xD7AF),
 )
 NAMES = tuple(dict.fromkeys(x[0] for x in SCRIPTS))
+#: Scripts that are written without blanks: up to four characters count as a word, so spans may begin and end inside a line.
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]{1,4})"
 
 
 @lru_cache(maxsize=1)
@@ -93,7 +95,10 @@ def _split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(word numbers of all texts in a row, offsets of each text, distinct lower-case words)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    words = pc.utf8_split_whitespace(pc.utf8_lower(pc.utf8_trim_whitespace(pc.fill_null(texts.cast(pa.string()), ""))))
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    if pc.any(pc.match_substring_regex(texts, UNSPACED)).as_py():
+        texts = pc.replace_substring_regex(texts, UNSPACED, r" \1 ")
+    words = pc.utf8_split_whitespace(pc.utf8_lower(pc.utf8_trim_whitespace(texts)))
     coded = words.flatten().dictionary_encode()
     offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
     return coded.indices.to_numpy(), offsets, coded.dictionary.to_pylist()
@@ -141,8 +146,9 @@ def train(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
                     at = np.flatnonzero(n)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(np.full(len(at), kind, np.int32)), pa.array(at), pa.array(n[at])], ["lang", "kind", "at", "n"])
 
-    share = F.element_at(F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, int(min(1.0, per_language / n) * 1_000_000)))), F.col("lang"))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) <= share).select("text", "lang")
+    draws = 1 << 40
+    share = F.element_at(F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, int(min(1.0, per_language / n) * draws)))), F.col("lang"))
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(draws)) < share).select("text", "lang")
     place = {x: k for k, x in enumerate(languages)}
     for r in chosen.mapInArrow(count, "lang string, kind int, at long, n double").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n")).toLocalIterator():
         if r["kind"] == 2:
@@ -159,12 +165,20 @@ def word_scores(w: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
     letters = w.classes > 0
     count = np.add.reduceat(letters.astype(np.int64), w.starts)
     inner = letters | np.roll(letters, 1)
-    scores = np.stack([np.add.reduceat(np.where(inner, t[w.trigrams] - p[w.pairs], 0), w.starts) for t, p in zip(model.trigrams, model.pairs, strict=True)], 1)
-    script = np.maximum.reduceat(w.classes, w.starts)
-    known = model.allowed[script]
-    scores -= WRONG_SCRIPT * (~known & known.any(1)[:, None])
-    scores[(count == 0) | ~known.any(1)] = 0
-    return scores.astype(np.float64), count
+    sizes = np.diff([*w.starts, len(w.classes)])
+    candidates = model.allowed[np.maximum.reduceat(w.classes, w.starts)]
+    scores = np.full(candidates.shape, -np.inf)
+    for k, (t, p) in enumerate(zip(model.trigrams, model.pairs, strict=True)):
+        mine = candidates[:, k]
+        if mine.any():
+            # only words in this language's scripts are scored
+            at = np.repeat(mine, sizes)
+            starts = np.cumsum(sizes[mine]) - sizes[mine]
+            scores[mine, k] = np.add.reduceat(np.where(inner[at], t[w.trigrams[at]] - p[w.pairs[at]], 0), starts)
+    best = scores.max(1, initial=-np.inf)
+    scores = np.where(candidates, scores, (best - WRONG_SCRIPT)[:, None])
+    scores[(count == 0) | ~candidates.any(1)] = 0
+    return scores, count
 
 
 def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -224,6 +238,17 @@ def label(texts: pa.Array, model: Model, switch: float = SWITCH) -> list[tuple[s
     return out
 
 
+def written_share(texts: pa.Array, model: Model) -> list[float]:
+    """Share of each text's letters that stand in a script of a learned language; 1 without letters or languages."""
+    used = model.allowed.any(1) if model.languages else np.ones(len(NAMES) + 2, bool)
+    out = []
+    for text in texts:
+        classes = _script_table()[np.frombuffer((text.as_py() or "").encode("utf-32-le", "surrogatepass"), np.uint32)]
+        times = np.bincount(classes, minlength=len(used))
+        out.append(float(times[1:][used[1:]].sum() / times[1:].sum()) if times[1:].any() else 1.0)
+    return out
+
+
 def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, spans) of docs (doc_id, text); the fold that is not learned from is held out."""
 
@@ -249,13 +274,16 @@ def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFr
 
 
 def keep_known(docs: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
-    """docs without the rows whose text has no letter or no language that holds `least` of its letters."""
+    """docs without the rows whose text has no letter, no language that holds `least` of its letters, or less than
+    `least` of them in the scripts that learned languages are written in."""
     model = train(learnable(docs))
 
     @F.pandas_udf("boolean")
     def known(texts):
         import pandas as pd
 
-        return pd.Series([x[0] != UNKNOWN and x[1] >= least for x in label(pa.array(texts, pa.string(), from_pandas=True), model)])
+        texts = pa.array(texts, pa.string(), from_pandas=True)
+        written = written_share(texts, model)
+        return pd.Series([x[0] != UNKNOWN and x[1] >= least and s >= least for x, s in zip(label(texts, model), written, strict=True)])
 
     return docs.where(known(docs["text"]))
