@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -37,13 +38,26 @@ def _own_folder() -> str:
     return f"file://{path}"
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder; a temporary one of our own only where none is set."""
+def _home(spark: SparkSession) -> str:
+    """This application's folder in the shared checkpoint folder.
+
+    Without one, a single machine takes a temporary folder of its own; on a cluster executors could not see it."""
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = _own_folder()
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(base or _own_folder()).rstrip('/')}/callweave-{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below this application's own."""
+    return f"{_home(spark)}/{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all tables that this application stored; for when results have been written out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_home(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -11,6 +11,8 @@ from callweave.llm import langid, mainhtml, mixing, neardup, packing, quality, r
 from callweave.llm._shared import materialise, prepare, table
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
+#: Documents of fewer tokens, by one tokenizer version, are taken out of that version's totals by op2's last batch.
+LEAST_TOKENS = 32
 
 
 def op4_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,18 +84,18 @@ def op1_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three commits and a replay: guesses inserted, guesses revised to counts, documents without tokens deleted."""
+    """Three commits with replays: guesses inserted, guesses revised to counts, documents too short to train on deleted."""
     counts = materialise(rollup.token_counts(table(prepare(spark), sf_dir, "documents")), "token-counts")
     totals = rollup.Rollup(spark)
     inserts = counts.select(*rollup.KEYS, F.lit("insert").alias("op"), F.col("guess").alias("tokens"), F.lit(0).alias("was"))
     revised = counts.select(*rollup.KEYS, F.lit("revise").alias("op"), "tokens", F.col("guess").alias("was"))
-    deletes = counts.where("tokens = 0").select(*rollup.KEYS, F.lit("delete").alias("op"), "tokens", F.lit(0).alias("was"))
+    deletes = counts.where(F.col("tokens") < LEAST_TOKENS).select(*rollup.KEYS, F.lit("delete").alias("op"), "tokens", F.lit(0).alias("was"))
     totals.commit("1-guesses", inserts)
     totals.commit("2-counts", revised)
     totals.compact()
     totals.commit("2-counts", revised)
-    totals.commit("3-empty", deletes)
-    totals.commit("3-empty", deletes)
+    totals.commit("3-short", deletes)
+    totals.commit("3-short", deletes)
     return totals.totals()
 
 

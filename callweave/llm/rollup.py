@@ -3,13 +3,13 @@
 A change is one row (batch, op, source, lang, version, tokens, was): an insert adds
 a document and its tokens, a delete takes them away, a revision replaces `was`
 with `tokens`. A commit sums a batch's changes per (source, lang, version) before
-anything is stored and writes that small table under the batch's own name, so
-committing a batch again replaces it by itself. Totals are the sum of the
-committed tables; compact() folds the named batches into a base and remembers
-their names, so a late replay of one of them changes nothing.
+anything is stored, writes that small table to a staging folder and renames it to the
+batch's own name; a name that is committed is never written again, so a replay changes
+nothing. Totals are the sum of the committed tables; compact() folds the named batches
+into a base and remembers their names, so late replays change nothing either.
 
-Writing a batch is a rename of finished files over its own folder; a lost
-executor or a failed commit leaves the batch absent or whole.
+A lost executor or a failed commit leaves the batch absent or whole. A batch has one
+writer at a time; two that commit one name at once need a store with atomic renames.
 
 Defined results: null source and lang are groups of their own; null tokens count
 0; an unknown or null op counts nothing; repeated rows of one batch are counted
@@ -20,6 +20,7 @@ are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -75,12 +76,21 @@ class Rollup:
         return sorted(set(done) - self._folded())
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Store a batch's summed deltas; False, and no work, if the base already holds the batch."""
+        """Store a batch's summed deltas; False, and no work, if the batch is committed already."""
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
             raise ValueError(f"batch names take letters, digits, _ . and -: {batch!r}")
-        if batch in self._folded():
+        if batch in self._folded() or batch in self.pending():
             return False
-        _sums(signed(changes)).write.mode("overwrite").parquet(f"{self.path}/batch/{batch}")
+        staged = f"staged/{batch}-{uuid.uuid4().hex}"
+        _sums(signed(changes)).write.parquet(f"{self.path}/{staged}")
+        if batch in self._folded() or batch in self.pending():
+            # the same batch was committed meanwhile: it holds the same rows
+            self._fs.delete(self._at(staged), True)
+            return False
+        self._fs.delete(self._at("batch", batch), True)  # what an unfinished commit left, never a committed batch
+        self._fs.mkdirs(self._at("batch"))
+        if not self._fs.rename(self._at(staged), self._at("batch", batch)):
+            raise OSError(f"batch {batch!r} could not be put in place")
         return True
 
     def totals(self) -> DataFrame:

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from callweave.llm import neardup, packing, rollup, secrets, tokens
 from callweave.llm._shared import prepare
@@ -15,7 +18,7 @@ def test_signed_changes_idempotent_commits_and_compaction(spark, tmp_path):
     first = [("1", "insert", "s", "en", "v1", 10, None), ("1", "insert", "s", "en", "v1", 5, None), ("1", "insert", None, None, "v1", None, None), ("1", "what", "s", "en", "v1", 99, None)]
     second = [("2", "delete", "s", "en", "v1", 5, None), ("2", "revise", "s", "en", "v1", 12, 10), ("2", "insert", "s", "de", "v2", 7, None)]
     frame = lambda rows: spark.createDataFrame(rows, CHANGES)
-    assert r.commit("1", frame(first)) and r.commit("1", frame(first))
+    assert r.commit("1", frame(first)) and r.commit("1", frame(second)) is False
     assert totals(r) == {("s", "en", "v1"): (2, 15), (None, None, "v1"): (1, 0)}
     r.commit("2", frame(second))
     want = {("s", "en", "v1"): (1, 12), (None, None, "v1"): (1, 0), ("s", "de", "v2"): (1, 7)}
@@ -35,6 +38,19 @@ def test_unfinished_commits_do_not_count(spark, tmp_path):
     r.commit("1", spark.createDataFrame([("1", "insert", "s", "en", "v", 3, None)], CHANGES))
     (tmp_path / "totals/batch/1/_SUCCESS").unlink()
     assert totals(r) == {}
+    assert r.commit("1", spark.createDataFrame([("1", "insert", "s" * 5000, "en", "v", 4, None), ("1", "delete", "s" * 5000, "en", "v", 1, None)], CHANGES).selectExpr("*", "1 as docs", "2 as staged"))
+    assert totals(r) == {("s" * 5000, "en", "v"): (0, 3)}
+
+
+def test_a_replay_that_fails_leaves_the_batch(spark, tmp_path):
+    r = rollup.Rollup(spark, f"file://{tmp_path}/totals")
+    one = spark.createDataFrame([("1", "insert", "s", "en", "v", 3, None)], CHANGES)
+    assert r.commit("1", one)
+    broken = one.withColumn("tokens", F.expr("raise_error('lost')").cast("long"))
+    assert r.commit("1", broken) is False and totals(r) == {("s", "en", "v"): (1, 3)}
+    with pytest.raises(Exception, match="lost"):
+        r.commit("2", broken)
+    assert totals(r) == {("s", "en", "v"): (1, 3)} and r.pending() == ["1"]
 
 
 def test_token_counts_by_version(spark):
