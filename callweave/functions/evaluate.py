@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
+
+from callweave.functions import shared
 
 EXACT = "decimal(38,18)"
 
@@ -48,18 +49,22 @@ def if_match(rules: DataFrame, registrations: DataFrame) -> DataFrame:
     return joined.select(*(rules[c] for c in rules.columns), F.coalesce(F.lower("outcome").try_cast("boolean"), F.lit(True)).alias("matched"))
 
 
-def type_closure(edges: DataFrame, most: int = 64) -> DataFrame:
-    """(type, ancestor) with every type its own ancestor, from (type, supertype), by path doubling."""
+def type_closure(edges: DataFrame) -> DataFrame:
+    """(type, ancestor) with every type its own ancestor, from (type, supertype), by path doubling.
+
+    Each round is checkpointed, so the next one's plan does not hold those before; rounds go on until nothing is
+    added, as many as the depth's logarithm, cycles included."""
+    shared.checkpoints(edges.sparkSession)
     known = edges.select(F.col("type"), F.col("supertype").alias("ancestor")).where("ancestor is not null")
     names = known.select("type").union(known.select("ancestor")).distinct()
-    closure = known.union(names.select("type", F.col("type").alias("ancestor"))).distinct()
-    for _ in range(max(1, most).bit_length()):
+    closure = known.union(names.select("type", F.col("type").alias("ancestor"))).distinct().checkpoint()
+    pairs = closure.count()
+    while True:
         up = closure.select(F.col("type").alias("ancestor"), F.col("ancestor").alias("top"))
-        wider = closure.join(up, "ancestor").select("type", F.col("top").alias("ancestor")).distinct()
-        if wider.count() == closure.count():
-            break
-        closure = wider
-    return closure
+        closure = closure.join(up, "ancestor").select("type", F.col("top").alias("ancestor")).distinct().checkpoint()
+        before, pairs = pairs, closure.count()
+        if pairs == before:
+            return closure
 
 
 def if_instance_of(values: DataFrame, closure: DataFrame, fqcn: str) -> DataFrame:
@@ -68,9 +73,3 @@ def if_instance_of(values: DataFrame, closure: DataFrame, fqcn: str) -> DataFram
     joined = values.join(of, values["type"] == of["__type"], "left")
     found = F.col("__type").isNotNull() | F.coalesce(values["type"] == fqcn, F.lit(False))
     return joined.select(*(values[c] for c in values.columns), (found & F.lit(bool(fqcn))).alias("is_instance"))
-
-
-def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")

@@ -212,7 +212,7 @@ def _opens_anonymous(src: Source, k: int, frames: list) -> bool:
 def scan(text: str, file_name: str = "", include: list[str] = (), exclude: list[str] = ()) -> Iterator[Event]:
     """Events (language, fqcn, method, signature, kind, line, condition_text) of a file in a chosen package."""
     src = Source(text)
-    k = next((k for k, t in enumerate(src.tokens[:400]) if t.text == "package" and t.kind == "name"), None)
+    k = next((k for k, t in enumerate(src.tokens) if t.text == "package" and t.kind == "name"), None)
     package = ""
     if k is not None:
         stop = next((j for j in range(k, len(src.tokens)) if src.at(j) == ";"), k + 1)

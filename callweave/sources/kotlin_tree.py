@@ -32,6 +32,20 @@ def _expression_end(src: Source, k: int) -> int:
     return len(src.tokens)
 
 
+def _parameter_list(src: Source, k: int) -> int | None:
+    """The opening parenthesis of a declaration that goes on at k, outside its type parameters; None if it has none."""
+    depth = 0
+    for j in range(k, len(src.tokens)):
+        word = src.at(j)
+        if word in ("<", ">"):
+            depth += 1 if word == "<" else -1
+        elif word == "(" and depth <= 0:
+            return j
+        elif word in ("{", "}", ";", "=") or src.tokens[j].kind == "name" and word in ("fun", "class", "interface", "object"):
+            return None
+    return None
+
+
 def functions(src: Source) -> Iterator[tuple[list[str] | None, str, int, int]]:
     """(class names or None where one is anonymous, name, first, end of the body) of functions that are not local."""
     frames: list[tuple[int, str | None]] = []
@@ -52,9 +66,10 @@ def functions(src: Source) -> Iterator[tuple[list[str] | None, str, int, int]]:
             else:
                 k = src.close[k]
         elif word == "fun" and src.tokens[k].kind == "name":
-            paren = next((j for j in range(k + 1, min(k + 60, len(src.tokens))) if src.at(j) == "("), None)
+            paren = _parameter_list(src, k + 1)
             if paren is None:
-                break
+                k += 1
+                continue
             start = next((j for j in src.top(src.close[paren] + 1, len(src.tokens)) if src.at(j) in ("{", "=", "}") or src.at(j) in ("fun", "class", "val", "var", "object", "interface")), len(src.tokens))
             names = [name for _, name in frames]
             classes = None if any(n is None for n in names) else names
