@@ -39,9 +39,12 @@ def usable(events: DataFrame, prefixes: list[str] = ()) -> DataFrame:
     return events.where("line >= 0").where(any_prefix(F.col("fqcn"), list(prefixes)))
 
 
-def ordered(events: DataFrame) -> DataFrame:
-    """The stable order of rule generation; signature is no key, ties keep scan order."""
-    return events.orderBy(*ORDER)
+def placed(events: DataFrame, by: tuple[str, ...] = ORDER[:2]) -> DataFrame:
+    """events with their place, from 1, in the stable order of rule generation within each class.
+
+    Signature is no key, ties keep scan order. Places within a class and not over all events, so no task sorts them all."""
+    order = Window.partitionBy(*by).orderBy(*(c for c in ORDER if c not in by))
+    return events.withColumn("place", F.row_number().over(order).cast("bigint"))
 
 
 def with_method_flags(events: DataFrame) -> DataFrame:

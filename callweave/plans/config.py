@@ -18,7 +18,9 @@ class Config:
     src_dirs, include_patterns, exclude_patterns and max_file_bytes choose files; include_java adds Java;
     pkg_prefixes and package_prefix choose packages and classes; min_branches_per_method chooses methods;
     tracked_vars choose writes in legacy mode; use_ast_scanner False is legacy mode; strict takes the corrected
-    form of behaviour that is otherwise kept for compatibility."""
+    form of behaviour that is otherwise kept for compatibility. log_level and log_file say what a run reports and
+    where; rotate_interval_seconds starts new files so often where rules come as a stream, 0 is off. A batch run
+    writes all its files at one time, so there only their size rotates them."""
 
     src_dirs: tuple[str, ...] = ("src/main/java", "src/main/kotlin")
     project_dir: str = "."
@@ -44,6 +46,9 @@ class Config:
     force_helper_for_whitelist: bool = False
     use_ast_scanner: bool = True
     strict: bool = False
+    log_level: str = "ERROR"
+    log_file: str | None = None
+    rotate_interval_seconds: int = 0
 
     @property
     def prefixes(self) -> list[str]:

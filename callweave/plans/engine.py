@@ -7,6 +7,7 @@ failures().
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 from pathlib import PurePosixPath
@@ -15,12 +16,14 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from callweave.operators import dispatch, rules
 from callweave.operators import events as ev
-from callweave.plans import sink
+from callweave.plans import diagnostics, sink
 from callweave.plans.config import Config
 from callweave.sources import files, java, kotlin, kotlin_tree
+from callweave.streaming import sink as stream_sink
 
 EVENT_FIELDS = "language fqcn method signature kind line condition_text".split()
 ROW_FIELDS = "language fqcn method rule_kind line condition_text".split()
@@ -55,6 +58,7 @@ class Engine:
 
     def __init__(self, spark: SparkSession, config: Config = Config()) -> None:
         self.spark, self.config = spark, config
+        self.log = diagnostics.logger(config.log_level, config.log_file)
         self._scanned: DataFrame | None = None
 
     def __enter__(self) -> "Engine":
@@ -153,5 +157,17 @@ class Engine:
         return dispatch.file_lines(turned, head, c.prefix, c.shard_count, c.rotate_max_bytes_per_file > 0, c.gzip_output)
 
     def write(self, path: str) -> list[str]:
-        """Write the files below path and return their names."""
-        return sink.write_files(self.files(), path, self.config.gzip_output)
+        """Write the files below path and return their names; files that no scanner could read are reported."""
+        self.log.info("writing %d shards below %s", self.config.shard_count, path)
+        names = sink.write_files(self.files(), path, self.config.gzip_output)
+        if self.config.use_ast_scanner and self.log.isEnabledFor(logging.WARNING):
+            for row in self.failures().orderBy("path").toLocalIterator():
+                self.log.warning("%s: %s", row["path"], row["error"])
+        self.log.info("wrote %d files", len(names))
+        return names
+
+    def write_stream(self, rules_stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+        """Write rules (shard_key, rule_text) as they come; the interval of the configuration starts new files."""
+        c = self.config
+        interval = f"{c.rotate_interval_seconds} seconds" if c.rotate_interval_seconds > 0 else None
+        return stream_sink.start(rules_stream, path, checkpoint, self.header(), c.shard_count, interval, prefix=c.prefix, gzip=c.gzip_output)

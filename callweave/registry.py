@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +107,7 @@ RULES = (
   p AS (SELECT *, made IN ('enter', 'exit') AS at_method, CASE WHEN made = 'synthetic' THEN 'when { … }' ELSE condition_text END AS shown,
     CASE WHEN made = 'synthetic' THEN 'when' WHEN made = 'write' THEN 'write-' || condition_text ELSE made END AS rule_kind FROM ex),
   r AS (SELECT language, fqcn, method, signature, CASE WHEN NOT at_method THEN line END AS line, rule_kind, scan_seq,
+    line AS at_line, kind AS at_kind, CASE made WHEN 'enter' THEN 0 WHEN 'exit' THEN 1 WHEN 'synthetic' THEN 2 ELSE 3 END AS sub,
     concat_ws(chr(10), CASE WHEN at_method THEN 'RULE ' || made || '@' || fqcn || '.' || method ELSE 'RULE ' || fqcn || '.' || method || ':' || line || ':' || rule_kind END,
       'CLASS ' || fqcn, 'METHOD ' || method || '(..)', 'HELPER trace.Helper',
       CASE made WHEN 'enter' THEN 'AT ENTRY' WHEN 'exit' THEN 'AT EXIT' WHEN 'write' THEN 'AFTER WRITE $' || condition_text ELSE 'AT LINE ' || line END,
@@ -159,10 +161,7 @@ def branch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {EV} SELECT scan_seq, row_number() OVER (PARTITION BY language, fqcn ORDER BY method, line, kind, scan_seq) AS place FROM ev")
 def event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql.window import Window
-
-    by = Window.partitionBy("language", "fqcn").orderBy(*ev.ORDER[2:])
-    return scan_events(spark, sf_dir).select("scan_seq", F.row_number().over(by).cast("bigint").alias("place"))
+    return ev.placed(scan_events(spark, sf_dir)).select("scan_seq", "place")
 
 
 @query(f"WITH {EV} SELECT scan_seq, fqcn FROM ev WHERE line >= 0 AND (starts_with(fqcn, 'com.example.U1') OR starts_with(fqcn, 'com.example.U22'))")
@@ -198,16 +197,34 @@ def shard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.groupBy(F.col("shard").cast("bigint").alias("shard")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("rule_text") + 2).cast("bigint").alias("bytes"))
 
 
-@query()
+def _rotated_sql(header_bytes: int, max_bytes: int, shards: int) -> str:
+    """CTEs that end in t, the rules with shard and rotation: each file begins at the first rule that overflows the one before."""
+    return f"""WITH RECURSIVE {RULES}, d AS (SELECT *, ({_java_hash('shard_key')} & 2147483647) % {shards} AS shard, strlen(rule_text) + 2 AS bytes FROM r),
+  o AS (SELECT *, row_number() OVER w AS k, sum(bytes) OVER (w ROWS UNBOUNDED PRECEDING)::BIGINT AS upto FROM d WINDOW w AS (PARTITION BY shard ORDER BY language, fqcn, method, at_line, at_kind, scan_seq, sub)),
+  f AS (SELECT DISTINCT shard, 1 AS rotation, 1::BIGINT AS k, 0::BIGINT AS base, 0::BIGINT AS least FROM o
+    UNION ALL SELECT f.shard, f.rotation + 1, min(o.k), min(o.upto - o.bytes)::BIGINT, min(o.k) FROM f JOIN o ON o.shard = f.shard AND o.k > f.least AND o.upto - f.base > {max_bytes - header_bytes} GROUP BY f.shard, f.rotation),
+  s AS (SELECT shard, k, max(rotation) AS rotation FROM f GROUP BY shard, k),
+  t AS (SELECT o.shard, s.rotation, o.rule_text, o.bytes FROM o ASOF JOIN s ON o.shard = s.shard AND o.k >= s.k)"""
+
+
+@query(f"{_rotated_sql(60, 65_536, 4)} SELECT shard, rotation, count(*) AS n, sum(bytes)::BIGINT AS bytes FROM t GROUP BY shard, rotation")
 def shard_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = dispatch.sharded(dispatch.selected(rules.to_rules(scan_events(spark, sf_dir))), 4)
     turned = dispatch.rotated(dealt, 60, 65_536, 4)
     return turned.groupBy("shard", "rotation").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
 
 
-@query()
+HEAD = rules.header("callweave", "trace.Helper", [], [])
+
+
+@query(
+    f"{_rotated_sql(len(HEAD), 65_536, 4)}, n AS (SELECT shard, rotation, length(rule_text) + 2 AS chars FROM t "
+    f"UNION ALL SELECT DISTINCT shard, rotation, {len(HEAD)} FROM (SELECT shard, rotation FROM t UNION SELECT range, 1 FROM range(4)) "
+    f"UNION ALL SELECT range, 1, {len(dispatch.NOTHING) + 1} FROM range(4) WHERE range NOT IN (SELECT shard FROM t)) "
+    "SELECT format('tracing-{:04d}-{:05d}.btm', shard + 1, rotation) AS file, count(*) AS items, sum(chars)::BIGINT AS chars FROM n GROUP BY shard, rotation"
+)
 def file_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = rules.header("callweave", "trace.Helper", [], [])
+    head = HEAD
     dealt = dispatch.sharded(dispatch.selected(rules.to_rules(scan_events(spark, sf_dir))), 4)
     lines = dispatch.file_lines(dispatch.rotated(dealt, len(head), 65_536, 4), head, "tracing-", 4, True)
     return lines.groupBy("file").agg(F.count(F.lit(1)).alias("items"), F.sum(F.length("value") + 1).alias("chars"))
@@ -273,9 +290,10 @@ def offset_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", text.line_at(F.col("text"), half).cast("bigint").alias("line"))
 
 
-@query("SELECT page_id, split_part(html, '//', 1) AS code FROM pages")
+@query("SELECT path, n, split_part(line, '//', 1) AS code FROM (SELECT page_id AS path, unnest(range(1, len(parts) + 1)) AS n, unnest(parts) AS line FROM (SELECT page_id, string_split(html, chr(10)) AS parts FROM pages))")
 def strip_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "pages").select("page_id", text.strip_line_comment(F.col("html")).alias("code"))
+    lines = files.lines_of(_table(spark, sf_dir, "pages").select(F.col("page_id").alias("path"), F.col("html").alias("text")))
+    return lines.select("path", F.col("n").cast("bigint").alias("n"), text.strip_line_comment(F.col("line")).alias("code"))
 
 
 @query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS plain FROM documents")
@@ -338,21 +356,23 @@ def code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {CODE}, s AS (SELECT event_id, split_part(line, '//', 1) AS line FROM code) SELECT event_id, nullif(regexp_extract(line, '\\bif\\s*\\(([^)]*)\\)', 1), '') AS if_text, "
-    "nullif(regexp_extract(line, '\\bwhen\\s*\\(([^)]*)\\)', 1), '') AS when_text, CASE WHEN contains(line, '->') THEN trim(split_part(line, '->', 1)) END AS branch, "
-    "regexp_matches(line, '(^|\\W)return(\\W|$)') AS is_return, nullif(trim(regexp_extract(line, '\\bthrow\\s+(.+)', 1)), '') AS thrown FROM s"
+    f"WITH {CODE}, s AS (SELECT event_id, split_part(line, '//', 1) AS line FROM code), "
+    "found AS (SELECT event_id, unnest(['if-true', 'if-false']) AS kind, regexp_extract(line, '\\bif\\s*\\(([^)]*)\\)', 1) AS shown FROM s WHERE regexp_matches(line, '\\bif\\s*\\(') "
+    "UNION ALL SELECT event_id, 'switch', regexp_extract(line, '\\bwhen\\s*\\(([^)]*)\\)', 1) FROM s WHERE regexp_matches(line, '\\bwhen\\s*\\(') "
+    "UNION ALL SELECT event_id, 'when-branch', trim(split_part(line, '->', 1)) FROM s WHERE contains(line, '->') "
+    "UNION ALL SELECT event_id, 'return', NULL FROM s WHERE regexp_matches(line, '(^|\\W)return(\\W|$)') "
+    "UNION ALL SELECT event_id, 'throw', trim(regexp_extract(line, '\\bthrow\\s+(.+)', 1)) FROM s WHERE regexp_matches(line, '\\bthrow\\s+.') "
+    "UNION ALL SELECT event_id, 'write', regexp_extract(line, '([a-z]\\w*) = ', 1) FROM s WHERE regexp_matches(line, '[a-z]\\w* = ')) SELECT * FROM found"
 )
 def branch_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = code_lines(spark, sf_dir).withColumn("line", text.strip_line_comment(F.col("line")))
-    got = lambda p: F.nullif(F.trim(F.regexp_extract("line", p, 1)), F.lit(""))
-    return code.select(
-        "event_id",
-        got(r"\bif\s*\(([^)]*)\)").alias("if_text"),
-        got(r"\bwhen\s*\(([^)]*)\)").alias("when_text"),
-        F.when(F.contains("line", F.lit("->")), F.trim(F.substring_index("line", "->", 1))).alias("branch"),
-        F.col("line").rlike(r"(^|\W)return(\W|$)").alias("is_return"),
-        got(r"\bthrow\s+(.+)").alias("thrown"),
-    )
+
+    def run(batches):
+        for batch in batches:
+            rows = [(k, *found) for k, line in zip(*(batch.column(c).to_pylist() for c in ("event_id", "line")), strict=True) for found in kotlin.line_events([line], 0)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.string(), pa.string()))], ["event_id", "kind", "shown"])
+
+    return code.mapInArrow(run, "event_id long, kind string, shown string")
 
 
 @query(f"WITH {CODE} SELECT event_id, regexp_extract(line, '([a-z]\\w*) = ', 1) AS name FROM code WHERE regexp_matches(line, '[a-z]\\w* = ')")
@@ -458,15 +478,77 @@ def safe_mode_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guarded.where("language = 'kotlin' and kind in ('if-true', 'if-false')").select("scan_seq", "guard")
 
 
+OWN_ID = f"lower(to_hex(((((((31 + {_java_hash('fqcn')}) & 4294967295) * 31 + {_java_hash('method')}) & 4294967295) * 31 + line) & 4294967295) * 31 + {_java_hash('shown')} & 4294967295))"
+
+
 @query(
-    "SELECT o_orderkey, coalesce(l_linenumber, -1) AS l_linenumber, (o_orderkey % 7) IS NOT DISTINCT FROM l_linenumber AS same_number, o_orderstatus IS NOT DISTINCT FROM l_linestatus AS same_text, l_linenumber IS NULL AND o_orderstatus IS NULL AS mixed "
-    "FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_linenumber > 2) ON o_orderkey = l_orderkey"
+    f"WITH {EV}, c AS (SELECT *, 'k != ' || split_part(condition_text, ' == ', 2) AS shown FROM ev WHERE language = 'kotlin' AND kind IN ('if-true', 'if-false')), i AS (SELECT *, {OWN_ID} AS id FROM c) "
+    f"SELECT scan_seq, 'IF (' || CASE kind WHEN 'if-false' THEN '!(' ELSE '' END || '{E}.ifMatch(\"' || id || '\"))' || CASE kind WHEN 'if-false' THEN ')' ELSE '' END AS \"check\", "
+    f"'DO {E}.register(\"' || id || '\", new {E}.Evaluator() {{' || chr(10) || '    public boolean eval() {{' || chr(10) || '        return !{E}.ifEq(k, ' || split_part(shown, ' != ', 2) || ');' || chr(10) || '    }}' || chr(10) || '}});' AS registration FROM i"
+)
+def registration_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What safe mode makes of conditions that have no simple form: a guard by id and a registered evaluator."""
+    unlike = F.when(F.col("kind").isin("if-true", "if-false"), F.replace(F.col("condition_text"), F.lit("=="), F.lit("!="))).otherwise(F.col("condition_text"))
+    events = scan_events(spark, sf_dir).where("language = 'kotlin'").withColumn("condition_text", unlike)
+    made = rules.to_rules(events, rules.Style(safe_mode=True)).where("rule_kind in ('if-true', 'if-false')")
+    return made.select(F.col("place.scan_seq").alias("scan_seq"), "check", "registration")
+
+
+LEGACY = """l AS (SELECT *, 'com.example.U' || (event_id % 7) AS fqcn, 'm' || (event_id % 23) AS method, event_id % 400 + 1 AS line, json_extract_string(props, '$.k') AS k,
+  CASE event_type WHEN 'view' THEN 'is-true' WHEN 'click' THEN 'is-false' WHEN 'signup' THEN 'when' WHEN 'purchase' THEN 'case' ELSE 'write-x' END AS rule_kind FROM events)"""
+
+
+@query(
+    f"WITH {LEGACY}, s AS (SELECT *, CASE rule_kind WHEN 'is-true' THEN 'k is T' || k WHEN 'is-false' THEN 'k is T' || k WHEN 'when' THEN CASE WHEN event_id % 2 = 0 THEN 'k' END WHEN 'case' THEN k ELSE 'x' END AS shown FROM l) "
+    "SELECT event_id, concat_ws(chr(10), 'RULE ' || fqcn || '.' || method || ':' || line || ':' || rule_kind, 'CLASS ' || fqcn, 'METHOD ' || method || '(..)', 'HELPER trace.Helper', "
+    "CASE rule_kind WHEN 'write-x' THEN 'AFTER WRITE $x' ELSE 'AT LINE ' || line END, CASE rule_kind WHEN 'is-true' THEN 'IF (' || shown || ')' WHEN 'is-false' THEN 'IF (!(' || shown || '))' END, "
+    "'DO ' || CASE rule_kind WHEN 'when' THEN 'sw' WHEN 'case' THEN 'kase' WHEN 'write-x' THEN 'writeVar' ELSE 'iff' END || '(\"' || fqcn || '\",\"' || method || '\",' || line || ',\"' || coalesce(shown, 'when { … }') || '\"' "
+    "|| CASE rule_kind WHEN 'is-true' THEN ', true)' WHEN 'is-false' THEN ', false)' WHEN 'write-x' THEN ', $x)' ELSE ')' END, 'ENDRULE') AS rule_text FROM s"
+)
+def legacy_rule_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules in the older mode's kinds, as its scanner gives them, and the text they get."""
+    kind, k = F.col("event_type"), F.get_json_object("props", "$.k")
+    made = F.when(kind == "view", "is-true").when(kind == "click", "is-false").when(kind == "signup", "when").when(kind == "purchase", "case").otherwise("write-x")
+    shown = F.when(made.startswith("is-"), F.concat(F.lit("k is T"), k)).when(made == "when", F.when(F.col("event_id") % 2 == 0, "k")).when(made == "case", k).otherwise("x")
+    rows = _table(spark, sf_dir, "events").select(
+        F.when(made.startswith("is-"), "java").otherwise("kotlin").alias("language"),
+        F.concat(F.lit("com.example.U"), F.col("event_id") % 7).alias("fqcn"),
+        F.concat(F.lit("m"), F.col("event_id") % 23).alias("method"),
+        made.alias("rule_kind"),
+        (F.col("event_id") % 400 + 1).cast("int").alias("line"),
+        shown.alias("condition_text"),
+        F.lit("/src/F.kt").alias("path"),
+        F.col("event_id").alias("idx"),
+    )
+    return rules.from_rows(rows, rules.Style(), 0).select(F.col("place.line").alias("event_id"), "rule_text")
+
+
+@query(
+    "SELECT o_orderkey, l_linenumber AS line, (o_orderkey % 7) IS NOT DISTINCT FROM n AS same_number, o_orderstatus IS NOT DISTINCT FROM l_linestatus AS same_text, n IS NULL AND o_orderstatus IS NULL AS mixed, "
+    "(o_orderkey % 7) IS NOT DISTINCT FROM n AS whole_and_float, n IS NULL OR n % 2 = 0 AS tenths, n IS NULL OR n % 2 = 0 AS decimal_and_double "
+    "FROM orders JOIN (SELECT *, CASE WHEN l_linenumber % 3 > 0 THEN l_linenumber END AS n FROM lineitem) ON o_orderkey = l_orderkey"
 )
 def null_safe_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = _table(spark, sf_dir, "lineitem").where("l_linenumber > 2").select("l_orderkey", "l_linenumber", "l_linestatus")
-    both = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 7).alias("seven")).join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    """Equality of numbers of one and of different kinds, of texts, and of a number with a text; every third number is null."""
+    n = F.when(F.col("l_linenumber") % 3 > 0, F.col("l_linenumber"))
+    items = _table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("line"), n.alias("n"), "l_linestatus")
+    both = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 7).alias("seven")).join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+    # a tenth as a float is not the double nearest to it, yet both say 0.1; odd numbers are moved away
+    tenth = F.col("n") / 10
+    moved = F.when(F.col("n") % 2 == 0, tenth).otherwise(tenth + 0.5)
+    kinds = {"seven_float": F.col("seven").cast("float"), "tenth_float": tenth.cast("float"), "moved": moved, "tenth_decimal": tenth.cast("decimal(9,3)")}
+    both = both.withColumns(kinds)
     pick = lambda a, b: evaluate.if_eq(both, a, b)
-    return both.select("o_orderkey", _filled("l_linenumber"), pick("seven", "l_linenumber").alias("same_number"), pick("o_orderstatus", "l_linestatus").alias("same_text"), pick("l_linenumber", "o_orderstatus").alias("mixed"))
+    return both.select(
+        "o_orderkey",
+        "line",
+        pick("seven", "n").alias("same_number"),
+        pick("o_orderstatus", "l_linestatus").alias("same_text"),
+        pick("n", "o_orderstatus").alias("mixed"),
+        pick("seven_float", "n").alias("whole_and_float"),
+        pick("tenth_float", "moved").alias("tenths"),
+        pick("tenth_decimal", "moved").alias("decimal_and_double"),
+    )
 
 
 @query(
@@ -540,6 +622,29 @@ def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trace.outcome_counts(trace_lines(spark, sf_dir), "1 day").withColumn("start", _stamp("start"))
 
 
+@query(
+    "SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'INFO' END AS level, CASE event_type WHEN 'view' THEN 'enter' WHEN 'error' THEN 'failed' ELSE 'exit' END AS phase, "
+    "CASE WHEN event_type = 'purchase' THEN 'u' || user_id WHEN user_id % 4 > 0 THEN user_id::VARCHAR END AS cid, 'U' || (user_id % 9) || '.run(int, String)' AS method, "
+    "CASE event_type WHEN 'view' THEN '[' || event_id || ', [x]]' END AS args, CASE WHEN event_type IN ('click', 'signup') THEN 'got ' || event_id END AS result, CASE event_type WHEN 'error' THEN 'java.lang.IllegalStateException' END AS exception, "
+    "CASE event_type WHEN 'error' THEN 'no: ' || event_id END AS message, CASE event_type WHEN 'view' THEN 'F.kt:' || (event_id % 90) END AS source, CASE event_type WHEN 'purchase' THEN event_id % 1000 ELSE -1 END AS elapsed_ms FROM events"
+)
+def trace_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CALL, RET and THROW messages without a head, and console lines; every fourth id is the one that stands for none."""
+    kind, method, n = F.col("event_type"), F.concat(F.lit("U"), F.col("user_id") % 9, F.lit(".run(int, String)")), F.col("event_id").cast("string")
+    cid = F.when(F.col("user_id") % 4 > 0, F.col("user_id").cast("string")).otherwise("-")
+    said = F.concat(F.lit("cid="), cid, F.lit(" method="), method)
+    line = (
+        F.when(kind == "view", F.concat(F.lit("CALL "), said, F.lit(" args=["), n, F.lit(", [x]] at=F.kt:"), F.col("event_id") % 90))
+        .when(kind == "error", F.concat(F.lit("THROW "), said, F.lit(" ex=java.lang.IllegalStateException msg=no: "), n))
+        .when(kind == "purchase", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" INFO  [u"), "user_id", F.lit("] trace.Log - RET  cid= method="), method, F.lit(" result=")))
+        .otherwise(F.concat(F.lit("RET  "), said, F.lit(" result=got "), n))
+    )
+    ok = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" INFO  [u"), "user_id", F.lit("] trace.Log - ← U"), F.col("user_id") % 9, F.lit(".run(int,String) OK in "), F.col("event_id") % 1000, F.lit(" ms"))
+    lines = _table(spark, sf_dir, "events").select("event_id", F.when(kind == "purchase", ok).otherwise(line).alias("value"))
+    found = trace.parse(lines, ["event_id"]).withColumn("method", F.replace("method", F.lit("int,String"), F.lit("int, String")))
+    return found.select("event_id", "level", "phase", "cid", "method", "args", "result", "exception", "message", "source", _filled("elapsed_ms"))
+
+
 @query(
     "SELECT event_id, CASE WHEN event_type = 'view' THEN 'enter' WHEN event_type = 'error' THEN 'failed' ELSE 'exit' END AS phase, CASE WHEN user_id % 4 > 0 THEN user_id::VARCHAR END AS cid, 'U' || (user_id % 9) || '.run(..)' AS method, "
     "CASE WHEN event_type = 'view' THEN '[' || event_id || ', x]' END AS args, CASE WHEN event_type <> 'view' THEN event_id % 1000 ELSE -1 END AS elapsed_ms, CASE WHEN event_type = 'error' THEN 'bad value' END AS message FROM events"

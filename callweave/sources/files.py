@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 #: File extension by language, in scan order, and the default size cap.
 EXTENSIONS = {"kotlin": ".kt", "java": ".java"}
 MAX_FILE_BYTES = 2_000_000
+#: Fixed value: how deep below its root a file may stand.
+MAX_DEPTH = 64
 
 
 def resolve_path(path: str, base: str) -> str:
@@ -94,6 +96,7 @@ def list_files(spark: SparkSession, roots: list[str], language: str, max_bytes:
         plain = F.regexp_replace("path", r"^[a-zA-Z][\w+.-]*:/+", "/")
         base = re.sub(r"^[a-zA-Z][\w+.-]*:/+", "/", root).rstrip("/")
         rel = F.when(F.startswith(plain, F.lit(base + "/")), F.substring(plain, len(base) + 2, 1 << 30)).otherwise(F.element_at(F.split(plain, "/"), -1))
+        kept = kept.where(F.size(F.split(rel, "/")) <= MAX_DEPTH)
         frames.append(kept.select(F.lit(root).alias("root"), rel.alias("rel_path"), plain.alias("path"), F.lit(language).alias("language"), F.col("length").alias("size_bytes"), "content"))
     if not frames:
         return spark.createDataFrame([], "root string, rel_path string, path string, language string, size_bytes bigint, content binary")

@@ -41,6 +41,13 @@ def test_rules_of_a_project(spark, project):
     assert any(t.startswith("RULE enter@com.example.flow.Mode.switch") for t in found)
 
 
+def test_runs_report_to_their_log_file(spark, project, tmp_path):
+    log = tmp_path / "log/run.log"
+    with Engine(spark, config(project, log_level="info", log_file=str(log))) as engine:
+        names = engine.write(f"file://{tmp_path}/out")
+    assert f"wrote {len(names)} files" in log.read_text() and "[INFO]" in log.read_text()
+
+
 def test_options_choose_rules(spark, project):
     everything = texts(Engine(spark, config(project)))
     assert not any("enter@" in t for t in texts(Engine(spark, config(project, entry_exit=False))))

@@ -33,6 +33,15 @@ def test_kotlin_compatible_quirks():
     assert {e[2] for e in kotlin.scan(swallowing, "x.kt")} == {"f"}
 
 
+def test_long_heads_hide_nothing():
+    many = ", ".join(f"T{k}" for k in range(60))
+    text = f"package a\nfun f() {{ if (x) y }}\nfun <{many}> g(a: T1) {{ if (p) q }}\nfun interface I {{ fun m(): Int }}\nfun List<Map<String, Int>>.h() {{ if (r) s }}\nval broken = fun"
+    found = [(r[1], r[2], r[4]) for r in kotlin_tree.legacy_rules(text, "F.kt", entry_exit=False)]
+    assert found == [(m, k, c) for m, c in (("f", "x"), ("g", "p"), ("h", "r")) for k in ("if-true", "if-false")]
+    values = ", ".join(f'"v{k}"' for k in range(300))
+    assert {e[1] for e in java.scan(f"@Tags({{{values}}})\npackage p.q;\nclass C {{ int f(int x) {{ if (x > 1) return 1; return 0; }} }}")} == {"p.q.C"}
+
+
 @pytest.mark.parametrize("parameters,want", [("", "f()"), ("a: Int, b", "f(Int,Any)"), ("a: Map<K, V>", "f(Map<K,Any)"), ("a: List<String> ", "f(List<String>)")])
 def test_kotlin_signatures(parameters, want):
     assert kotlin.signature("f", parameters) == want
