@@ -93,3 +93,31 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert sorted((p["doc_id"], p["length"]) for p in packed) == words
     assert max(p["offset"] + p["length"] for p in packed) <= packing.CAPACITY
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(packed)
+
+
+CLASHES = "doc_id long, text string, lang string, source string, n_chars long, component_id string, kept string, rate double, seed int, copies int, piece string, score double"
+
+
+def test_pipeline_on_repeated_rows_ties_and_clashing_names(spark, tmp_path):
+    prepare(spark)
+    text = lambda k: " ".join(f"word{k}x{i * i % 17}" for i in range(30))
+    rows = [(k, text(k), "en", "s", 1, "c", "k", 0.5, 3, 9, "p", 1.0) for k in range(12)]
+    rows += [rows[0], rows[0], (None, text(99), "en", None, None, None, None, None, None, None, None, None), (50, text(3), "en", "t", 1, "c", "k", 0.5, 3, 9, "p", 1.0)]
+    rows += [(60, " ".join(f"w{i % 4099}" for i in range(60_000)), "en", "t", 1, None, None, None, None, None, None, None), (61, "", "en", "t", 0, None, None, None, None, None, None, None)]
+    kept = spark.createDataFrame(rows, CLASHES)
+    columns = kept.columns
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, kept, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        kept = spark.read.parquet(f"{tmp_path}/{name}")
+        assert name == "pack" or kept.columns == columns
+        seen[name] = [r["doc_id"] for r in kept.select("doc_id").collect()]
+    assert sorted(map(str, seen["language"])) == sorted(str(r[0]) for r in rows if r[0] != 61)
+    assert sorted(map(str, seen["near_duplicates"])) == sorted(map(str, [*range(12), 60, None])) == sorted(map(str, seen["secrets"]))
+    assert {d for d in seen["mix"]} == {d for d in seen["pack"]}
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    prepare(spark)
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
