@@ -111,9 +111,9 @@ def _words(distinct: list[str]) -> Words:
     plain = np.where(classes > 0, codes, 0).astype(np.uint64)
     one, two = np.roll(plain, 1), np.roll(plain, 2)
     if len(plain):
-        one[0] = two[0] = 0
-    if len(plain) > 1:
-        two[1] = 0
+        one[0] = 0
+    # a word's score is its own: nothing before its blank counts
+    two = np.where(one > 0, two, 0)
     return Words(classes, _hashed(two, one, plain), _hashed(two, one), np.cumsum(lengths) - lengths)
 
 
