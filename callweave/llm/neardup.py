@@ -44,6 +44,8 @@ MISS = 1e-7
 PAIRS_LISTED, BLOCK = 256, 128
 #: Bits of the filter that keeps rows out of a join whose ids are in no pair: so many for each id, and a bound in all.
 FILTER_BITS_EACH, FILTER_BITS = 16, 1 << 26
+#: Rows of ids or pairs of ids that are broadcast at most; beyond, the join shuffles.
+BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -204,6 +206,11 @@ def possible(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return rows.where(F.col(column).isNotNull()).where(is_set(place(F.col(column).cast("long"))))
 
 
+def _checked(ids: DataFrame) -> DataFrame:
+    """Stored ids or pairs of ids, broadcast where their number allows it, so what they are joined to stays where it is."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def confirm(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, how: Settings) -> DataFrame:
     """The linked ones among pairs (a, b): Bayesian pruning on sigs (node, sig), then the full sets."""
 
@@ -226,11 +233,14 @@ def confirm(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, how: Settings) -
             ok = [_linked(of(x.as_py()), of(y.as_py()), how.percent) for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    signed = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
+    ends = lambda p: p.select("a").union(p.select("b")).distinct()
+    pairs = materialise(pairs, "pairs")
+    near = possible(sigs, "node", ends(pairs))
+    signed = _checked(pairs).join(near.toDF("a", "sig_a"), "a").join(near.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
     left = materialise(signed.mapInArrow(prune, "a long, b long"), "candidates")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text is not null")
-    texts = possible(texts, "id", left.select("a").union(left.select("b")).distinct())
-    full = left.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
+    texts = possible(texts, "id", ends(left))
+    full = _checked(left).join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
     return full.mapInArrow(exact, "a long, b long").distinct()
 
 
@@ -322,9 +332,9 @@ def components(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
     outside = many.where("component <> main").select("band", "node", "n", "component", F.lit(0).alias("side"), place("others").alias("p"), F.explode(F.sequence(F.lit(0), blocks("total") - 1)).alias("q"))
     every = many.select("band", "node", "n", "component", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), blocks("others") - 1)).alias("p"), place("total").alias("q"))
     dealt = outside.union(every)
-    nodes_again = many.select("node").distinct()
+    nodes_again = materialise(many.select("node").distinct(), "nodes-again")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("text is not null")
-    wanted = nodes_again.join(sigs, "node").join(possible(texts, "node", nodes_again), "node")
+    wanted = _checked(nodes_again).join(sigs, "node").join(possible(texts, "node", nodes_again), "node")
     block_links = dealt.join(materialise(wanted, "texts"), "node").groupBy("band", "p", "q").applyInPandas(lambda t: _block_links(t, how), "a long, b long")
 
     of = first.toDF("node", "component")
