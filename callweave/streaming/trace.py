@@ -25,6 +25,7 @@ MESSAGES = {
     "ok": r"^← (\S+) OK in (\d+) ms$",
     "failed": r"^✖ (\S+) failed in (\d+) ms: (.*?)(?: \(see stacktrace in console\))?$",
 }
+BEGINS = {"call": "CALL ", "ret": "RET", "throw": "THROW ", "enter": "→ ", "ok": "← ", "failed": "✖ "}
 
 
 def parse(lines: DataFrame, keep: list[str] = ()) -> DataFrame:
@@ -32,13 +33,17 @@ def parse(lines: DataFrame, keep: list[str] = ()) -> DataFrame:
 
     A correlation id of - or blank is null. Phases are enter, exit and failed."""
     v = F.col("value")
-    head = lambda k: F.when(v.rlike(FILE_LINE), F.regexp_extract(v, FILE_LINE, k))
-    console = lambda k: F.when(v.rlike(CONSOLE_LINE), F.regexp_extract(v, CONSOLE_LINE, k))
-    body = lines.select("*", F.coalesce(head(1), console(1)).alias("__ts"), F.coalesce(head(2), console(2)).alias("level"), F.coalesce(head(3), console(3)).alias("__cid"), F.coalesce(head(4), console(5), v).alias("__body"))
+    # the head is told once; its groups are taken by the one pattern that holds, and none of bodies without a head
+    form = F.when(v.rlike(FILE_LINE), "file").when(v.rlike(CONSOLE_LINE), "console")
+    told = lines.withColumn("__form", form)
+    part = lambda file, console: F.when(F.col("__form") == "file", F.regexp_extract(v, FILE_LINE, file)).when(F.col("__form") == "console", F.regexp_extract(v, CONSOLE_LINE, console))
+    body = told.select("*", part(1, 1).alias("__ts"), part(2, 2).alias("level"), part(3, 3).alias("__cid"), F.coalesce(part(4, 5), v).alias("__body"))
     b = F.col("__body")
     kind = None
     for name, pattern in MESSAGES.items():
-        kind = F.when(b.rlike(pattern), name) if kind is None else kind.when(b.rlike(pattern), name)
+        # a pattern is tried only where the body begins as it does
+        fits = b.startswith(BEGINS[name]) & b.rlike(pattern)
+        kind = F.when(fits, name) if kind is None else kind.when(fits, name)
     got = lambda name, k: F.when(F.col("__kind") == name, F.regexp_extract(b, MESSAGES[name], k))
     known = lambda c: F.when(~F.trim(c).isin("", "-"), c)
     typed = body.withColumn("__kind", kind).where("__kind is not null")
