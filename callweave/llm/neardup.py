@@ -25,6 +25,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 from math import comb
@@ -184,11 +185,11 @@ def _sizes_allow(a: Column | str, b: Column | str, how: Settings) -> Column:
     return 100 * F.least(a, b) >= how.percent * F.greatest(a, b)
 
 
-def possible(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """rows whose `column` may be among ids (one long column): all that are, and a few others.
+def among(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test whether an id may be among ids (one long column): true for all that are, and a few others.
 
-    A join then shuffles those rows' texts and no others. The ids become a bitmap of at most FILTER_BITS bits, whose
-    64-bit words are put together on the executors; with far more ids than bits all rows pass and the join decides."""
+    The ids become a bitmap of at most FILTER_BITS bits, whose 64-bit words are put together on the executors; with
+    far more ids than bits the test is always true and the join that follows decides."""
     (name,) = ids.columns
     n = ids.count()
     bits = min(FILTER_BITS, 64 << max(0, (n * FILTER_BITS_EACH - 1) // 64).bit_length())
@@ -203,7 +204,12 @@ def possible(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
         k = at.to_numpy()
         return pd.Series((bitmap[k >> 6] >> (k & 63)) & 1 != 0)
 
-    return rows.where(F.col(column).isNotNull()).where(is_set(place(F.col(column).cast("long"))))
+    return lambda c: c.isNotNull() & is_set(place(c.cast("long")))
+
+
+def possible(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """rows whose `column` may be among ids; a join then shuffles those rows' texts and no others."""
+    return rows.where(among(ids)(F.col(column)))
 
 
 def _checked(ids: DataFrame) -> DataFrame:
@@ -352,8 +358,14 @@ def components(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
 def deduplicate(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
     """docs with one document of each component: the smallest doc_id, and of rows that repeat it, one."""
     judged = materialise(components(docs, how), "judged")
-    dropped = judged.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
-    left = docs.join(dropped, docs["doc_id"].cast("long") == dropped["__dropped"], "left_anti")
+    dropped = materialise(judged.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
+    without = lambda rows, ids: rows.join(ids, rows["doc_id"].cast("long") == ids["__dropped"], "left_anti")
+    if dropped.count() <= BROADCAST_ROWS:
+        left = without(docs, F.broadcast(dropped))
+    else:
+        # only texts that may go are shuffled, not the whole corpus
+        may_go = among(dropped)(docs["doc_id"])
+        left = docs.where(~may_go).union(without(docs.where(may_go), dropped))
     again = judged.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
         return left

@@ -76,3 +76,12 @@ def test_pruning_bounds_keep_pairs_at_the_threshold():
     for similarity, least, most in ((0.85, 0.9999, 1), (0.5, 0, 0.01)):
         b = np.where(r.random(a.shape) < similarity, a, a + 1).astype(np.uint16)
         assert least <= len(neardup.surviving(a, b, neardup.THREE_WORDS)) / len(a) <= most
+
+
+@pytest.mark.parametrize("rows", [500_000, 0])
+def test_deduplicate_by_broadcast_and_by_shuffle(spark, monkeypatch, rows):
+    monkeypatch.setattr(neardup, "BROADCAST_ROWS", rows)
+    corpus_rows = [*corpus(5, 6, 4), (None, "a b c d"), (None, None), (900, None), (0, "again here")]
+    kept = neardup.deduplicate(prepare(spark).createDataFrame([(*r, "k") for r in corpus_rows], "doc_id long, text string, kept string"), neardup.THREE_WORDS)
+    want = brute([r for r in corpus_rows if r != (0, "again here")])
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted([*(str(d) for d, c in want.items() if d == c), "None", "None"])
