@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import langid, mainhtml, mixing, neardup, packing, quality, rollup, secrets, toxicity, webp
+from callweave.llm import divergence, langid, lexical, mainhtml, mixing, neardup, packing, quality, rollup, secrets, simhash, toxicity, webp
 from callweave.llm._shared import materialise, prepare, table
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
@@ -124,12 +124,55 @@ FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source AND u.k = b.k
 """
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, term, count(*)::BIGINT AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT count(*)::BIGINT AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+f AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+v AS (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM f, s GROUP BY term, n),
+m AS (SELECT r, doc_id, 100 - 75 + (75 * len(w)::BIGINT * n) // l AS norm FROM d, s WHERE len(w) > 0),
+h AS (SELECT item_id, r, any_value(doc_id) AS doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * norm)))::BIGINT AS score FROM i JOIN f USING (term) JOIN v USING (term) JOIN m USING (r) GROUP BY item_id, r)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM h WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(prepare(spark), sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*)::BIGINT AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*)::BIGINT AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(any_value(s.n), 0)::BIGINT AS total FROM d LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL),
+l AS (SELECT lang, sum(total)::BIGINT AS total FROM g GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.total + v.v) AS p
+  FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (SELECT c.lang, c.term, 1 + (1000000000 * (sum(c.n)::BIGINT + 1)) // (any_value(l.total) + any_value(v.v)) AS q FROM c JOIN l USING (lang) JOIN v USING (lang) GROUP BY c.lang, c.term),
+a AS (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p)::BIGINT AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(a.value, 0)::BIGINT AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+def op13_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(prepare(spark), sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = (op1_lossless_webp, op2_token_rollup, op3_mix_sources, op4_language_spans, op5_main_html, op6_secret_scan, op7_toxicity, op8_near_duplicates, op9_pack_sequences, op10_quality_rules)
+    ops = (op1_lossless_webp, op2_token_rollup, op3_mix_sources, op4_language_spans, op5_main_html, op6_secret_scan, op7_toxicity, op8_near_duplicates, op9_pack_sequences, op10_quality_rules, op11_lexical_search, op12_source_divergence, op13_simhash_components)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": OP3_SQL, "op8_near_duplicates": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op3_mix_sources": OP3_SQL, "op8_near_duplicates": OP8_SQL, "op10_quality_rules": OP10_SQL, "op11_lexical_search": OP11_SQL, "op12_source_divergence": OP12_SQL}
