@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from callweave.functions import ids, text
+from callweave.operators import rotation
 from callweave.operators.events import any_prefix
 
 BRANCH = ":if-|:is-|:when|:case"
@@ -50,25 +49,19 @@ def sharded(rules: DataFrame, shards: int) -> DataFrame:
 def rotated(rules: DataFrame, header_bytes: int, max_bytes: int, shards: int) -> DataFrame:
     """(shard, rotation, seq, rule_text, bytes): each shard's rules in order, a new file before a rule that would overflow it.
 
-    A shard is one partition, read in order as a stream: its size never has to fit in memory. max_bytes 0 turns
-    rotation off; then rotation is 0, else it counts from 1."""
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict[int, tuple[int, int, int]] = {}
-        for pdf in batches:
-            turns, numbers = [], []
-            for shard, size in zip(pdf["shard"], pdf["bytes"], strict=True):
-                rotation, held, seq = state.get(shard, (1 if max_bytes > 0 else 0, header_bytes, 0))
-                if 0 < max_bytes < held + size:
-                    rotation, held = rotation + 1, header_bytes
-                state[shard] = (rotation, held + size, seq + 1)
-                turns.append(rotation)
-                numbers.append(seq)
-            yield pd.DataFrame({"shard": pdf["shard"], "rotation": turns, "seq": numbers, "rule_text": pdf["rule_text"], "bytes": pdf["bytes"]})
-
-    dealt = rules.select("shard", "turn", "place", "rule_text", (F.octet_length("rule_text") + 2).cast("bigint").alias("bytes"))
-    dealt = dealt.repartitionById(max(1, shards), F.col("shard")).sortWithinPartitions("shard", "turn", "place")
-    return dealt.select("shard", "rule_text", "bytes").mapInPandas(fold, "shard int, rotation int, seq long, rule_text string, bytes long")
+    Places and sizes alone are sorted and rotated, by operators.rotation, over as many tasks as there are ranges of
+    them; texts are joined to the outcome. max_bytes 0 turns rotation off; then rotation is 0, else it counts from 1."""
+    of = ["shard", "turn", "place", "mark"]
+    told = rules.select("shard", "turn", "place", F.xxhash64("rule_text").alias("mark"), "rule_text", (F.coalesce(F.octet_length("rule_text"), F.lit(0)) + 2).cast("bigint").alias("bytes"))
+    placed = rotation.numbered(told.select(*of, "bytes").withColumn("held", F.lit(0).cast("bigint")), ["shard"], of[1:])
+    turned = rotation.rotations(placed, header_bytes, max_bytes) if max_bytes > 0 else placed.withColumn("rotation", F.lit(0))
+    turned = turned.select(*of, "again", "k", "rotation")
+    if placed.where("again").isEmpty():
+        joined = told.join(turned, of)
+    else:  # rows that repeat one another in full are told apart by number
+        copy = lambda df, order: df.withColumn("copy", F.row_number().over(Window.partitionBy(*of).orderBy(order)))
+        joined = copy(told, "bytes").join(copy(turned, "k"), [*of, "copy"])
+    return joined.select("shard", "rotation", (F.col("k") - 1).alias("seq"), "rule_text", "bytes")
 
 
 def file_lines(rotated_rules: DataFrame, header: str, prefix: str, shards: int, rotating: bool, gzip: bool = False) -> DataFrame:

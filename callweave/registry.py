@@ -16,7 +16,7 @@ from callweave import fixtures
 from callweave.functions import evaluate, ids, predicates, text
 from callweave.operators import dispatch, rules
 from callweave.operators import events as ev
-from callweave.plans import engine
+from callweave.plans import engine, sink
 from callweave.sources import files, java, kotlin, kotlin_tree
 from callweave.streaming import trace
 
@@ -204,7 +204,7 @@ def _rotated_sql(header_bytes: int, max_bytes: int, shards: int) -> str:
   f AS (SELECT DISTINCT shard, 1 AS rotation, 1::BIGINT AS k, 0::BIGINT AS base, 0::BIGINT AS least FROM o
     UNION ALL SELECT f.shard, f.rotation + 1, min(o.k), min(o.upto - o.bytes)::BIGINT, min(o.k) FROM f JOIN o ON o.shard = f.shard AND o.k > f.least AND o.upto - f.base > {max_bytes - header_bytes} GROUP BY f.shard, f.rotation),
   s AS (SELECT shard, k, max(rotation) AS rotation FROM f GROUP BY shard, k),
-  t AS (SELECT o.shard, s.rotation, o.rule_text, o.bytes FROM o ASOF JOIN s ON o.shard = s.shard AND o.k >= s.k)"""
+  t AS (SELECT o.shard, s.rotation, o.k, o.rule_text, o.bytes FROM o ASOF JOIN s ON o.shard = s.shard AND o.k >= s.k)"""
 
 
 @query(f"{_rotated_sql(60, 65_536, 4)} SELECT shard, rotation, count(*) AS n, sum(bytes)::BIGINT AS bytes FROM t GROUP BY shard, rotation")
@@ -214,20 +214,22 @@ def shard_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turned.groupBy("shard", "rotation").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
 
 
-HEAD = rules.header("callweave", "trace.Helper", [], [])
+#: What the SQL takes a file to begin with, and to hold where its shard has no rules, in the words that runs must write.
+HEAD_SQL = "'# Generated by callweave' || chr(10) || '# Helper: trace.Helper' || chr(10) || chr(10)"
 
 
 @query(
-    f"{_rotated_sql(len(HEAD), 65_536, 4)}, n AS (SELECT shard, rotation, length(rule_text) + 2 AS chars FROM t "
-    f"UNION ALL SELECT DISTINCT shard, rotation, {len(HEAD)} FROM (SELECT shard, rotation FROM t UNION SELECT range, 1 FROM range(4)) "
-    f"UNION ALL SELECT range, 1, {len(dispatch.NOTHING) + 1} FROM range(4) WHERE range NOT IN (SELECT shard FROM t)) "
-    "SELECT format('tracing-{:04d}-{:05d}.btm', shard + 1, rotation) AS file, count(*) AS items, sum(chars)::BIGINT AS chars FROM n GROUP BY shard, rotation"
+    f"{_rotated_sql(49, 65_536, 4)}, n AS (SELECT shard, rotation, string_agg(rule_text || chr(10) || chr(10), '' ORDER BY k) AS body FROM t GROUP BY ALL "
+    "UNION ALL SELECT s, 1, '# No matching sources were found.' || chr(10) FROM range(4) r(s) WHERE s NOT IN (SELECT shard FROM t) "
+    "UNION ALL SELECT DISTINCT shard, 1, '' FROM t WHERE shard NOT IN (SELECT shard FROM t WHERE rotation = 1)) "
+    f"SELECT format('tracing-{{:04d}}-{{:05d}}.btm', shard + 1, rotation) AS file, length({HEAD_SQL} || body)::BIGINT AS chars, md5({HEAD_SQL} || body) AS digest FROM n"
 )
 def file_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = HEAD
+    """The text of every output file, told by its length and digest."""
+    head = rules.header("callweave", "trace.Helper", [], [])
     dealt = dispatch.sharded(dispatch.selected(rules.to_rules(scan_events(spark, sf_dir))), 4)
-    lines = dispatch.file_lines(dispatch.rotated(dealt, len(head), 65_536, 4), head, "tracing-", 4, True)
-    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("items"), F.sum(F.length("value") + 1).alias("chars"))
+    lines = dispatch.file_lines(dispatch.rotated(dealt, len(head.encode()), 65_536, 4), head, "tracing-", 4, True)
+    return sink.contents(lines).select("file", F.length("content").cast("bigint").alias("chars"), F.md5("content").alias("digest"))
 
 
 # --- identifiers ------------------------------------------------------------------------------------
