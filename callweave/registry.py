@@ -603,7 +603,20 @@ TRACE = "t AS (SELECT event_id AS seq, user_id AS cid, 'm' || (event_id % 5) AS
     "SELECT cid, depth::BIGINT AS depth, method, seq AS enter_seq, coalesce(exit_seq, -1) AS exit_seq, ended AS phase FROM n WHERE phase = 'enter'"
 )
 def trace_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trace.pair_calls(trace_lines(spark, sf_dir)).select("cid", F.col("depth").cast("bigint").alias("depth"), "method", "enter_seq", _filled("exit_seq"), "phase")
+    return trace.pair_by_depth(trace_lines(spark, sf_dir)).select("cid", F.col("depth").cast("bigint").alias("depth"), "method", "enter_seq", _filled("exit_seq"), "phase")
+
+
+@query(
+    f"WITH RECURSIVE {TRACE}, n AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY seq) AS k FROM t), "
+    "s AS (SELECT DISTINCT cid, 0::BIGINT AS k, []::STRUCT(seq BIGINT, method VARCHAR)[] AS before, NULL::BIGINT AS seq, NULL::VARCHAR AS phase, 0::BIGINT AS place, []::STRUCT(seq BIGINT, method VARCHAR)[] AS stack FROM n "
+    "UNION ALL SELECT cid, k, stack, seq, phase, place, CASE WHEN phase = 'enter' THEN list_append(stack, {'seq': seq, 'method': method}) WHEN place > 0 THEN stack[1:place - 1] ELSE stack END FROM "
+    "(SELECT n.cid, n.k, s.stack, n.seq, n.phase, n.method, coalesce(list_max(list_filter(range(1, len(s.stack) + 1), lambda i: s.stack[i].method = n.method)), 0)::BIGINT AS place FROM s JOIN n ON n.cid = s.cid AND n.k = s.k + 1)), "
+    "x AS (SELECT cid, before[place].seq AS enter_seq, seq AS exit_seq, phase FROM s WHERE phase <> 'enter' AND place > 0) "
+    "SELECT s.cid, len(s.stack)::BIGINT AS depth, s.stack[-1].method AS method, s.seq AS enter_seq, coalesce(x.exit_seq, -1) AS exit_seq, x.phase FROM s LEFT JOIN x ON x.cid = s.cid AND x.enter_seq = s.seq WHERE s.phase = 'enter'"
+)
+def trace_pairing_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a trace in which many lines have no partner."""
+    return trace.pair_calls(trace_lines(spark, sf_dir)).select("cid", "depth", "method", "enter_seq", _filled("exit_seq"), "phase")
 
 
 def _stamp(c: str) -> Column:

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
+from callweave.functions import shared
+from callweave.streaming import pairing
+
 #: The line forms.
 FILE_LINE = r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3}) \[(\w+)\] \[cid=([^\]]*)\] (.*)$"
 CONSOLE_LINE = r"^(\S+(?: \S+)?) (TRACE|DEBUG|INFO|WARN|ERROR) +\[([^\]]*)\] (\S+) - (.*)$"
@@ -85,11 +88,11 @@ def _signed(phase: Column) -> Column:
     return F.when(phase == "enter", 1).otherwise(-1)
 
 
-def pair_calls(trace: DataFrame, key: str = "cid", order: str = "seq") -> DataFrame:
-    """trace's enters with the exit that ends each: (key, method, depth, enter_seq, exit_seq, phase).
+def pair_by_depth(trace: DataFrame, key: str = "cid", order: str = "seq") -> DataFrame:
+    """trace's enters with the exit that ends each: (key, method, depth, enter_seq, exit_seq, phase), for traces without lost lines.
 
     The running depth changes by one a line, so at one key and depth enters and exits take turns: an enter's exit
-    is the next line there. Exits without an enter are left out, enters without an exit have nulls."""
+    is the next line there, whatever its method. Exits without an enter are left out, enters without an exit have nulls."""
     by = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     depth = F.sum(_signed(F.col("phase"))).over(by)
     placed = trace.withColumn("depth", F.when(F.col("phase") == "enter", depth).otherwise(depth + 1))
@@ -98,6 +101,29 @@ def pair_calls(trace: DataFrame, key: str = "cid", order: str = "seq") -> DataFr
     return ended.where("phase = 'enter'").select(key, "depth", "method", F.col(order).alias("enter_seq"), "exit_seq", F.col("ended").alias("phase"))
 
 
+def pair_calls(trace: DataFrame, key: str = "cid", order: str = "seq") -> DataFrame:
+    """trace's enters with the exit that ends each: (key, depth, method, enter_seq, exit_seq, phase), lost lines or not.
+
+    An exit ends the last open call of its method and gives up the calls opened since; one without such a call is left
+    out. Enters that nothing ends have nulls. Lines without a key are left out; of lines at one place any may be first.
+
+    Lines are sorted into ranges of (key, order), so a key with most of the lines is spread over tasks. Only the first
+    and the last key of a range can go on in another; of their lines a range settles those that no line elsewhere can
+    change - calls from enter to exit with no unknown exit between - and what is left is settled in order by key."""
+    shared.checkpoints(trace.sparkSession)
+    of, at = (trace.schema[c].dataType.simpleString() for c in (key, order))
+    lines = trace.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(order).alias("at"), "phase", "method")
+    ranged = lines.repartitionByRange("key", "at").sortWithinPartitions("key", "at")
+    told = ranged.mapInArrow(pairing.settle_ranges, pairing.TOLD.format(key=of, at=at)).checkpoint()
+    left = told.where("kind = 'line'").select("key", "block", "n", F.col("enter_seq").alias("at"), "phase", "method")
+    settled = left.repartition("key").sortWithinPartitions("key", "block", "n").mapInArrow(pairing.settle_rest, pairing.TOLD.format(key=of, at=at)).checkpoint()
+    out = ["key", "depth", "method", "enter_seq", "exit_seq", "phase"]
+    sizes = settled.where("kind = 'size'").select("key", "block", "n", F.col("depth").alias("below"))
+    inside = told.where("kind = 'inside'").join(sizes, ["key", "block", "n"]).withColumn("depth", F.col("depth") + F.col("below"))
+    pairs = told.where("kind = 'pair'").select(out).unionAll(settled.where("kind = 'pair'").select(out)).unionAll(inside.select(out))
+    return pairs.withColumnRenamed("key", key)
+
+
 def sessions(trace: DataFrame, key: str = "cid", gap: str = "30 minutes", time: str = "ts") -> DataFrame:
     """(key, start, end, lines) of stretches without a pause of `gap`."""
     return trace.groupBy(F.session_window(time, gap).alias("s"), key).agg(F.count(F.lit(1)).alias("lines")).select(key, F.col("s.start").alias("start"), F.col("s.end").alias("end"), "lines")
@@ -116,32 +142,51 @@ def distinct_lines(trace: DataFrame, late: str = "10 minutes") -> DataFrame:
     return trace.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys) if trace.isStreaming else trace.dropDuplicates(keys)
 
 
-PAIRED = "cid string, method string, depth int, started timestamp, ended timestamp, phase string, elapsed_ms long"
+PAIRED = "cid string, method string, depth int, started long, ended long, phase string"
+OPEN = "methods array<string>, times array<long>, latest long, held_times array<long>, held_phases array<string>, held_methods array<string>"
 
 
-def pair_stream(trace: DataFrame, quiet_ms: int = 600_000, late: str = "10 minutes") -> DataFrame:
-    """Finished calls of a stream, nested ones with their own durations; an id that is quiet for `quiet_ms` of event time is forgotten."""
+def pair_stream(trace: DataFrame, quiet_ms: int = 600_000, late: str = "10 minutes", wait: bool = False) -> DataFrame:
+    """Finished calls of a stream, nested ones with their own durations; an id that is quiet for `quiet_ms` of event time is forgotten.
+
+    Lines are taken as they come, in order of time within a delivery. With `wait` a line is held until the watermark
+    has passed it, so lines that come in any order within `late` give the calls of the ordered trace. Pairs are those
+    of pair_calls() on the same order."""
 
     def pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        methods, times = map(list, state.get) if state.exists else ([], [])
-        rows = pd.concat(list(batches)).sort_values("ts", kind="stable")
+        methods, times, latest, *held = map(_plain, state.get) if state.exists else ([], [], 0, [], [], [])
+        passed = state.getCurrentWatermarkMs() * 1000
+        lines = list(zip(*held, strict=True))
+        if not state.hasTimedOut:
+            for rows in batches:
+                lines += zip(*(rows[c].tolist() for c in ("at", "phase", "method")), strict=True)
+        lines.sort(key=lambda x: x[0])
+        ready = sum(x[0] <= passed for x in lines) if wait else len(lines)
         out = []
-        for ts, phase, method in zip(rows["ts"], rows["phase"], rows["method"], strict=True):
+        for at, phase, method in lines[:ready]:
             if phase == "enter":
                 methods.append(method)
-                times.append(ts.isoformat())
+                times.append(at)
             elif method in methods:
                 k = len(methods) - 1 - methods[::-1].index(method)
-                started = pd.Timestamp(times[k])
-                out.append((key[0], method, k + 1, started, ts, phase, round((ts - started).total_seconds() * 1000)))
+                out.append((key[0], method, k + 1, times[k], at, phase))
                 del methods[k:], times[k:]
-        state.update((methods, times))
-        latest = int(rows["ts"].iloc[-1].timestamp() * 1000)
-        state.setTimeoutTimestamp(max(latest + quiet_ms, state.getCurrentWatermarkMs() + 1))
+            latest = max(latest, at)
+        held = lines[ready:]
+        if not held and state.hasTimedOut and latest + quiet_ms * 1000 <= passed:
+            state.remove()
+        else:
+            state.update((methods, times, latest, *([x[c] for x in held] for c in range(3))))
+            due = held[0][0] if held else latest + quiet_ms * 1000
+            state.setTimeoutTimestamp(max(due // 1000 + 1, passed // 1000 + 1))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in PAIRED.split(", ")])
 
-    keyed = trace.where("cid is not null and ts is not null").select("cid", "ts", "phase", "method").withWatermark("ts", late).groupBy("cid")
-    return keyed.applyInPandasWithState(pair, PAIRED, "methods array<string>, times array<string>", "append", GroupStateTimeout.EventTimeTimeout)
+    keyed = trace.where("cid is not null and ts is not null").withWatermark("ts", late).select("cid", "ts", F.unix_micros("ts").alias("at"), "phase", "method").groupBy("cid")
+    found = keyed.applyInPandasWithState(pair, PAIRED, OPEN, "append", GroupStateTimeout.EventTimeTimeout)
+    ms = F.round((F.col("ended") - F.col("started")) / 1000).cast("bigint")
+    return found.select("cid", "method", "depth", F.timestamp_micros("started").alias("started"), F.timestamp_micros("ended").alias("ended"), "phase", ms.alias("elapsed_ms"))
+
+
+def _plain(x):
+    """A state's field as Python values."""
+    return x if isinstance(x, int) else list(x)
