@@ -24,11 +24,13 @@ are ignored, whatever their names; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +42,8 @@ from callweave.llm._shared import materialise
 LEAST_DOCS = 3
 #: Term rows of a group.
 MOST = 200
-#: Leaves that a task's tries hold before they are written out.
-LEAVES = 200_000
+#: Leaves that a task's tries hold before they are written out, or that are merged at a time.
+LEAVES = 300_000
 #: Groups whose names and totals tasks hold at a time; languages are taken in so many turns.
 GROUPS = 200_000
 #: Cells of a block's matrix of terms by sources.
@@ -61,90 +63,94 @@ def terms(text: str | None) -> list[bytes]:
 
 
 class Trie:
-    """A radix trie over bytes; a node is [label, children by first byte, leaf], a leaf [documents, {source: count}]."""
+    """A radix trie over bytes; a node is [label, children by first byte or None, number of its leaf or None].
 
-    def __init__(self):
-        self.root, self.leaves = [b"", {}, None], 0
+    Counters of leaves lie outside in arrays, at the leaves' numbers."""
 
-    def leaf(self, term: bytes) -> list:
-        """The term's leaf, made where there is none."""
-        node, at = self.root, 0
-        while at < len(term):
+    def __init__(self, terms: Iterable[bytes]):
+        self.root = [b"", {}, None]
+        for number, term in enumerate(terms):
+            self._put(term, number)
+
+    def _put(self, term: bytes, number: int) -> None:
+        node, at, end = self.root, 0, len(term)
+        while at < end:
+            if node[1] is None:
+                node[1] = {}
             below = node[1].get(term[at])
             if below is None:
-                below = node[1][term[at]] = [term[at:], {}, None]
-            elif not term.startswith(below[0], at):
-                label, same = below[0], 1
-                while at + same < len(term) and term[at + same] == label[same]:
+                node[1][term[at]] = [term[at:], None, number]
+                return
+            label = below[0]
+            if not term.startswith(label, at):
+                same = 1
+                while at + same < end and term[at + same] == label[same]:
                     same += 1
-                upper = [label[:same], {label[same]: below}, None]
                 below[0] = label[same:]
-                node[1][term[at]] = below = upper
+                node[1][term[at]] = below = [label[:same], {label[same]: below}, None]
             node, at = below, at + len(below[0])
-        if node[2] is None:
-            node[2] = [0, {}]
-            self.leaves += 1
-        return node[2]
-
-    def add(self, term: bytes, docs: int, counts: Iterator[tuple[str, int]]) -> None:
-        leaf = self.leaf(term)
-        leaf[0] += docs
-        for source, n in counts:
-            leaf[1][source] = leaf[1].get(source, 0) + n
-
-    def walk(self) -> Iterator[tuple[bytes, int, dict[str, int]]]:
-        """(term, documents, counts) in the order of their bytes."""
+        node[2] = number
+
+    def walk(self) -> Iterator[tuple[bytes, int]]:
+        """(term, number) in the order of the terms' bytes."""
         stack = [(self.root, b"")]
         while stack:
             node, before = stack.pop()
             path = before + node[0]
             if node[2] is not None:
-                yield path, *node[2]
-            stack += [(node[1][b], path) for b in sorted(node[1], reverse=True)]
+                yield path, node[2]
+            if node[1]:
+                stack += [(node[1][b], path) for b in sorted(node[1], reverse=True)]
 
 
-def _rows(tries: dict[str, Trie], least: int = 0) -> Iterator[pa.RecordBatch]:
-    """All leaves of the tries, language by language, in batches."""
-    rows = []
-    for lang in sorted(tries):
-        for term, docs, counts in tries[lang].walk():
-            if docs >= least:
-                rows.append((lang, term, docs, list(counts), list(counts.values())))
-            if len(rows) >= 10_000:
-                yield _batch(rows)
-                rows = []
-    if rows:
-        yield _batch(rows)
+def _leaves(lang: str, trie: Trie, docs: np.ndarray, leaf: np.ndarray, source: np.ndarray, count: np.ndarray, names: pa.Array) -> pa.RecordBatch:
+    """A trie's leaves in order, from documents by leaf and counts by (leaf, source)."""
+    terms, order = zip(*trie.walk(), strict=True)
+    place = np.empty(len(order), np.int64)
+    place[list(order)] = np.arange(len(order))
+    at = place[leaf]
+    by_place = np.argsort(at, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(order)))])
+    lists = lambda values: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+    return _batch([pa.array([lang] * len(terms), pa.string()), pa.array(terms, pa.binary()), pa.array(docs[list(order)]), lists(names.take(pa.array(source[by_place]))), lists(pa.array(count[by_place]))])
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ENTRY, strict=True)], schema=_ENTRY)
+def _batch(columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _ENTRY, strict=True)], schema=_ENTRY)
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """Leaves of the partitions' tries over docs (text, lang, source); each group also has a row without a term."""
+    """Leaves of the partitions' tries over docs (text, lang, source); each group also has a row without a term.
+
+    Repeats of a term are counted before it goes into the trie, so that it goes there once."""
+
+    def grown(held: dict[str, Counter], tally: dict[tuple[str, str], Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, by_term in held.items():
+            if not by_term:
+                continue
+            number = {term: k for k, term in enumerate(by_term)}
+            mine = sorted(source for of, source in tally if of == lang)
+            leaf = [np.fromiter(map(number.__getitem__, tally[lang, s]), np.int64) for s in mine]
+            count = [np.fromiter(tally[lang, s].values(), np.int64) for s in mine]
+            source = np.repeat(np.arange(len(mine)), [len(x) for x in leaf])
+            yield _leaves(lang, Trie(number), np.fromiter(by_term.values(), np.int64), np.concatenate(leaf), source, np.concatenate(count), pa.array(mine, pa.string()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries, groups = defaultdict(Trie), set()
+        held, tally, groups = defaultdict(Counter), defaultdict(Counter), set()
         for batch in batches:
-            held, tally = defaultdict(Counter), defaultdict(Counter)
             for text, lang, source in zip(batch.column("text"), batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True):
                 found = terms(text.as_py())
                 tally[lang, source].update(found)
                 held[lang].update(set(found))
-            for (lang, source), by_term in tally.items():
-                for term, n in by_term.items():
-                    tries[lang].add(term, 0, [(source, n)])
-            for lang, by_term in held.items():
-                for term, n in by_term.items():
-                    tries[lang].add(term, n, ())
-            groups |= tally.keys()
-            if sum(t.leaves for t in tries.values()) > LEAVES:
-                yield from _rows(tries)
-                tries.clear()
-        yield from _rows(tries)
-        if groups:
-            yield _batch([(lang, None, 0, [source], [0]) for lang, source in sorted(groups)])
+            if sum(map(len, held.values())) > LEAVES:
+                yield from grown(held, tally)
+                groups |= tally.keys()
+                held.clear()
+                tally.clear()
+        yield from grown(held, tally)
+        if groups := sorted(groups | tally.keys()):
+            langs, sources = zip(*groups, strict=True)
+            yield _batch([langs, [None] * len(groups), [0] * len(groups), [[s] for s in sources], [[0]] * len(groups)])
 
     named = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
     return named.mapInArrow(count, ENTRY)
@@ -153,18 +159,49 @@ def counted(docs: DataFrame) -> DataFrame:
 def merged(leaves: DataFrame) -> DataFrame:
     """The kept terms' leaves, merged by ranges of (lang, term)."""
 
+    def summed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Tries of the languages in rows, whose leaves come in order and are all there."""
+        new = np.concatenate([[True], ~np.asarray(pc.and_(*(pc.equal(rows.column(c)[1:], rows.column(c)[:-1]) for c in ("lang", "term"))))])
+        firsts = np.flatnonzero(new)
+        docs = np.add.reduceat(rows.column("docs").to_numpy(), firsts)
+        keep = docs >= LEAST_DOCS
+        group = np.cumsum(new) - 1
+        rows, group, firsts, docs = rows.filter(pa.array(keep[group])), (np.cumsum(keep) - 1)[group[keep[group]]], firsts[keep], docs[keep]
+        if not len(firsts):
+            return
+        rows = rows.combine_chunks()
+        source = rows.column("sources").chunk(0).flatten().dictionary_encode()
+        names, count = source.dictionary, rows.column("counts").chunk(0).flatten().to_numpy()
+        of = np.repeat(group, rows.column("counts").chunk(0).value_lengths().to_numpy())
+        pairs, where = np.unique(of * len(names) + source.indices.to_numpy(), return_inverse=True)
+        total = np.zeros(len(pairs), np.int64)
+        np.add.at(total, where, count)
+        first_rows = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        langs, terms = (rows.column(c).take(pa.array(first_rows)).to_pylist() for c in ("lang", "term"))
+        leaf, by = pairs // len(names), pairs % len(names)
+        begin = 0
+        for lang, same in groupby(langs):
+            end = begin + sum(1 for _ in same)
+            own = (leaf >= begin) & (leaf < end)
+            yield _leaves(lang, Trie(terms[begin:end]), docs[begin:end], leaf[own] - begin, by[own], total[own], names)
+            begin = end
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries, last, held = defaultdict(Trie), None, 0
+        held: list[pa.RecordBatch] = []
+        n = 0
         for batch in batches:
-            for lang, term, docs, sources, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (lang, term) != last:
-                    if held >= LEAVES:  # what comes is beyond all that is held
-                        yield from _rows(tries, LEAST_DOCS)
-                        tries.clear()
-                        held = 0
-                    last, held = (lang, term), held + 1
-                tries[lang].add(term, docs, zip(sources, counts, strict=True))
-        yield from _rows(tries, LEAST_DOCS)
+            held.append(batch)
+            n += batch.num_rows
+            if n >= LEAVES:
+                rows = pa.Table.from_batches(held)
+                same = pc.and_(*(pc.equal(rows.column(c), rows.column(c)[-1]) for c in ("lang", "term")))
+                cut = int(np.argmax(np.asarray(same)))  # the last term may go on in the next batch
+                if cut:
+                    yield from summed(rows.slice(0, cut))
+                    rows = rows.slice(cut)
+                held, n = rows.to_batches(), rows.num_rows
+        if n:
+            yield from summed(pa.Table.from_batches(held))
 
     return leaves.where("term is not null").repartitionByRange("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(merge, ENTRY)
 
