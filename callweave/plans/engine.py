@@ -167,7 +167,10 @@ class Engine:
         return names
 
     def write_stream(self, rules_stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-        """Write rules (shard_key, rule_text) as they come; the interval of the configuration starts new files."""
+        """Write rules (shard_key, rule_text, and `at` if it orders those that come together) as they come.
+
+        Size and interval of the configuration begin new files; without an interval what is there is taken once."""
         c = self.config
         interval = f"{c.rotate_interval_seconds} seconds" if c.rotate_interval_seconds > 0 else None
-        return stream_sink.start(rules_stream, path, checkpoint, self.header(), c.shard_count, interval, prefix=c.prefix, gzip=c.gzip_output)
+        limits = {"max_bytes": c.rotate_max_bytes_per_file, "interval_ms": 1000 * max(0, c.rotate_interval_seconds)}
+        return stream_sink.start(rules_stream, path, checkpoint, self.header(), c.shard_count, interval, **limits, prefix=c.prefix, gzip=c.gzip_output)
