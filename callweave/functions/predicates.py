@@ -238,3 +238,25 @@ def simple_helper(text: Column, rule_id: Column, evaluator: str = EVALUATOR) ->
         .when(text.rlike(INSTANCE_OF), F.concat(F.lit(f"{evaluator}.ifInstanceOf("), part(INSTANCE_OF, 1), F.lit(', "'), part(INSTANCE_OF, 2), F.lit('")')))
         .otherwise(F.concat(F.lit(f'{evaluator}.ifMatch("'), rule_id, F.lit('")')))
     )
+
+
+def evaluated(translated: Column, values: dict[str, Column], instance: Column, evaluator: str = EVALUATOR) -> Column:
+    """Whether translate()'s calls hold for a row: names have the values' text, and instance tests the answer `instance`.
+
+    Comparisons become T or F, then calls of T and F are worked out from the innermost outward, as often as there are
+    calls. A name without a value equals nothing, and a null value equals no literal; text that is only `true` holds."""
+    out = F.replace(translated, F.lit(f"{evaluator}."), F.lit("@"))
+    for name, value in values.items():
+        same = F.concat(F.lit(rf"@ifEq\({re.escape(name)}, (['\"]?)\Q"), value, F.lit(r"\E\1\)"))
+        out = F.when(value.isNull(), out).otherwise(F.regexp_replace(out, same, F.lit("T")))
+    out = F.regexp_replace(out, r"""@ifEq\((?:[^()"']|"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')*\)""", "F")
+    out = F.regexp_replace(out, r"@ifInstanceOf\([^()]*\)", F.when(instance, "T").otherwise("F"))
+    out = F.replace(F.replace(out, F.lit("!T"), F.lit("F")), F.lit("!F"), F.lit("T"))
+
+    def inner(text: Column, _: Column) -> Column:
+        for calls, value in ((r"@and\(T, T\)|@or\((?:T, [TF]|F, T)\)", "T"), (r"@or\(F, F\)|@and\((?:F, [TF]|T, F)\)", "F")):
+            text = F.regexp_replace(text, calls, value)
+        return text
+
+    rounds = F.sequence(F.lit(0), F.regexp_count(out, F.lit("@")))
+    return F.aggregate(rounds, out, inner).isin("T", "true")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave import fixtures
+from callweave import generated
 from callweave.functions import evaluate, ids, predicates, text
 from callweave.operators import dispatch, rules
 from callweave.operators import events as ev
@@ -383,95 +383,140 @@ def writes_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_lines(spark, sf_dir).select("event_id", F.explode(found).alias("name"))
 
 
-def _sources(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixtures.SOURCES, "language string, path string, text string")
-
-
-def _values(rows: list[tuple], names: str, casts: dict[str, str] | None = None) -> str:
-    """SQL that gives these rows."""
-    cell = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
-    columns = names.split()
-    picked = ", ".join(f"{c}::{(casts or {}).get(c, 'VARCHAR')} AS {c}" for c in columns)
-    return f"SELECT {picked} FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS t({', '.join(columns)})"
-
-
-APPROVAL, MODE = ("kotlin", "com.example.flow.Approval", "decide", "decide(Int,String)"), ("java", "com.example.flow.Mode")
-EXPECTED_EVENTS = [
-    (*APPROVAL, "if-true", 5, "amount > 0 && amount < 10"),
-    (*APPROVAL, "if-false", 5, "amount > 0 && amount < 10"),
-    (*APPROVAL, "write", 7, "approved"),
-    (*APPROVAL, "throw", 9, 'IllegalArgumentException("amount")'),
-    (*APPROVAL, "switch", 11, "name.trim().lowercase()"),
-    (*APPROVAL, "return", 11, None),
-    (*APPROVAL, "when-branch", 13, '"a"'),
-    (*APPROVAL, "when-branch", 14, "else"),
-    (*MODE, "pick", "pick(int)", "if-true", 5, "mode > 1"),
-    (*MODE, "pick", "pick(int)", "if-false", 5, "mode > 1"),
-    (*MODE, "pick", "pick(int)", "return", 5, None),
-    (*MODE, "pick", "pick(int)", "throw", 5, 'new IllegalStateException("no")'),
-    (*MODE, "run", "run(String)", "switch", 8, "k"),
-    (*MODE, "run", "run(String)", "switch-case", 9, 'case "a"'),
-    (*MODE, "run", "run(String)", "switch-case", 10, "default"),
-    (*MODE, "run", "run(String)", "return", 10, None),
-]
+FILES = f"""f AS (SELECT user_id, event_id // {generated.SPAN} AS span, event_id AS e, event_type, json_extract_string(props, '$.k') AS k, 'U' || user_id || 'x' || (event_id // {generated.SPAN}) AS c,
+  row_number() OVER (PARTITION BY user_id, event_id // {generated.SPAN} ORDER BY event_id) AS n, count(*) OVER (PARTITION BY user_id, event_id // {generated.SPAN}) AS size FROM events)"""
+
+
+def _found(language: str, facts: str, chosen: str, beside: str = "") -> str:
+    """SQL for what a scanner finds in generated files, from facts (event type, class, method, signature, kind, line of the eight, text); @n is a line end.
+
+    `beside` lists (kind, signature, text) of the function that stands beside a Kotlin class."""
+    fill = lambda c: f"replace(replace(replace(replace({c}, '@c', c), '@e', e::VARCHAR), '@k', k), '@n', chr(10))"
+    names = f"'{language}' AS language, 'com.example.p' || (user_id % 3) || '.' || {fill('owner')} AS fqcn, {fill('method')} AS method, {fill('signature')} AS signature, kind"
+    out = f"SELECT {names}, CASE WHEN kind IN ('enter', 'exit') THEN -1 ELSE 4 + 8 * (n - 1) + ln END AS line, {fill('shown')} AS condition_text FROM f JOIN (VALUES {facts}) x(event_type, owner, method, signature, kind, ln, shown) USING (event_type) WHERE {chosen}"
+    if beside:
+        out += f" UNION ALL SELECT '{language}', 'com.example.p' || (user_id % 3) || '.' || c || 'Kt', 'top', signature, kind, CASE WHEN kind IN ('enter', 'exit') THEN -1 ELSE 6 + 8 * size END, shown FROM (SELECT DISTINCT user_id, span, c, size FROM f), (VALUES {beside}) x(kind, signature, shown) WHERE {chosen}"
+    return out
+
 
+KOTLIN_FACTS = """('view', '@c', 'm@e', 'm@e(Int,List<String>)', 'if-true', 1, 'a > @k && b.isEmpty()'), ('view', '@c', 'm@e', 'm@e(Int,List<String>)', 'if-false', 1, 'a > @k && b.isEmpty()'),
+  ('view', '@c', 'm@e', 'm@e(Int,List<String>)', 'write', 3, 'approved'), ('view', '@c', 'm@e', 'm@e(Int,List<String>)', 'throw', 5, 'IllegalStateException("n@k")'),
+  ('signup', '@c$N@e', 'go', 'go(String)', 'switch', 2, 'k'), ('signup', '@c$N@e', 'go', 'go(String)', 'return', 2, NULL), ('signup', '@c$N@e', 'go', 'go(String)', 'when-branch', 3, '"@k"'), ('signup', '@c$N@e', 'go', 'go(String)', 'when-branch', 4, 'else'),
+  ('purchase', '@c', 'outer@e', 'outer@e()', 'if-true', 2, 'p == @k'), ('purchase', '@c', 'outer@e', 'outer@e()', 'if-false', 2, 'p == @k'), ('purchase', '@c', 'outer@e', 'outer@e()', 'return', 2, NULL),
+  ('purchase', '@c', 'outer@e', 'outer@e()', 'write', 5, 'y'), ('purchase', '@c', 'outer@e', 'outer@e()', 'return', 6, NULL),
+  ('click', '@c', 's@e', 's@e()', 'switch', 1, NULL), ('click', '@c', 's@e', 's@e()', 'when-branch', 2, 'a == @k'), ('click', '@c', 's@e', 's@e()', 'when-branch', 3, 'else'),
+  ('click', '@c', 's@e', 's@e()', 'if-true', 6, 'z is T@k'), ('click', '@c', 's@e', 's@e()', 'if-false', 6, 'z is T@k'), ('click', '@c', 's@e', 's@e()', 'write', 6, 't'),
+  ('error', '@c', 'g@e', 'g@e()', 'throw', 1, 'Oops("@k")'), ('error', '@c$O@e', 'h', 'h(Int)', 'write', 5, 'approved')"""
+JAVA_FACTS = """('view', '@c', 'm@e', 'm@e(int, List<String>)', 'if-true', 1, 'a > @k && b.isEmpty()'), ('view', '@c', 'm@e', 'm@e(int, List<String>)', 'if-false', 1, 'a > @k && b.isEmpty()'),
+  ('view', '@c', 'm@e', 'm@e(int, List<String>)', 'throw', 4, 'new IllegalStateException("n@k")'), ('view', '@c', 'm@e', 'm@e(int, List<String>)', 'return', 6, NULL),
+  ('signup', '@c$N@e', 'go', 'go(String)', 'switch', 2, 'k'), ('signup', '@c$N@e', 'go', 'go(String)', 'switch-case', 3, 'case "@k"'), ('signup', '@c$N@e', 'go', 'go(String)', 'switch-case', 4, 'default'),
+  ('signup', '@c$N@e', 'go', 'go(String)', 'return', 3, NULL), ('signup', '@c$N@e', 'go', 'go(String)', 'return', 4, NULL),
+  ('purchase', '@c', 's@e', 's@e()', 'if-true', 2, 'z'), ('purchase', '@c', 's@e', 's@e()', 'if-true', 5, 'i == @k'),
+  ('click', '@c', 'c@e', 'c@e(String...)', 'if-true', 1, 'names == null'), ('click', '@c', 'c@e', 'c@e(String...)', 'if-false', 1, 'names == null'), ('click', '@c', 'c@e', 'c@e(String...)', 'return', 2, NULL),
+  ('click', '@c', 'c@e', 'c@e(String...)', 'if-true', 3, 'names.length == @k'), ('click', '@c', 'c@e', 'c@e(String...)', 'if-true', 3, 'names.length == @k'),
+  ('error', '@c$I@e', 'h', 'h(int)', 'throw', 2, 'new Oops(@k)'), ('error', '@c$I@e', 'h', 'h(int)', 'return', 3, NULL), ('error', '@c$I@e', 'run', 'run()', 'throw', 2, 'new Oops(@k)')"""
 
-@query(_values(EXPECTED_EVENTS, "language fqcn method signature kind line condition_text", {"line": "INT"}))
+
+@query(f"WITH {FILES} {_found('kotlin', KOTLIN_FACTS, 'user_id % 3 < 2', chr(40) + repr('write') + ', ' + repr('top(Int)') + ', ' + repr('approved') + chr(41))} UNION ALL {_found('java', JAVA_FACTS, 'user_id % 3 < 2')}")
 def scan_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of generated Kotlin and Java files in two of three packages: nested classes, local functions, conditions over two lines, whens without a subject."""
     scanners = {"kotlin": kotlin.scan, "java": java.scan}
-    found = engine._scan_files(_sources(spark), engine.EVENT_FIELDS, lambda language, text, name: scanners[language](text, name))
-    return found.select(*engine.EVENT_FIELDS)
-
-
-# the method pattern takes a branch at the start of a line for a method of that name
-EXPECTED_REGEX = [
-    ("com.example.flow.Mode", method, kind, line, shown)
-    for method, rows in (
-        ("pick", [("enter", -1, None), ("exit", -1, None), ("if-true", 5, "mode>1"), ("if-false", 5, "mode>1")]),
-        ("if", [("enter", -1, None), ("exit", -1, None)]),
-        ("run", [("enter", -1, None), ("exit", -1, None), ("when", 8, "k"), ("case", 9, 'case "a"'), ("case", 10, "default")]),
-        ("switch", [("enter", -1, None), ("exit", -1, None), ("case", 9, 'case "a"'), ("case", 10, "default")]),
-    )
-    for kind, line, shown in rows
-]
+    wanted = ["com.example.p0", "com.example.p1"]
+    found = engine._scan_files(generated.sources(_table(spark, sf_dir, "events")), engine.EVENT_FIELDS, lambda language, text, name: scanners[language](text, name, wanted))
+    return found.select(*(c for c in engine.EVENT_FIELDS if c != "line"), F.col("line").cast("bigint").alias("line"))
 
 
-@query(_values(EXPECTED_REGEX, "fqcn method rule_kind line condition_text", {"line": "INT"}))
-def regex_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = engine._scan_files(_sources(spark).where("language = 'java'"), engine.ROW_FIELDS, lambda _, text, __: (("java", *r) for r in java.regex_rules(text)))
-    return rows.select("fqcn", "method", "rule_kind", _filled("line"), "condition_text")
+def _rule_facts(rows: str, methods: list[tuple[str, str, str]]) -> str:
+    """Facts with an enter and an exit for each (event type, class, method)."""
+    ends = [f"('{e}', '{c}', '{m}', '', '{kind}', 0, NULL)" for e, c, m in methods for kind in ("enter", "exit")]
+    return ", ".join([*ends, rows])
 
 
-EXPECTED_LEGACY = [("com.example.flow.Approval", "decide", k, n, t) for k, n, t in (("enter", -1, None), ("exit", -1, None), ("if-true", 5, "amount > 0 &&\n            amount < 10"), ("if-false", 5, "amount > 0 &&\n            amount < 10"), ("write-approved", 7, "approved"), ("when", 11, "name\n            .trim().lowercase()"), ("case", 13, '"a"'), ("case", 14, "else"))]
+# the method pattern takes a branch at the start of a line for a method of that name, and a condition ends at the first parenthesis
+SWITCH = ", ".join(f"('signup', '{c}', '{m}', '', {fact})" for c in ("@c", "N@e") for m, facts in (("go", ("'when', 2, 'k'", "'case', 3, 'case \"@k\"'", "'case', 4, 'default'")), ("switch", ("'case', 3, 'case \"@k\"'", "'case', 4, 'default'"))) for fact in facts)
+REGEX_FACTS = _rule_facts(
+    SWITCH
+    + """, ('view', '@c', 'm@e', '', 'if-true', 1, 'a > @k && b.isEmpty('), ('view', '@c', 'm@e', '', 'if-false', 1, 'a > @k && b.isEmpty('),
+  ('purchase', '@c', 's@e', '', 'if-true', 2, 'z'), ('purchase', '@c', 's@e', '', 'if-false', 2, 'z'), ('purchase', '@c', 's@e', '', 'if-true', 5, 'i == @k'), ('purchase', '@c', 's@e', '', 'if-false', 5, 'i == @k'),
+  ('click', '@c', 'c@e', '', 'if-true', 1, 'names == null'), ('click', '@c', 'c@e', '', 'if-false', 1, 'names == null'), ('click', '@c', 'c@e', '', 'if-true', 3, 'names.length == @k'), ('click', '@c', 'c@e', '', 'if-false', 3, 'names.length == @k')""",
+    [("view", "@c", "m@e"), ("purchase", "@c", "s@e"), ("purchase", "@c", "if"), ("click", "@c", "c@e"), ("click", "@c", "if"), ("error", "@c", "h"), *(("signup", c, m) for c in ("@c", "N@e") for m in ("go", "switch"))],
+)
+
+
+@query(f"WITH {FILES} SELECT fqcn, method, kind AS rule_kind, line, condition_text FROM ({_found('java', REGEX_FACTS, 'user_id % 3 = 1')})")
+def regex_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that patterns find in the generated Java files of one package."""
+    sources = generated.sources(_table(spark, sf_dir, "events")).where("language = 'java'")
+    rows = engine._scan_files(sources, engine.ROW_FIELDS, lambda _, text, __: (("java", *r) for r in java.regex_rules(text, "com.example.p1")))
+    return rows.select("fqcn", "method", "rule_kind", F.coalesce("line", F.lit(-1)).cast("bigint").alias("line"), "condition_text")
+
+
+LEGACY_FACTS = _rule_facts(
+    """('view', '@c', 'm@e', '', 'if-true', 1, 'a > @k &&@n            b.isEmpty()'), ('view', '@c', 'm@e', '', 'if-false', 1, 'a > @k &&@n            b.isEmpty()'), ('view', '@c', 'm@e', '', 'write-approved', 3, 'approved'),
+  ('signup', '@c$N@e', 'go', '', 'when', 2, 'k'), ('signup', '@c$N@e', 'go', '', 'case', 3, '"@k"'), ('signup', '@c$N@e', 'go', '', 'case', 4, 'else'),
+  ('purchase', '@c', 'outer@e', '', 'if-true', 2, 'p == @k'), ('purchase', '@c', 'outer@e', '', 'if-false', 2, 'p == @k'),
+  ('click', '@c', 's@e', '', 'when', 1, NULL), ('click', '@c', 's@e', '', 'case', 2, 'a == @k'), ('click', '@c', 's@e', '', 'case', 3, 'else'), ('click', '@c', 's@e', '', 'if-true', 6, 'z is T@k'), ('click', '@c', 's@e', '', 'if-false', 6, 'z is T@k'),
+  ('click', '@c', 's@e', '', 'is-true', 6, 'z is T@k'), ('click', '@c', 's@e', '', 'is-false', 6, 'z is T@k'), ('error', '@c$O@e', 'h', '', 'write-approved', 5, 'approved')""",
+    [("view", "@c", "m@e"), ("signup", "@c$N@e", "go"), ("purchase", "@c", "outer@e"), ("click", "@c", "s@e"), ("error", "@c", "g@e"), ("error", "@c$O@e", "h")],
+)
+LEGACY_BESIDE = "('enter', '', NULL), ('exit', '', NULL), ('write-approved', '', 'approved')"
 
 
-@query(_values(EXPECTED_LEGACY, "fqcn method rule_kind line condition_text", {"line": "INT"}))
+@query(f"WITH {FILES} SELECT fqcn, method, kind AS rule_kind, line, condition_text FROM ({_found('kotlin', LEGACY_FACTS, 'user_id % 3 = 2', LEGACY_BESIDE)})")
 def legacy_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = engine._scan_files(_sources(spark).where("language = 'kotlin'"), engine.ROW_FIELDS, lambda _, text, name: (("kotlin", *r) for r in kotlin_tree.legacy_rules(text, name, tracked={"approved"})))
-    return rows.select("fqcn", "method", "rule_kind", _filled("line"), "condition_text")
+    """The older mode's rules of the generated Kotlin files of one package, with one tracked variable."""
+    sources = generated.sources(_table(spark, sf_dir, "events")).where("language = 'kotlin'")
+    rows = engine._scan_files(sources, engine.ROW_FIELDS, lambda _, text, name: (("kotlin", *r) for r in kotlin_tree.legacy_rules(text, name, "com.example.p2", {"approved"})))
+    return rows.select("fqcn", "method", "rule_kind", F.coalesce("line", F.lit(-1)).cast("bigint").alias("line"), "condition_text")
 
 
 # --- predicates -------------------------------------------------------------------------------------
 
 E = predicates.EVALUATOR
-EXPECTED_FORMS = [
-    ("a == 1", "equals", "a == 1", f"{E}.ifEq(a, 1)"),
-    ("(a == 1)", "equals", "a == 1", f"{E}.ifEq(a, 1)"),
-    ("x instanceof p.Type", "instanceof", "x instanceof p.Type", f'{E}.ifInstanceOf(x, "p.Type")'),
-    ("a == 1 && b == 2 || c == 'q'", "and", "(a == 1) AND ((b == 2) OR (c == 'q'))", f"{E}.or({E}.and({E}.ifEq(a, 1), {E}.ifEq(b, 2)), {E}.ifEq(c, 'q'))"),
-    ("value != null", "original", "value != null", f"!{E}.ifEq(value, null)"),
-    ("f(x) == 1", "original", "f(x) == 1", "true"),
-    ("flag", "original", "flag", "true"),
-    ("a == 1 || (b != -2.5 && x instanceof T)", "original", "a == 1 || (b != -2.5 && x instanceof T)", f'{E}.or({E}.ifEq(a, 1), {E}.and(!{E}.ifEq(b, -2.5), {E}.ifInstanceOf(x, "T")))'),
-    ('name == "x && y"', "original", 'name == "x && y"', f'{E}.ifEq(name, "x && y")'),
-    ("LIMIT == MAX_VALUE", "equals", "LIMIT == MAX_VALUE", f"{E}.ifEq(LIMIT, MAX_VALUE)"),
+#: Conditions of line items by order line: text, kind, inline form, translation, truth; @p, @q, @f, @s are part, quantity, return flag and line status.
+CONDITIONS = [
+    ("part == @p", "equals", "part == @p", "@E.ifEq(part, @p)", "true"),
+    ("(flag == '@f')", "equals", "flag == '@f'", "@E.ifEq(flag, '@f')", "true"),
+    ("item instanceof p.T@p", "instanceof", "item instanceof p.T@p", '@E.ifInstanceOf(item, "p.T@p")', "@p % 2 = 0"),
+    ("part == @p && flag == 'R' || qty == @q", "and", "(part == @p) AND ((flag == 'R') OR (qty == @q))", "@E.or(@E.and(@E.ifEq(part, @p), @E.ifEq(flag, 'R')), @E.ifEq(qty, @q))", "true"),
+    ("part == @p && flag == 'R'", "and", "(part == @p) AND (flag == 'R')", "@E.and(@E.ifEq(part, @p), @E.ifEq(flag, 'R'))", "'@f' = 'R'"),
+    ("part == 0 || flag == 'N'", "or", "(part == 0) OR (flag == 'N')", "@E.or(@E.ifEq(part, 0), @E.ifEq(flag, 'N'))", "@p = 0 OR '@f' = 'N'"),
+    ("status != '@s'", "original", "status != '@s'", "!@E.ifEq(status, '@s')", "false"),
+    ("(part == 0 || (qty != @q && flag == 'A')) && status == 'O'", "original", "(part == 0 || (qty != @q && flag == 'A')) && status == 'O'", "@E.and(@E.or(@E.ifEq(part, 0), @E.and(!@E.ifEq(qty, @q), @E.ifEq(flag, 'A'))), @E.ifEq(status, 'O'))", "@p = 0 AND '@s' = 'O'"),
+    ("part == @p || (status == 'F' && (flag == 'A' || flag == 'R'))", "original", "part == @p || (status == 'F' && (flag == 'A' || flag == 'R'))", "@E.or(@E.ifEq(part, @p), @E.and(@E.ifEq(status, 'F'), @E.or(@E.ifEq(flag, 'A'), @E.ifEq(flag, 'R'))))", "true"),
+    ("weight(@q) == @p", "original", "weight(@q) == @p", "true", "true"),
+    ('name == "x && @p"', "original", 'name == "x && @p"', '@E.ifEq(name, "x && @p")', "false"),
+    ("LIMIT_@p == MAX_VALUE", "equals", "LIMIT_@p == MAX_VALUE", "@E.ifEq(LIMIT_@p, MAX_VALUE)", "false"),
+    ("ready", "original", "ready", "true", "true"),
 ]
 
 
-@query(_values(EXPECTED_FORMS, "condition_text strategy_kind inline_form translated"))
+def _conditions_sql() -> str:
+    quoted = lambda v: "'" + v.replace("@E", E).replace("'", "''") + "'"
+    rows = ", ".join("(" + ", ".join([str(k), *map(quoted, row[:4])]) + ")" for k, row in enumerate(CONDITIONS))
+    fill = lambda c: f"replace(replace(replace(replace({c}, '@p', l_partkey::VARCHAR), '@q', l_quantity::BIGINT::VARCHAR), '@f', l_returnflag), '@s', l_linestatus)"
+    holds = " ".join(f"WHEN {k} THEN " + row[4].replace("'@f'", "l_returnflag").replace("'@s'", "l_linestatus").replace("@p", "l_partkey") for k, row in enumerate(CONDITIONS))
+    return (
+        f"SELECT l_orderkey, l_linenumber, {fill('shown')} AS condition_text, kind AS strategy_kind, {fill('inlined')} AS inline_form, {fill('translated')} AS translated, CASE form {holds} END AS holds "
+        f"FROM (SELECT *, (l_orderkey + l_linenumber) % {len(CONDITIONS)} AS form FROM lineitem) JOIN (VALUES {rows}) x(form, shown, kind, inlined, translated) USING (form)"
+    )
+
+
+@query(_conditions_sql())
 def translate_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conditions = spark.createDataFrame([(c,) for c in fixtures.CONDITIONS], "condition_text string")
-    return predicates.condition_forms(conditions).select("condition_text", "strategy_kind", "inline_form", "translated")
+    """A condition on each line item: its strategy, its inline form, its translation, and whether that holds for the item.
+
+    Distinct texts are parsed once and joined back; the truth is that of the translated calls, read as expressions over
+    the item's columns."""
+    items = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("l_quantity"), "l_returnflag", "l_linestatus")
+    form = F.array(*(F.lit(row[0]) for row in CONDITIONS))[((F.col("l_orderkey") + F.col("l_linenumber")) % len(CONDITIONS)).cast("int")]
+    for mark, value in (("@p", F.col("l_partkey").cast("string")), ("@q", F.col("l_quantity").cast("string")), ("@f", F.col("l_returnflag")), ("@s", F.col("l_linestatus"))):
+        form = F.replace(form, F.lit(mark), value)
+    told = items.withColumn("condition_text", form)
+    forms = predicates.condition_forms(told.select("condition_text"))
+    names = {"part": F.col("l_partkey").cast("string"), "qty": F.col("l_quantity").cast("string"), "flag": F.col("l_returnflag"), "status": F.col("l_linestatus")}
+    holds = predicates.evaluated(F.col("translated"), names, F.col("l_partkey") % 2 == 0)
+    return told.join(forms, "condition_text").select("l_orderkey", "l_linenumber", "condition_text", "strategy_kind", "inline_form", "translated", holds.alias("holds"))
 
 
 @query(f"WITH {EV} SELECT scan_seq, '{E}.ifEq(k, ' || split_part(condition_text, ' == ', 2) || ')' AS guard FROM ev WHERE language = 'kotlin' AND kind IN ('if-true', 'if-false')")

@@ -134,3 +134,11 @@ def test_type_tests(spark):
     values = spark.createDataFrame([("A",), ("E",), (None,), ("Q",)], "type string")
     assert [r["is_instance"] for r in evaluate.if_instance_of(values, closure, "E").orderBy("type").collect()] == [False, True, True, False]
     assert not any(r["is_instance"] for r in evaluate.if_instance_of(values, closure, "").collect())
+
+
+def test_truth_of_translated_conditions(spark):
+    cases = [("a == 1", True), ("a != 1", False), ("a == 2 || b == 'x'", True), ("(a == 1 && (b == 'y' || b == 'x')) && a == 1", True), ("a == 1 && (b == 'y' || (b != 'x' || a == 3))", False), ("c == 1", False), ("v instanceof T", True), ("f(x)", True), ('b == "x"', True), ("b == 'x.*'", False), (None, None), (" || ".join(["a == 5"] * 30 + ["b == 'x'"]), True)]
+    texts = [(t, predicates.translate(t) if t else None, want) for t, want in cases]
+    df = spark.createDataFrame(texts, "t string, translated string, want boolean").withColumns({"a": F.lit("1"), "b": F.lit("x"), "c": F.lit(None).cast("string")})
+    got = df.select("t", "want", predicates.evaluated(F.col("translated"), {"a": F.col("a"), "b": F.col("b"), "c": F.col("c")}, F.lit(True)).alias("got")).collect()
+    assert [(r["t"], r["got"]) for r in got] == [(r["t"], r["want"]) for r in got]

@@ -1,6 +1,6 @@
 import pytest
 
-from callweave import fixtures
+from callweave import fixtures, generated
 from callweave.sources import files, java, kotlin, kotlin_tree
 
 
@@ -150,3 +150,12 @@ def test_listing_sizes_encodings_and_packages(spark, tmp_path):
     assert read.select(files.package_of(F.col("text"), "java")).first()[0] == "a.b"
     assert files.resolve_path("a/b", "/base") == "/base/a/b" and files.resolve_path("s3://x/y", "/base") == "s3://x/y"
     assert files.list_files(spark, [f"{tmp_path}/missing"], "java").count() == 0
+
+
+def test_generated_files_hold_all_events_and_grow_with_them(spark):
+    rows = [(k, 1 + k % 2, t, f'{{"k": {k % 9}}}') for k, t in enumerate(("view", "signup", "purchase", "click", "error") * 8)] + [(5000, 1, "view", '{"k": 1}')]
+    events = spark.createDataFrame(rows, "event_id long, user_id int, event_type string, props string")
+    made = {(r["language"], r["path"]): r["text"] for r in generated.sources(events).collect()}
+    assert {p for _, p in made} == {f"/src/U{u}x{s}.{x}" for u, s in ((1, 0), (2, 0), (1, 2)) for x in ("kt", "java")}
+    assert made["kotlin", "/src/U1x0.kt"].count("\n") == 4 + 8 * 20 + 3 and made["java", "/src/U1x2.java"].count("\n") == 4 + 8
+    assert all(len(t.split("\n")) == 8 for x in (generated.KOTLIN, generated.JAVA) for t in x.values())
