@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from callweave.functions import ids, text
+from callweave.functions import ids, shared, text
 from callweave.operators import rotation
 from callweave.operators.events import any_prefix
 
@@ -52,7 +52,9 @@ def rotated(rules: DataFrame, header_bytes: int, max_bytes: int, shards: int) ->
     Places and sizes alone are sorted and rotated, by operators.rotation, over as many tasks as there are ranges of
     them; texts are joined to the outcome. max_bytes 0 turns rotation off; then rotation is 0, else it counts from 1."""
     of = ["shard", "turn", "place", "mark"]
+    shared.checkpoints(rules.sparkSession)
     told = rules.select("shard", "turn", "place", F.xxhash64("rule_text").alias("mark"), "rule_text", (F.coalesce(F.octet_length("rule_text"), F.lit(0)) + 2).cast("bigint").alias("bytes"))
+    told = told.checkpoint()  # rules are made once, not for the ranges, for the sort and for the join
     placed = rotation.numbered(told.select(*of, "bytes").withColumn("held", F.lit(0).cast("bigint")), ["shard"], of[1:])
     turned = rotation.rotations(placed, header_bytes, max_bytes) if max_bytes > 0 else placed.withColumn("rotation", F.lit(0))
     turned = turned.select(*of, "again", "k", "rotation")

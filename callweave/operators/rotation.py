@@ -110,6 +110,8 @@ def beginnings(pointers: DataFrame) -> DataFrame:
 def rotations(rows: DataFrame, header_bytes: int, max_bytes: int) -> DataFrame:
     """rows (shard, k, bytes, upto, held, ..) with `rotation`: how many files of its shard began up to a rule, and 1."""
     room = max_bytes - header_bytes
+    if rows.where(F.col("upto") + F.col("held") > room).isEmpty():  # no shard fills its first file
+        return rows.withColumn("rotation", F.lit(1))
     width = min(max(room, 1 << 16), STRETCH)
     pointers = next_files(rows, room, width).checkpoint()
     files = beginnings(pointers).join(pointers.where("to is not null").groupBy("shard", F.col("to").alias("k")).agg(F.first("at").alias("at")), ["shard", "k"]).checkpoint()

@@ -1,7 +1,7 @@
 """Whole runs: sources to events to rules to files.
 
-Scanners run once per file on the executors and give rows; everything after them is
-DataFrame operations. A file that a scanner cannot read gives no rows and shows in
+Kotlin events are found by DataFrame operations over lines; the other scanners run once
+per file on the executors and give rows; everything after them is DataFrame operations. A file that a scanner cannot read gives no rows and shows in
 failures().
 """
 
@@ -22,7 +22,7 @@ from callweave.operators import dispatch, rules
 from callweave.operators import events as ev
 from callweave.plans import diagnostics, sink
 from callweave.plans.config import Config
-from callweave.sources import files, java, kotlin, kotlin_tree
+from callweave.sources import files, java, kotlin_lines, kotlin_tree
 from callweave.streaming import sink as stream_sink
 
 EVENT_FIELDS = "language fqcn method signature kind line condition_text".split()
@@ -50,6 +50,12 @@ def _scan_files(sources: DataFrame, fields: list[str], scan: Callable[[str, str,
     return sources.select("language", "path", "text").mapInArrow(run, schema)
 
 
+def kotlin_events(sources: DataFrame, keys: list[str], include: list[str] = ()) -> DataFrame:
+    """Events of Kotlin files in the form of _scan_files(); there is no file that this cannot read."""
+    found = kotlin_lines.events(sources, keys, include)
+    return found.select(*EVENT_FIELDS, "path", "idx", F.lit(None).cast("string").alias("error"))
+
+
 class Engine:
     """One configuration bound to a session.
 
@@ -89,8 +95,9 @@ class Engine:
         """Events and failures of all files."""
         if self._scanned is not None:
             return self._scanned
-        scanners = {"kotlin": kotlin.scan, "java": java.scan}
-        frames = [_scan_files(self._pruned(x), EVENT_FIELDS, lambda language, text, name: scanners[language](text, name)) for x in self._languages()]
+        frames = [kotlin_events(self._pruned("kotlin"), ["root", "path"])]
+        if self.config.include_java:
+            frames.append(_scan_files(self._pruned("java"), EVENT_FIELDS, lambda _, text, name: java.scan(text, name)))
         self._scanned = ev.union_all(*frames).persist(StorageLevel.MEMORY_AND_DISK)
         return self._scanned
 

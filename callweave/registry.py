@@ -420,9 +420,9 @@ JAVA_FACTS = """('view', '@c', 'm@e', 'm@e(int, List<String>)', 'if-true', 1, 'a
 @query(f"WITH {FILES} {_found('kotlin', KOTLIN_FACTS, 'user_id % 3 < 2', chr(40) + repr('write') + ', ' + repr('top(Int)') + ', ' + repr('approved') + chr(41))} UNION ALL {_found('java', JAVA_FACTS, 'user_id % 3 < 2')}")
 def scan_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of generated Kotlin and Java files in two of three packages: nested classes, local functions, conditions over two lines, whens without a subject."""
-    scanners = {"kotlin": kotlin.scan, "java": java.scan}
-    wanted = ["com.example.p0", "com.example.p1"]
-    found = engine._scan_files(generated.sources(_table(spark, sf_dir, "events")), engine.EVENT_FIELDS, lambda language, text, name: scanners[language](text, name, wanted))
+    wanted, sources = ["com.example.p0", "com.example.p1"], generated.sources(_table(spark, sf_dir, "events"))
+    found = engine.kotlin_events(sources.where("language = 'kotlin'"), ["path"], wanted)
+    found = found.unionByName(engine._scan_files(sources.where("language = 'java'"), engine.EVENT_FIELDS, lambda _, text, name: java.scan(text, name, wanted)))
     return found.select(*(c for c in engine.EVENT_FIELDS if c != "line"), F.col("line").cast("bigint").alias("line"))
 
 

@@ -24,14 +24,9 @@ BINARY = frozenset("== != && || + - * / % < > <= >= & | ^ ? : = += -= *= /= %= &
 UNARY = frozenset("! ~ + - ++ --".split())
 
 #: Patterns of the regex scanner, possessive where they could backtrack.
-_ANNOTATIONS = r"(?:@[\w$.]+(?:\([^)]*+\))?\s*)*"
 PACKAGE = re.compile(r"(?m)^\s*package\s+([a-zA-Z0-9_.]+)\s*;", re.A)
-CLASS = re.compile(r"(?m)^\s*" + _ANNOTATIONS + r"(?:(?:\b(?:public|protected|private|abstract|final|static|strictfp|sealed)\b|non-sealed)\s+)*class\s+([A-Za-z0-9_]+)", re.A)
-METHOD = re.compile(
-    r"(?m)^\s*" + _ANNOTATIONS + r"(?:\b(?:public|protected|private|abstract|final|static|strictfp|synchronized|native|default)\b\s+)*"
-    r"(?:<[^>]*+>\s*)?[\w$<>\[\],.?\s]+\s+([a-zA-Z0-9_]+)\s*\(([^)]*+)\)\s*\{",
-    re.A,
-)
+CLASS = re.compile(r"(?m)^\s*(?:@[\w$.]+(?:\([^)]*+\))?\s*)*(?:(?:\b(?:public|protected|private|abstract|final|static|strictfp|sealed)\b|non-sealed)\s+)*class\s+([A-Za-z0-9_]+)", re.A)
+METHOD = re.compile(r"(?m)^\s*(?:@[\w$.]+(?:\([^)]*+\))?\s*)*(?:\b(?:public|protected|private|abstract|final|static|strictfp|synchronized|native|default)\b\s+)*(?:<[^>]*+>\s*)?[\w$<>\[\],.?\s]+\s+([a-zA-Z0-9_]+)\s*\(([^)]*+)\)\s*\{", re.A)
 BRANCHES = (
     (re.compile(r"\bif\s*\(([^)]*+)\)", re.A), ("if-true", "if-false")),
     (re.compile(r"\bswitch\s*\(([^)]*+)\)", re.A), ("when",)),
@@ -266,26 +261,30 @@ def declared_methods(text: str) -> set[tuple[str, str]]:
     return {(fqcn, m[1]) for fqcn, a, b in _classes(masked, False) for m in METHOD.finditer(masked[a + 1 : b])}
 
 
+def _bodies(masked: str) -> list[tuple[str, str, int, int]]:
+    """(class, method, first, end) of method bodies, those of a nested class under every class that holds it."""
+    spans = [(fqcn, m[1], masked.find("{", a + 1 + m.start())) for fqcn, a, b in _classes(masked, True) for m in METHOD.finditer(masked[a + 1 : b])]
+    return [(fqcn, method, brace + 1, matching_brace(masked, brace)) for fqcn, method, brace in spans if brace >= 0]
+
+
+def _branches(masked: str, first: int, end: int) -> Iterator[tuple[tuple[str, ...], int, int, int]]:
+    """(rule kinds, place, first, end of the text shown) of the branches in a stretch, pattern by pattern."""
+    for pattern, kinds in BRANCHES:
+        for m in pattern.finditer(masked[first:end]):
+            yield kinds, first + m.start(), first + m.start(1), first + m.end(1)
+
+
 def regex_rules(text: str, package_prefix: str | None = None, entry_exit: bool = True) -> Iterator[tuple[str, str, str, int | None, str | None]]:
     """(fqcn, method, rule kind, line, text) of the rules that the patterns give, in their order."""
     masked = mask(text)
-    starts = [0, *(m.end() for m in re.finditer("\n", text))]
-    m = PACKAGE.search(masked)
-    if m and package_prefix and package_prefix.strip() and not m[1].startswith(package_prefix):
+    package = PACKAGE.search(masked)
+    if package and package_prefix and package_prefix.strip() and not package[1].startswith(package_prefix):
         return
-    for fqcn, a, b in _classes(masked, True):
-        for method in METHOD.finditer(masked[a + 1 : b]):
-            body = masked.find("{", a + 1 + method.start())
-            if body < 0:
-                continue
-            inside = masked[body + 1 : matching_brace(masked, body)]
-            if entry_exit:
-                yield fqcn, method[1], "enter", None, None
-                yield fqcn, method[1], "exit", None, None
-            for pattern, kinds in BRANCHES:
-                for found in pattern.finditer(inside):
-                    shown = text[body + 1 + found.start(1) : body + 1 + found.end(1)]
-                    shown = " ".join(shown.split()) if kinds == ("case",) else shown
-                    line = bisect_right(starts, body + 1 + found.start())
-                    for kind in kinds:
-                        yield fqcn, method[1], kind, line, shown
+    starts = [0, *(m.end() for m in re.finditer("\n", text))]
+    ends = [("enter", None, None), ("exit", None, None)] if entry_exit else []
+    for fqcn, method, first, end in _bodies(masked):
+        rows = list(ends)
+        for kinds, at, a, b in _branches(masked, first, end):
+            shown = " ".join(text[a:b].split()) if kinds == ("case",) else text[a:b]
+            rows += [(kind, bisect_right(starts, at), shown) for kind in kinds]
+        yield from ((fqcn, method, *row) for row in rows)

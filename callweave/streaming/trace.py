@@ -6,6 +6,7 @@ window is for batch; pair_stream() keeps one stack per correlation id as state.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,33 +37,37 @@ def parse(lines: DataFrame, keep: list[str] = ()) -> DataFrame:
 
     A correlation id of - or blank is null. Phases are enter, exit and failed."""
     v = F.col("value")
-    # the head is told once; its groups are taken by the one pattern that holds, and none of bodies without a head
-    form = F.when(v.rlike(FILE_LINE), "file").when(v.rlike(CONSOLE_LINE), "console")
-    told = lines.withColumn("__form", form)
-    part = lambda file, console: F.when(F.col("__form") == "file", F.regexp_extract(v, FILE_LINE, file)).when(F.col("__form") == "console", F.regexp_extract(v, CONSOLE_LINE, console))
-    body = told.select("*", part(1, 1).alias("__ts"), part(2, 2).alias("level"), part(3, 3).alias("__cid"), F.coalesce(part(4, 5), v).alias("__body"))
-    b = F.col("__body")
-    kind = None
+    # a pattern is met once: its groups come as one array, for which lines have no line end
+    groups = lambda text, pattern, put: F.split(F.regexp_replace(text, pattern, put), "\n", -1)
+    head = F.when(v.rlike(FILE_LINE), groups(v, FILE_LINE, "$1\n$2\n$3\n$4")).when(v.rlike(CONSOLE_LINE), groups(v, CONSOLE_LINE, "$1\n$2\n$3\n$5"))
+    # what is exploded from an array of one is worked out there; a plain column would be copied into every use of it
+    once = lambda c, name: F.explode_outer(F.array(c)).alias(name)
+    headed = lines.select(*keep, "value", once(head, "__head"))
+    b, found = F.col("__body"), None
     for name, pattern in MESSAGES.items():
         # a pattern is tried only where the body begins as it does
+        told = groups(b, pattern, "\n".join([name, *(f"${k + 1}" for k in range(re.compile(pattern).groups))]))
         fits = b.startswith(BEGINS[name]) & b.rlike(pattern)
-        kind = F.when(fits, name) if kind is None else kind.when(fits, name)
-    got = lambda name, k: F.when(F.col("__kind") == name, F.regexp_extract(b, MESSAGES[name], k))
+        found = F.when(fits, told) if found is None else found.when(fits, told)
+    bodies = headed.select(*keep, "__head", F.coalesce(F.get("__head", F.lit(3)), v).alias("__body"))
+    typed = bodies.select(*keep, "__head", once(found, "__g")).where("__g is not null")
+    kind = F.get("__g", F.lit(0))
+    got = lambda k, *names: F.when(kind.isin(*names), F.get("__g", F.lit(k)))
     known = lambda c: F.when(~F.trim(c).isin("", "-"), c)
-    typed = body.withColumn("__kind", kind).where("__kind is not null")
+    said = ("call", "ret", "throw")
     return typed.select(
         *keep,
-        F.col("__ts").try_cast("timestamp").alias("ts"),
-        "level",
-        known(F.coalesce(got("call", 1), got("ret", 1), got("throw", 1), F.col("__cid"))).alias("cid"),
-        F.when(F.col("__kind").isin("call", "enter"), "enter").when(F.col("__kind").isin("ret", "ok"), "exit").otherwise("failed").alias("phase"),
-        F.coalesce(got("call", 2), got("ret", 2), got("throw", 2), got("enter", 1), got("ok", 1), got("failed", 1)).alias("method"),
-        F.coalesce(got("call", 3), got("enter", 2)).alias("args"),
-        got("ret", 3).alias("result"),
-        got("throw", 3).alias("exception"),
-        F.coalesce(got("throw", 4), got("failed", 3)).alias("message"),
-        F.when(F.col("__kind") == "call", F.concat_ws(":", got("call", 4), got("call", 5))).alias("source"),
-        F.coalesce(got("ok", 2), got("failed", 2)).cast("bigint").alias("elapsed_ms"),
+        F.get("__head", F.lit(0)).try_cast("timestamp").alias("ts"),
+        F.get("__head", F.lit(1)).alias("level"),
+        known(F.coalesce(got(1, *said), F.get("__head", F.lit(2)))).alias("cid"),
+        F.when(kind.isin("call", "enter"), "enter").when(kind.isin("ret", "ok"), "exit").otherwise("failed").alias("phase"),
+        F.coalesce(got(2, *said), got(1, "enter", "ok", "failed")).alias("method"),
+        F.coalesce(got(3, "call"), got(2, "enter")).alias("args"),
+        got(3, "ret").alias("result"),
+        got(3, "throw").alias("exception"),
+        F.coalesce(got(4, "throw"), got(3, "failed")).alias("message"),
+        F.when(kind == "call", F.concat_ws(":", F.get("__g", F.lit(4)), F.get("__g", F.lit(5)))).alias("source"),
+        got(2, "ok", "failed").cast("bigint").alias("elapsed_ms"),
     )
 
 

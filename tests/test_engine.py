@@ -146,14 +146,14 @@ def test_legacy_mode(spark, project):
 
 
 def test_failures_are_reported_not_hidden(spark, project, monkeypatch):
-    from callweave.sources import kotlin
+    from callweave.sources import java
 
     def broken(text, name):
         raise ValueError("no")
         yield
 
     engine = Engine(spark, config(project))
-    monkeypatch.setattr(kotlin, "scan", broken)
+    monkeypatch.setattr(java, "scan", broken)
     assert [r["error"] for r in engine.failures().collect()] == ["ValueError: no"]
 
 

@@ -193,3 +193,16 @@ def test_state_of_quiet_ids_is_forgotten(spark, tmp_path):
     files = [told(x) for x in ([(0, "a", "f", "enter")], [(5000, "b", "g", "enter")], [(10_000, "a", "f", "exit"), (10_001, "b", "g", "exit")])]
     got = delivered(spark, tmp_path / "quiet", files, late="1 second", quiet_ms=4_500_000, wait=True)
     assert {x[0] for x in got} <= {"b"}
+
+
+@pytest.mark.parametrize("name", ["trace_parse", "trace_messages"])
+def test_parsing_compiles(spark, name):
+    from callweave import registry
+
+    spark.conf.set("spark.sql.codegen.fallback", "false")  # code that is too long is an error, not interpreted
+    try:
+        found = registry.queries()[name](spark, "/root/testdata/sf0.001")
+        assert found.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+        assert found.collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
