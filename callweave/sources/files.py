@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
 from functools import cache, reduce
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,14 +87,70 @@ def roots_that_exist(spark: SparkSession, roots: list[str]) -> list[str]:
     return [r for r, p in paths if p.getFileSystem(conf).exists(p)]
 
 
+def _local(root: str) -> str | None:
+    """The path of a root in the local file system, the only one that has symbolic links to folders."""
+    scheme = re.match(r"([a-zA-Z][\w+.-]*):/+", root)
+    return None if scheme and scheme[1] != "file" else re.sub(r"^file:/+", "/", root).rstrip("/") or "/"
+
+
+def _entries(folder: str) -> list[os.DirEntry]:
+    try:
+        with os.scandir(folder) as found:
+            return sorted(found, key=lambda x: x.name)
+    except OSError:
+        return []
+
+
+def walk(spark: SparkSession, root: str) -> tuple[list[str], bool]:
+    """Folders below a local root that are no symbolic links nor lie behind one, and whether there are links to folders.
+
+    A walk by frontiers: each round lists the folders of one depth on the executors."""
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(e.path, e.is_symlink()) for f in batch.column("folder").to_pylist() for e in _entries(f) if e.is_dir()]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()), pa.array([x for _, x in found], pa.bool_())], ["folder", "link"])
+
+    folders, frontier, links = [root], [root], False
+    for _ in range(MAX_DEPTH - 1):
+        rows = spark.createDataFrame([(f,) for f in frontier], "folder string").repartition(min(len(frontier), spark.sparkContext.defaultParallelism))
+        found = rows.mapInArrow(below, "folder string, link boolean").collect()
+        links = links or any(r["link"] for r in found)
+        frontier = sorted(r["folder"] for r in found if not r["link"])
+        folders += frontier
+        if not frontier:
+            break
+    return folders, links
+
+
+def _files_of(spark: SparkSession, folders: list[str], ext: str, max_bytes: int) -> DataFrame:
+    """(path, length, content) of the files right in these folders; larger ones are not read."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                for e in _entries(folder):
+                    if e.name.endswith(ext) and e.name[0] not in "._" and e.is_file() and not 0 < max_bytes < e.stat().st_size:
+                        data = Path(e.path).read_bytes()
+                        yield pa.RecordBatch.from_arrays([pa.array([e.path]), pa.array([len(data)], pa.int64()), pa.array([data], pa.binary())], ["path", "length", "content"])
+
+    rows = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(min(len(folders), 4 * spark.sparkContext.defaultParallelism))
+    return rows.mapInArrow(read, "path string, length long, content binary")
+
+
 def list_files(spark: SparkSession, roots: list[str], language: str, max_bytes: int = 0) -> DataFrame:
     """(root, rel_path, path, language, size_bytes, content) below the roots that exist; overlapping roots repeat files.
 
-    The size limit is part of the listing, so larger files are never read; columns that are not used are not either."""
+    Folders below a root that are symbolic links are skipped, so cycles of links end; links to files are followed. The
+    size limit is part of the listing, so larger files are never read; columns that are not used are not either."""
     ext = EXTENSIONS[language]
     frames = []
     for root in roots_that_exist(spark, roots):
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{ext}").load(root)
+        folders, links = walk(spark, _local(root)) if _local(root) else ([], False)
+        if links:
+            found = _files_of(spark, folders, ext, max_bytes)
+        else:
+            found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{ext}").load(root)
         kept = found.where(F.col("length") <= max_bytes) if max_bytes > 0 else found
         plain = F.regexp_replace("path", r"^[a-zA-Z][\w+.-]*:/+", "/")
         base = re.sub(r"^[a-zA-Z][\w+.-]*:/+", "/", root).rstrip("/")

@@ -142,3 +142,14 @@ def test_truth_of_translated_conditions(spark):
     df = spark.createDataFrame(texts, "t string, translated string, want boolean").withColumns({"a": F.lit("1"), "b": F.lit("x"), "c": F.lit(None).cast("string")})
     got = df.select("t", "want", predicates.evaluated(F.col("translated"), {"a": F.col("a"), "b": F.col("b"), "c": F.col("c")}, F.lit(True)).alias("got")).collect()
     assert [(r["t"], r["got"]) for r in got] == [(r["t"], r["want"]) for r in got]
+
+
+def test_closure_of_a_chain_a_fan_and_a_cycle(spark):
+    chain = [(f"c{k}", f"c{k + 1}") for k in range(199)]
+    fan = [(f"f{k}", "top") for k in range(10_000)] + [("top", "Any")]
+    cycle = [("x", "y"), ("y", "z"), ("z", "x"), ("x", "x"), ("loose", None)]
+    edges = spark.createDataFrame(chain + fan + cycle + chain[:5], "type string, supertype string")
+    got = evaluate.type_closure(edges)
+    assert got.count() == got.distinct().count() == 200 * 201 // 2 + 10_000 * 3 + 3 + 9
+    assert got.where("type = 'c0'").count() == 200 and got.where("type = 'f77'").count() == 3
+    assert {tuple(r) for r in got.where("type = 'x'").collect()} == {("x", "x"), ("x", "y"), ("x", "z")}

@@ -159,3 +159,18 @@ def test_generated_files_hold_all_events_and_grow_with_them(spark):
     assert {p for _, p in made} == {f"/src/U{u}x{s}.{x}" for u, s in ((1, 0), (2, 0), (1, 2)) for x in ("kt", "java")}
     assert made["kotlin", "/src/U1x0.kt"].count("\n") == 4 + 8 * 20 + 3 and made["java", "/src/U1x2.java"].count("\n") == 4 + 8
     assert all(len(t.split("\n")) == 8 for x in (generated.KOTLIN, generated.JAVA) for t in x.values())
+
+
+def test_linked_folders_are_skipped(spark, tmp_path):
+    for name in ("src/a/b/One.kt", "src/Two.kt", "out/Three.kt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("package p\n")
+    (tmp_path / "src/Large.kt").write_text("x" * 100)
+    plain = lambda: {r["rel_path"]: r["content"] for r in files.list_files(spark, [str(tmp_path / "src")], "kotlin", 50).collect()}
+    want = {"a/b/One.kt": b"package p\n", "Two.kt": b"package p\n"}
+    assert plain() == want
+    (tmp_path / "src/a/cycle").symlink_to(tmp_path / "src")
+    (tmp_path / "src/outside").symlink_to(tmp_path / "out")
+    (tmp_path / "src/a/Four.kt").symlink_to(tmp_path / "out/Three.kt")
+    assert plain() == want | {"a/Four.kt": b"package p\n"}
+    assert files.walk(spark, str(tmp_path / "src")) == ([str(tmp_path / x) for x in ("src", "src/a", "src/a/b")], True)
