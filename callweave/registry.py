@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from callweave.functions import evaluate, ids, predicates, text
 from callweave.operators import dispatch, rules
 from callweave.operators import events as ev
 from callweave.plans import engine, sink
-from callweave.sources import files, java, kotlin, kotlin_tree
+from callweave.sources import files, java, kotlin, kotlin_lines, kotlin_tree
 from callweave.streaming import trace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -367,14 +366,9 @@ def code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     "UNION ALL SELECT event_id, 'write', regexp_extract(line, '([a-z]\\w*) = ', 1) FROM s WHERE regexp_matches(line, '[a-z]\\w* = ')) SELECT * FROM found"
 )
 def branch_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = code_lines(spark, sf_dir).withColumn("line", text.strip_line_comment(F.col("line")))
-
-    def run(batches):
-        for batch in batches:
-            rows = [(k, *found) for k, line in zip(*(batch.column(c).to_pylist() for c in ("event_id", "line")), strict=True) for found in kotlin.line_events([line], 0)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.string(), pa.string()))], ["event_id", "kind", "shown"])
-
-    return code.mapInArrow(run, "event_id long, kind string, shown string")
+    """Events of single lines, each read as a file of its own."""
+    code = code_lines(spark, sf_dir).select("event_id", F.lit(0).alias("row"), text.strip_line_comment(F.col("line")).alias("code"))
+    return kotlin_lines.line_events(code, ["event_id"]).select("event_id", "kind", "shown")
 
 
 @query(f"WITH {CODE} SELECT event_id, regexp_extract(line, '([a-z]\\w*) = ', 1) AS name FROM code WHERE regexp_matches(line, '[a-z]\\w* = ')")

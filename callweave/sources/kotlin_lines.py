@@ -93,6 +93,12 @@ def _found(code: DataFrame, keys: list[str]) -> DataFrame:
     return code.select(*keys, "row", F.explode(F.concat(single, writes)).alias("x")).select(*keys, "row", "x.*")
 
 
+def line_events(code: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, row, rank, nth, sub, kind, shown) of lines (keys, row, code): all that stands in them, in the order of the last four."""
+    found = _conditions(code, keys).select(*keys, "row", "rank", "nth", F.posexplode("kinds").alias("sub", "kind"), "shown")
+    return found.unionByName(_found(code, keys).withColumn("sub", F.lit(0)))
+
+
 def _signature(name: Column, parameters: Column) -> Column:
     """name(types): what follows the last colon of each parameter, Any where there is no type."""
     plain = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -126,8 +132,7 @@ def events(sources: DataFrame, keys: list[str] = ("path",), include: list[str] =
     # one within another's span, or on the line that ends it, is no function of its own
     functions = functions.withColumn("covered", F.max("end").over(before)).where("covered is null or covered < row")
 
-    found = _conditions(code, keys).select(*keys, "row", "rank", "nth", F.posexplode("kinds").alias("sub", "kind"), "shown")
-    found = found.unionByName(_found(code, keys).withColumn("sub", F.lit(0)))
+    found = line_events(code, keys)
     # a function's row stands before the events of its line
     marked = found.unionByName(functions.select(*keys, "row", F.lit(-1).alias("rank"), F.struct("end", "method", "parameters").alias("function")), allowMissingColumns=True)
     order = Window.partitionBy(*keys).orderBy("row", "rank", "nth", "sub")
