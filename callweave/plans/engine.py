@@ -83,9 +83,6 @@ class Engine:
         roots = [files.resolve_path(d, c.project_dir) for d in c.src_dirs]
         return files.read_sources(self.spark, roots, language, list(c.include_patterns), list(c.exclude_patterns), c.max_file_bytes)
 
-    def _languages(self) -> list[str]:
-        return ["kotlin", "java"] if self.config.include_java else ["kotlin"]
-
     def _pruned(self, language: str) -> DataFrame:
         """Sources in a chosen package; the package is found by a column expression, so other files are never scanned."""
         found = self.sources(language).withColumn("package", files.package_of(F.col("text"), language))
@@ -97,7 +94,8 @@ class Engine:
             return self._scanned
         frames = [kotlin_events(self._pruned("kotlin"), ["root", "path"])]
         if self.config.include_java:
-            frames.append(_scan_files(self._pruned("java"), EVENT_FIELDS, lambda _, text, name: java.scan(text, name)))
+            scan = java.scan
+            frames.append(_scan_files(self._pruned("java"), EVENT_FIELDS, lambda _, text, name: scan(text, name)))
         self._scanned = ev.union_all(*frames).persist(StorageLevel.MEMORY_AND_DISK)
         return self._scanned
 
