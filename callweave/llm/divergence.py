@@ -23,6 +23,7 @@ are ignored, whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -69,8 +70,14 @@ class Trie:
 
     def __init__(self, terms: Iterable[bytes]):
         self.root = [b"", {}, None]
-        for number, term in enumerate(terms):
-            self._put(term, number)
+        collects = gc.isenabled()
+        gc.disable()  # nodes form no cycles, and the search for some takes a tenth of the time
+        try:
+            for number, term in enumerate(terms):
+                self._put(term, number)
+        finally:
+            if collects:
+                gc.enable()
 
     def _put(self, term: bytes, number: int) -> None:
         node, at, end = self.root, 0, len(term)
