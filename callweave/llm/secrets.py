@@ -10,9 +10,12 @@ Each text is a layer of bytes. A layer is scanned for secrets, then unwrapped:
   meet every place inside the run where an encoding may begin; what comes out before
   that place is noise and holds no secret;
 * lines of base64 that follow each other, as wrapped encodings do, are one run;
-* wherever decoded bytes hold a zlib or gzip stream, whatever wrapped it, its contents
-  are a layer, gzip members in a row joined. A cut stream counts as far as it goes, and
-  so does a broken one where decoded bytes begin with it.
+* wherever decoded bytes hold a zlib, gzip, bzip2, xz, lzma or zstandard stream, whatever
+  wrapped it, its contents are a layer, members in a row joined. A cut stream counts as
+  far as it goes, and so does a broken one where decoded bytes begin with it. Raw deflate
+  has no mark: it is tried where a base64 run or the contents of a stream begin;
+* decoded bytes that hold UTF-16, either byte first, are narrowed into a layer for each
+  way of pairing them, UTF-32 in two steps.
 
 Every layer is scanned as bytes, printable or not.
 
@@ -23,11 +26,11 @@ span of the outermost run that holds it.
 
 Layers shrink or are seen before, except compressed ones. Streams of which EXPANSION
 bytes are not enough to hold all that are open at once are scanned in chunks, cut where
-no pattern or encoding can go on; so a stream of any size is scanned to its end. Two
+no pattern or encoding can go on; so a stream of any size is scanned to its end. Three
 things are not exact and put the run into `unopened`, and redact() masks it whole: a
-chunk without such a place, which is cut with an overlap, and streams inside streams
-beyond NESTED bytes in one text, or four times EXPANSION open at once, which could go
-on without end.
+chunk without such a place, which is cut with an overlap; streams inside streams beyond
+NESTED bytes in one text, or four times EXPANSION open at once, which could go on
+without end; streams that ask for more than MEMORY bytes to be opened.
 
 Defined results: null and empty texts have no spans; the same secret found twice
 at one span counts once; repeated rows are scanned alike; other columns are kept.
@@ -36,13 +39,17 @@ at one span counts once; repeated rows are scanned alike; other columns are kept
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from bisect import bisect_right
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,23 +69,45 @@ _CHAR, _WRAP = "[A-Za-z0-9+/_-]", r"(?:[ \t]*(?:[\r\n]|\\[rn]))+[ \t]*"
 BASE64 = re.compile(rf"(?<!{_CHAR})(?=(?:{_CHAR}(?:{_WRAP})?){{16}}){_CHAR}+(?:{_WRAP}{_CHAR}+)*=*".encode())
 LINE = re.compile(rf"(?:^|(?<=[\r\n \t])|(?<=\\[rn])){_CHAR}+=*".encode())
 STANDARD = bytes.maketrans(b"-_", b"+/")
-#: How gzip members and zlib streams without a preset dictionary begin.
-STREAM = re.compile(b"\x1f\x8b\x08|" + b"|".join(re.escape(bytes((c, f))) for c in range(8, 128, 16) for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32), re.S)
+#: How streams begin, by first byte; zlib ones without a preset dictionary.
+MARKS = {
+    "gzip": {0x1F: rb"\x8b\x08"},
+    "bzip2": {0x42: rb"Zh[1-9](?:1AY&SY|\x17rE8P\x90)"},
+    "xz": {0xFD: rb"7zXZ\x00"},
+    "lzma": {0x5D: rb"\x00\x00[\x00-\xff][\x00-\x10](?:\xff{8}|[\x00-\xff]{5}\x00{3})"},
+    "zstd": {0x28: rb"\xb5\x2f\xfd"},
+    "zlib": {c: b"[" + b"".join(b"\\x%02x" % f for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32) + b"]" for c in range(8, 128, 16)},
+}
+#: Patterns begin with a set of bytes, which is searched much faster than alternatives.
+STREAM = re.compile(
+    b"[" + b"".join(b"\\x%02x" % c for heads in MARKS.values() for c in heads) + b"](?:"
+    + b"|".join(b"(?P<%s>%s)" % (kind.encode(), b"|".join(b"(?<=\\x%02x)%s" % head for head in heads.items())) for kind, heads in MARKS.items()) + b")",
+    re.S,
+)
+MEMBER = {kind: re.compile(b"|".join(b"\\x%02x%s" % head for head in heads.items()), re.S) for kind, heads in MARKS.items()}
+#: Twelve ASCII characters in UTF-16 or UTF-32, the least that any pattern or encoding has.
+WIDE = re.compile(rb"(?:[\t\n\r -~]\x00){12}|(?:\x00[\t\n\r -~]){12}|(?:[\t\n\r -~]\x00{3}){12}|(?:\x00{3}[\t\n\r -~]){12}")
 #: One linear-time pass finds the texts that could hold anything at all; the others are done.
 ANY = rf"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}|%[0-9A-Fa-f]{{2}}|\\[ux][0-9A-Fa-f]{{2}}|\\u\{{|\\U000|\\[\"'\\/]|(?:{_CHAR}(?:{_WRAP})?){{16}}"
-#: The same for layers: what holds none of these holds no secret and no encoding.
-INSIDE = re.compile(ANY.encode() + b"|" + STREAM.pattern)
-
+#: The same for layers: what holds none of these holds no secret and no encoding; keys and hexadecimal digits are runs of base64 too.
+INSIDE = (
+    re.compile(rf"{_CHAR}(?:(?:{_WRAP})?{_CHAR}){{15}}".encode()),
+    re.compile(rb"[pPsStTaA](?i:(?<=p)ass(?:word|wd)|(?<=s)ecret|(?<=t)oken|(?<=a)pi_?key)"),
+    re.compile(rb"[%\\](?:(?<=%)[0-9A-Fa-f]{2}|(?<=\\)(?:[ux][0-9A-Fa-f]{2}|u\{|U000|[\"'\\/]))"),
+    STREAM,
+)
 #: Levels of escapes that are layers of their own; deeper ones are decoded to their end in one pass.
 DEPTH = 16
 #: Bytes of a stream that are fed and taken at once.
 FEED = 16 << 10
+#: Bytes fed at once where what is taken cannot be bounded; memory to open a stream.
+SIP, MEMORY = 32, 128 << 20
 #: Bytes of open streams that are held at once; size and overlap of the chunks beyond; bytes of nested streams in a text.
 EXPANSION = 16 << 20
 CHUNK, OVERLAP = 1 << 20, 64 << 10
 NESTED = 1 << 30
 #: Where a chunk may end, before the last byte: a byte that is in no pattern, or a blank between words that no pattern or encoding spans.
-CUT = re.compile(rb"[^A-Za-z0-9+/_.=%:\\\"' \t\r\n-]|[g-mo-qs-zG-Z] (?=[A-Za-z0-9])", re.S)
+CUT = re.compile(rb"[^\x00A-Za-z0-9+/_.=%:\\\"' \t\r\n-]|\x00{8}|[g-mo-qs-zG-Z] (?=[A-Za-z0-9])", re.S)
 MASK = "[SECRET]"
 
 
@@ -164,7 +193,7 @@ def unpacked(layer: Layer, m: re.Match):
     for k in range(4):
         body = run[k : len(run) - ((len(run) - k) % 4 == 1)]
         data = base64.b64decode(body + b"=" * (-len(body) % 4))
-        if not _holds(data):
+        if not _worth(data):
             continue
         if len(lines) == 1 or layer.outer is not None:
             yield Layer(data, layer.span(*m.span()))
@@ -180,50 +209,115 @@ def unpacked(layer: Layer, m: re.Match):
         yield Layer(data, None, layer, pieces)
 
 
-def contents(data: bytes, at: int):
-    """What the zlib or gzip stream at a place holds, in pieces; returns the place after it and how it ended.
+def contents(data: bytes, at: int, kind: str):
+    """What the stream at a place holds, in pieces; returns the place after it and how it ended.
 
-    Members of gzip in a row are one stream. A broken or cut stream gives what comes before the break.
+    Members in a row are one stream. A broken or cut stream gives what comes before the break.
     """
-    gz = data[at] == 0x1F
+    member = _deflated if kind in ("gzip", "zlib", "raw") else _other
     while True:
-        stream, feed = zlib.decompressobj(31 if gz else 15), b""
-        while not stream.eof:
-            if not feed:
-                feed = data[at : at + FEED]
-                at += len(feed)
-            if not feed:
-                yield stream.flush()
-                return at, "cut"
-            before = stream.copy()
-            try:
+        at, how = yield from member(data, at, kind)
+        if how != "whole" or kind in ("zlib", "raw") or not MEMBER[kind].match(data, at):
+            return at, how
+
+
+def _deflated(data: bytes, at: int, kind: str):
+    stream, feed = zlib.decompressobj({"gzip": 31, "zlib": 15, "raw": -15}[kind]), b""
+    while not stream.eof:
+        if not feed:
+            feed = data[at : at + FEED]
+            at += len(feed)
+        if not feed:
+            yield stream.flush()
+            return at, "cut"
+        before = stream.copy()
+        try:
+            yield stream.decompress(feed, FEED)
+        except zlib.error:
+            for k in range(len(feed)):
+                try:
+                    yield before.decompress(feed[k : k + 1])
+                except zlib.error:
+                    return at - len(feed) + k, "broken"
+            return at, "broken"
+        feed = stream.unconsumed_tail
+    return at - len(stream.unused_data), "whole"
+
+
+def _opener(kind: str):
+    if kind == "bzip2":
+        return bz2.BZ2Decompressor()
+    if kind == "zstd":
+        return zstandard.ZstdDecompressor(max_window_size=MEMORY).decompressobj()
+    return lzma.LZMADecompressor(lzma.FORMAT_XZ if kind == "xz" else lzma.FORMAT_ALONE, memlimit=MEMORY)
+
+
+def _other(data: bytes, at: int, kind: str):
+    """As contents() does, for one member; a break loses the last SIP bytes before it."""
+    stream = _opener(kind)
+    while not stream.eof:
+        feed = data[at : at + SIP]
+        if not feed:
+            return at, "cut"
+        try:
+            if kind == "zstd":
+                yield stream.decompress(feed)
+            else:
                 yield stream.decompress(feed, FEED)
-            except zlib.error:
-                for k in range(len(feed)):
-                    try:
-                        yield before.decompress(feed[k : k + 1])
-                    except zlib.error:
-                        return at - len(feed) + k, "broken"
-                return at, "broken"
-            feed = stream.unconsumed_tail
-        at -= len(stream.unused_data)
-        if not gz or data[at : at + 3] != b"\x1f\x8b\x08":
-            return at, "whole"
+                while not stream.eof and not stream.needs_input:
+                    yield stream.decompress(b"", FEED)
+        except (OSError, EOFError, lzma.LZMAError, zstandard.ZstdError) as error:
+            return at, "large" if "memory" in str(error).lower() else "broken"
+        at += len(feed)
+    return at - len(stream.unused_data), "whole"
+
+
+def narrowed(layer: Layer):
+    """The layers of UTF-16 text that a layer holds: each pairing of its bytes, other characters as question marks."""
+    done = set()
+    for first in (0, 1):
+        data = np.frombuffer(layer.data[first:] + b"\0" * ((len(layer.data) - first) % 2), np.uint8)
+        for low in (0, 1):
+            out = np.where(data[1 - low :: 2] == 0, data[low::2], ord("?")).astype(np.uint8).tobytes()
+            if out in done or not _holds(out) and not _wide(out):
+                continue
+            done.add(out)
+            if layer.outer is not None:
+                yield Layer(out, layer.outer)
+            else:
+                yield Layer(out, None, layer, [(n, first + 2 * n, min(first + 2 * n + 2, len(layer.data))) for n in range(len(out))])
+
+
+def _wide(data: bytes) -> bool:
+    return data.count(0) > 10 and WIDE.search(data) is not None
+
+
+def _raw(data: bytes) -> bool:
+    """Whether the bytes begin as raw deflate does."""
+    try:
+        return zlib.decompressobj(-15).decompress(data[:FEED], 64) != b""
+    except zlib.error:
+        return False
+
+
+def _worth(data: bytes) -> bool:
+    """Whether decoded bytes may hold anything, streams without a mark and UTF-16 included."""
+    return _holds(data) or _wide(data) or _raw(data)
 
 
 def _holds(data: bytes) -> bool:
-    return INSIDE.search(data) is not None
+    return any(pattern.search(data) for pattern in INSIDE)
 
 
 def _spans(data: bytes) -> list[tuple[str, int, int]]:
     return base_spans(data.decode("latin-1"))
 
 
-def _cut(data: bytes) -> int:
-    """The last place where a chunk may end, 0 if there is none."""
+def _cut(data: bytes, searched: int) -> int:
+    """The last place where a chunk may end, 0 if there is none; bytes before `searched` have none."""
     for size in (1 << 12, len(data)):
         at = 0
-        for m in CUT.finditer(data, max(0, len(data) - size)):
+        for m in CUT.finditer(data, max(0, searched - 8, len(data) - size)):
             at = m.end()
         if at:
             return at
@@ -246,7 +340,7 @@ class Scan:
         """(layer, its level of escapes, streams round it, whether it is a chunk that goes on) of all that a layer holds."""
         if level <= DEPTH:
             inner = (unescaped if level < DEPTH else settled)(layer)
-            if inner is not None and _holds(inner.data):
+            if inner is not None and (_holds(inner.data) or _wide(inner.data)):
                 yield inner, level + 1, depth, cut
             if inner is not None and b"%" in layer.data and b"\\" in layer.data:
                 # bytes of a stream may look like an escape of the other kind
@@ -259,15 +353,20 @@ class Scan:
                     yield inner, 0, depth, cut and m.end() == len(layer.data)
         if layer.outer is not None or layer.parent is not None:
             at = 0
+            if _wide(layer.data):
+                for inner in narrowed(layer):
+                    yield inner, 0, depth, cut
+            if level == 0 and _raw(layer.data):
+                yield from self.stream(layer, 0, "raw", depth, cut)
             while m := STREAM.search(layer.data, at):
-                end = yield from self.stream(layer, m.start(), depth, cut)
+                end = yield from self.stream(layer, m.start(), m.lastgroup, depth, cut)
                 at = max(m.start() + 1, end)
 
-    def stream(self, layer: Layer, at: int, depth: int, cut: bool):
+    def stream(self, layer: Layer, at: int, kind: str, depth: int, cut: bool):
         """The contents of the stream at a place, if it is one, whole or in chunks; returns the place after it."""
-        pieces, end, buffer = contents(layer.data, at), None, bytearray()
+        pieces, end, buffer = contents(layer.data, at, kind), None, bytearray()
         span = layer.outer
-        whole = True
+        whole, searched = True, 0
         while end is None:
             least = len(buffer) + CHUNK if not whole else self.room + 1
             while end is None and len(buffer) < least:
@@ -286,30 +385,31 @@ class Scan:
             if whole:
                 # too large to be held: from here on in chunks
                 whole = False
-                if span is None or at:
-                    rest = contents(layer.data, at)
+                if span is None or at or kind == "raw":
+                    rest = contents(layer.data, at, kind)
                     try:
                         while True:
                             next(rest)
                     except StopIteration as stop:
                         span = layer.span(at, max(at + 1, stop.value[0]))
-                        if at and stop.value[1] == "broken":
+                        if (at or kind == "raw") and stop.value[1] == "broken":
                             return at + 1
                 if self.room < -4 * EXPANSION:
                     self.shut.add(span)
                     return len(layer.data)
-            to = _cut(buffer) if len(buffer) >= CHUNK else 0
+            to = _cut(buffer, searched) if len(buffer) >= CHUNK else 0
             if not to and len(buffer) < max(CHUNK, self.room):
+                searched = len(buffer) if len(buffer) >= CHUNK else 0
                 continue
             if not to:
                 self.shut.add(span)
-            data, buffer = bytes(buffer[: to or len(buffer)]), buffer[to or max(1, len(buffer) - OVERLAP) :]
+            data, buffer, searched = bytes(buffer[: to or len(buffer)]), buffer[to or max(1, len(buffer) - OVERLAP) :], 0
             yield from self._held(data, span, depth, True)
-        if at and how == "broken":
+        if (at or kind == "raw") and how == "broken":
             # bytes that look like a stream by chance
             return at + 1
         span = span or layer.span(at, max(at + 1, end))
-        if cut and how == "cut":
+        if cut and how == "cut" or how == "large":
             self.shut.add(span)
         if buffer:
             data = bytes(buffer)
@@ -318,7 +418,7 @@ class Scan:
         return end
 
     def _held(self, data: bytes, span: tuple[int, int], depth: int, cut: bool):
-        if _holds(data) and self.new("stream", span, data):
+        if _worth(data) and self.new("stream", span, data):
             self.room -= len(data)
             yield Layer(data, span), 0, depth + 1, cut
             self.room += len(data)

@@ -1,11 +1,14 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import time
 import urllib.parse
 import zlib
 
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -166,3 +169,59 @@ def test_eighteen_layers_of_base64():
     for _ in range(18):
         text = base64.b64encode(text.encode()).decode()
     assert secrets.scan_text(text) == ([], [("assign", 0, len(text))], 0)
+
+
+def _raw(data):
+    box = zlib.compressobj(9, zlib.DEFLATED, -15)
+    return box.compress(data) + box.flush()
+
+
+def test_streams_of_every_kind_are_opened():
+    inner = f"some words, key {KEY}, and more words".encode()
+    packers = {"raw": _raw, "bzip2": bz2.compress, "xz": lzma.compress, "lzma": lambda d: lzma.compress(d, lzma.FORMAT_ALONE), "zstd": zstandard.ZstdCompressor().compress, "zlib": zlib.compress, "gzip": gzip.compress}
+    for name, pack in packers.items():
+        for packed in (pack(inner), pack(_b64(pack(inner)).encode()), gzip.compress(pack(inner)), pack(zlib.compress(pack(inner)))):
+            text = f"é {_b64(packed)}, z"
+            assert secrets.scan_text(text) == ([], [("access", 2, len(text) - 3)], 0), name
+    for name in ("bzip2", "xz", "zstd"):
+        pack = packers[name]
+        text = _b64(b"head" + pack(b"first, ") + pack(f"see {KEY[:9]}".encode()) + pack(KEY[9:].encode()) + b" tail")
+        assert secrets.scan_text(text)[1:] == ([("access", 0, len(text))], 0), name
+        text = urllib.parse.quote(pack(inner), safe="")
+        assert any(k == "access" for k, _, _ in secrets.scan_text(f"é {text}, z")[1]), name
+
+
+def test_utf_16_inside_encodings():
+    inner = f"see é password = hunter22x, ж {KEY}"
+    for form in ("utf-16", "utf-16-le", "utf-16-be", "utf-32-le", "utf-32-be"):
+        for data in (inner.encode(form), b"x" + inner.encode(form), zlib.compress(inner.encode(form)), _raw(inner.encode(form))):
+            text = f"é {_b64(data)}, z"
+            assert secrets.scan_text(text) == ([], [("assign", 2, len(text) - 3), ("access", 2, len(text) - 3)], 0), form
+    wide = urllib.parse.quote("password=abcdef12345".encode("utf-16-le"), safe="")
+    # the last character ends with its first byte's escape or with its second one's
+    assert secrets.scan_text(f"é {wide}")[1] in ([("assign", 2, 2 + len(wide))], [("assign", 2, 2 + len(wide) - 3)])
+
+
+def test_broken_and_cut_streams_and_large_windows(monkeypatch):
+    filling = "".join(f"line {k * k * 7919 % 100_003}, words\n" for k in range(40_000))
+    for pack in (lzma.compress, zstandard.ZstdCompressor().compress):
+        packed = pack(f"key {KEY}, {filling}".encode())
+        for data in (packed[:-200], packed[: len(packed) // 2] + b"\xff" * 64):
+            assert [k for k, _, _ in secrets.scan_text(_b64(data))[1]] == ["access"]
+    packed = _b64(lzma.compress(f"key {KEY}".encode()))
+    monkeypatch.setattr(secrets, "MEMORY", 1 << 16)
+    assert secrets.scan_text(f"a {packed} b")[1:] == ([], 1)
+
+
+def test_a_stream_without_a_place_to_cut_is_searched_once():
+    began = time.perf_counter()
+    secrets.scan_text(_b64(zlib.compress(b"z" * 20_000_000)))
+    assert time.perf_counter() - began < 30
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=300))
+def test_any_bytes_end(data):
+    for text in (_b64(data), _b64(zlib.compress(data)), _b64(_raw(data)), urllib.parse.quote(data)):
+        base, spans, _ = secrets.scan_text(text)
+        assert set(base) <= set(spans) and all(0 <= a < b <= len(text) for _, a, b in spans)
