@@ -1,3 +1,4 @@
+import re
 import time
 
 import pytest
@@ -68,6 +69,13 @@ PAGES = [
     ("reader comments", f"<body><div><p>{S}</p></div><div id=comments><p>{S}</p><p>{S}</p></div></body>", S),
     ("a table", f"<body><div><p>{S}</p><table><tr><td>a<td>b<tr><td>c</table></div></body>", f"{S}\na\nb\nc"),
     ("hidden and blank parts", f"<body><div><p>{S}</p><p hidden>no</p><p style='display:none'>no</p><p>&nbsp;</p></div></body>", S),
+    ("paragraphs named for their subject", f"<article><p>{S}</p><p class='social'>On social policy much was said.</p><p class='share'>The share price rose again.</p><div class='recipe-menu'><p>Soup, then fish and cake.</p></div></article>", f"{S}\nOn social policy much was said.\nThe share price rose again.\nSoup, then fish and cake."),
+    ("the same names on links and labels", f"<article><p>{S}</p><p class='social'><a href=x>Post it on this site.</a></p><p class='share'>Share</p><div class='recipe-menu'><a href=x>Soups</a> <a href=y>Cakes</a></div><div class='site-menu'>Go to the other pages.</div></article>", S),
+    ("a short last part after a menu", f"<body><div><p>{S}</p><p>{S}</p></div><nav>x</nav><div><p>The end.</p></div></body>", f"{S}\n{S}\nThe end."),
+    ("a paragraph on the law", f"<body><div><p>{S}</p><p>Copyright 2020 law is discussed here at length.</p><p>{S}</p></div></body>", f"{S}\nCopyright 2020 law is discussed here at length.\n{S}"),
+    ("rights inside an article", f"<article><p>{S}</p><p>Copyright 2020-2023 Foo. All rights reserved</p></article>", f"{S}\nCopyright 2020-2023 Foo. All rights reserved"),
+    ("a list of links between paragraphs", f"<body><div><p>{S}</p><ul><li><a href=x>First source</a></li><li><a href=y>Second source</a></li></ul><p>{S}</p></div><ul><li><a href=z>Elsewhere</a></li></ul></body>", f"{S}\nFirst source\nSecond source\n{S}"),
+    ("deep inline elements", f"<body><div><p>{'<span class=x><em>' * 30}{S}{'</em></span>' * 30}</p><p><a href=x>{S}</a></p><p>{S}</p></div></body>", f"{S}\n{S}\n{S}"),
     ("repeated rows and ties", f"<body><div><p>{S}</p><p>{S}</p></div><nav>x</nav><div><p>{S}</p><p>{S}</p></div></body>", f"{S}\n{S}\n{S}\n{S}"),
 ]
 
@@ -77,8 +85,17 @@ def test_pages_labelled_by_hand(name, html, want):
     assert mainhtml.main_text(html) == want
 
 
-@pytest.mark.parametrize("html", ["<a " * 40_000, "<a href='x" * 20_000, "<a>" * 20_000 + "<p>x", "<b>x" * 40_000, "</x>" * 40_000, "<div>" * 20_000 + "</x>" * 20_000, "<div class=ad>" * 3_000 + "x", '<a b="' * 20_001, "<p>" * 40_000])
+@pytest.mark.parametrize("html", ["<a " * 40_000, "<a href='x" * 20_000, "<a>" * 20_000 + "<p>x", "<b>x" * 40_000, "</x>" * 40_000, "<div>" * 20_000 + "</x>" * 20_000, "<div class=ad>" * 3_000 + "x", "<form>" + "<div>x" * 20_000, "<p class=share>x. " * 20_000, "<div class=recipe-menu>" * 3_000 + "a b c.", '<a b="' * 20_001, "<p>" * 40_000, "<p>" + "a b " * 200_000 + "."])
 def test_broken_markup_takes_linear_time(html):
     began = time.perf_counter()
     mainhtml.main_text(html)
     assert time.perf_counter() - began < 2
+
+
+def test_pages_without_their_article_tags_read_alike(spark):
+    """The distribution alone finds what the mark shows, rights apart, on every given page."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    bare = re.compile(r"</?(?:article|main)\b[^>]*>")
+    for (html,) in pages:
+        marked, found = (mainhtml.main_text(h).split("\n") for h in (html, bare.sub("", html or "")))
+        assert found == [x for x in marked if not mainhtml._rights(x)]
