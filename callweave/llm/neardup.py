@@ -356,7 +356,7 @@ def components(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
-    """docs with one document of each component: the smallest doc_id, and of rows that repeat it, one."""
+    """docs with one document of each component: the smallest doc_id, and of rows that repeat it, the one of the smallest text, null last."""
     judged = materialise(components(docs, how), "judged")
     dropped = materialise(judged.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
     without = lambda rows, ids: rows.join(ids, rows["doc_id"].cast("long") == ids["__dropped"], "left_anti")
@@ -367,6 +367,11 @@ def deduplicate(docs: DataFrame, how: Settings = FIVE_WORDS) -> DataFrame:
         may_go = among(dropped)(docs["doc_id"])
         left = docs.where(~may_go).union(without(docs.where(may_go), dropped))
     again = judged.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    again = materialise(again.select(F.col("doc_id").alias("__again")), "again-ids")
     if again.isEmpty():
         return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).union(left.where("doc_id is null"))
+    # combined before the shuffle, so an id that many rows repeat meets as one row a partition
+    may_repeat = among(again)(left["doc_id"])
+    order = F.struct(left["text"].isNull(), left["text"], F.hash(*(left[f.name] for f in left.schema if "map<" not in f.dataType.simpleString())))
+    one = left.where(may_repeat).groupBy("doc_id").agg(F.min_by(F.struct(*(left[c] for c in left.columns)), order).alias("__row"))
+    return left.where(~may_repeat).union(one.select("__row.*"))

@@ -85,3 +85,12 @@ def test_deduplicate_by_broadcast_and_by_shuffle(spark, monkeypatch, rows):
     kept = neardup.deduplicate(prepare(spark).createDataFrame([(*r, "k") for r in corpus_rows], "doc_id long, text string, kept string"), neardup.THREE_WORDS)
     want = brute([r for r in corpus_rows if r != (0, "again here")])
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted([*(str(d) for d, c in want.items() if d == c), "None", "None"])
+
+
+def test_of_rows_that_repeat_an_id_the_smallest_text_stays(spark):
+    rows = [(1, "b one two three", "x"), (1, "a four five six", "y"), (1, None, "z"), (2, None, "x"), (2, "c seven eight", "y"), (3, "alone here now", "x"), (None, "n", "x"), (None, "n", "x")]
+    for columns in ("doc_id long, text string, kept string", "doc_id int, text string, `__again` string"):
+        docs = prepare(spark).createDataFrame([*rows, *[(4, "many many", "x")] * 50], columns).repartition(4)
+        kept = neardup.deduplicate(docs)
+        assert kept.schema.names == docs.schema.names
+        assert sorted((str(r[0]), r[1]) for r in kept.collect()) == sorted([("1", "a four five six"), ("2", "c seven eight"), ("3", "alone here now"), ("4", "many many"), ("None", "n"), ("None", "n")])
