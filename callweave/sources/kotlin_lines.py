@@ -1,16 +1,14 @@
-"""Kotlin events over a table of files, inside the JVM: spans from running depths, lines joined to the spans that hold them.
-
-1. Files become lines, lines the braces that stand open after them.
-2. A span ends where depth falls below that of its first line. A fall is told under
-   each depth it passes, so of one depth beginnings and ends take turns and the next
-   end at a beginning's depth is its own.
-3. Conditions may go on over lines. Code is cut behind each parenthesis; at one depth
-   of parentheses openings and closings take turns too, and the cuts between the two
-   are joined.
+"""Kotlin events over a table of files, inside the JVM and without a shuffle: each file's lines are an array.
+
+1. Lines that change the depth of braces or begin a class or function are folded with
+   the spans that are open: a fall of depth ends those that stand deeper.
+2. Each function takes its own lines along, so all later work is on functions.
+3. Conditions may go on over lines. A function's code is cut behind each parenthesis
+   and folded with the parentheses that are open; what lies between two is joined.
 4. Patterns find the other events line by line.
 
-Rows are those of kotlin.scan(); windows hold one file each, which the size limit of
-the listing bounds.
+Rows are those of kotlin.scan(). Only idx, the number of an event in its file, takes a
+window; where it is not asked for, nothing is sorted.
 """
 
 from __future__ import annotations
@@ -28,23 +26,6 @@ def _count(text: Column, sign: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
 
 
-def _levels(rows: DataFrame, keys: list[str], depth: str, order: list[str]) -> DataFrame:
-    """(keys, level, order): where depth falls, once for each level it leaves."""
-    by = Window.partitionBy(*keys).orderBy(*order)
-    fell = rows.withColumn("before", F.coalesce(F.lag(depth).over(by), F.lit(0))).where(F.col(depth) < F.col("before"))
-    return fell.select(*keys, F.explode(F.sequence(F.col(depth) + 1, F.col("before"))).alias("level"), *order)
-
-
-def _until(begins: DataFrame, falls: DataFrame, keys: list[str]) -> DataFrame:
-    """begins (keys, row, depth, ..) with `end`, the row of the next fall below its depth, null if none comes."""
-    by = Window.partitionBy(*keys, "level").orderBy(F.col("row").desc(), F.col("fall").asc()).rowsBetween(Window.unboundedPreceding, 0)
-    own = [c for c in begins.columns if c not in (*keys, "row", "depth")]
-    both = begins.select(*keys, "row", F.col("depth").alias("level"), F.lit(False).alias("fall"), F.struct("depth", *own).alias("of"))
-    both = both.unionByName(falls.select(*keys, "row", "level", F.lit(True).alias("fall")), allowMissingColumns=True)
-    ended = both.withColumn("end", F.last(F.when(F.col("fall"), F.col("row")), ignorenulls=True).over(by))
-    return ended.where(~F.col("fall")).select(*keys, "row", "end", "of.*")
-
-
 def _respaced(text: Column) -> Column:
     """Runs of white space as one space, or none beside punctuation and at the ends."""
     for pattern, put in ((r"(?U)^\s+|\s+$|(?<=[(\[])\s+|\s+(?=[.,)\]:;])", ""), (r"(?U)\s+", " ")):
@@ -52,51 +33,128 @@ def _respaced(text: Column) -> Column:
     return text
 
 
-def _conditions(code: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, row, rank, nth, kinds, shown) of ifs and whens with a text between their parentheses."""
-    cut = code.select(*keys, "row", F.posexplode(F.split("code", r"(?<=[()])", -1)).alias("nth", "piece")).where("piece <> ''")
-    sign = F.right("piece", F.lit(1))
-    step = F.when(sign == "(", 1).when(sign == ")", -1).otherwise(0)
-    by = Window.partitionBy(*keys).orderBy("row", "nth")
-    cut = cut.withColumns({"at": F.row_number().over(by), "step": step, "depth": F.sum(step).over(by.rowsBetween(Window.unboundedPreceding, 0))})
-    level = Window.partitionBy(*keys, "level").orderBy("at")
-    signs = cut.where("step <> 0").withColumn("level", F.when(F.col("step") > 0, F.col("depth")).otherwise(F.col("depth") + 1)).withColumn("close", F.lead("at").over(level))
-    kinds = F.when(F.col("piece").rlike(kotlin.IF.pattern + "$"), F.array(F.lit("if-true"), F.lit("if-false"))).when(F.col("piece").rlike(kotlin.WHEN.pattern + "$"), F.array(F.lit("switch")))
-    opened = signs.where("step > 0 and close is not null").withColumn("kinds", kinds).where("kinds is not null")
-    inside = opened.select(*keys, "row", "nth", "kinds", "close", F.explode(F.sequence(F.col("at") + 1, F.col("close"))).alias("at"))
-    parts = inside.join(cut.select(*keys, "at", "piece"), [*keys, "at"])
-    piece = F.when(F.col("at") == F.col("close"), F.substring("piece", F.lit(1), F.length("piece") - 1)).otherwise(F.col("piece"))
-    texts = parts.groupBy(*keys, "row", "nth", "kinds").agg(F.array_sort(F.collect_list(F.struct("at", piece.alias("piece")))).alias("parts"))
-    shown = _respaced(F.array_join(F.transform("parts", lambda x: x["piece"]), ""))
-    return texts.select(*keys, "row", F.size("kinds").alias("rank"), "nth", "kinds", shown.alias("shown")).where("shown <> ''").withColumn("rank", F.when(F.col("rank") == 2, 0).otherwise(1))
-
-
-def _found(code: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, row, rank, nth, kind, shown) of what patterns find in a line."""
-    line = F.col("code")
+def _from(values: Column, first: Column, last: Column) -> Column:
+    """Elements first to last, one at a time; slice() would copy the whole array for each part of it."""
+    return F.transform(F.sequence(first, last), lambda k: F.element_at(values, k))
+
+
+def _openers(piece: Column) -> Column:
+    """The event kinds of a condition that opens at the end of a piece of code, null if none does."""
+    kinds = F.when(piece.rlike(kotlin.IF.pattern + "$"), F.array(F.lit("if-true"), F.lit("if-false")))
+    return kinds.when(piece.rlike(kotlin.WHEN.pattern + "$"), F.array(F.lit("switch")))
+
+
+def _asked(lines: Column) -> Column:
+    """Whether a condition begins in any of the lines."""
+    return F.exists(lines, lambda c: c.rlike(f"{kotlin.IF.pattern}|{kotlin.WHEN.pattern}"))
+
+
+def _still_open(code: Column) -> Column:
+    """How many parentheses of a text no later one closes."""
+    step = lambda n, c: F.when(c == "(", n + 1).when(c == ")", F.greatest(n - 1, F.lit(0))).otherwise(n)
+    return F.aggregate(F.split(F.regexp_replace(code, "[^()]", ""), ""), F.lit(0), step)
+
+
+def _pieces(lines: Column) -> Column:
+    """The code of lines cut behind each parenthesis, with line and place in it."""
+    cut = lambda code, row: F.transform(F.split(code, r"(?<=[()])", -1), lambda p, nth: F.struct(row.alias("row"), nth.alias("nth"), p.alias("piece")))
+    return F.filter(F.flatten(F.transform(lines, cut)), lambda x: x["piece"] != "")
+
+
+def _pairs(pieces: Column) -> Column:
+    """(at, close) of conditions among pieces, by a fold that holds the places of open parentheses, the last one first."""
+    none = F.struct(F.array().cast("array<int>").alias("open"), F.array().cast("array<struct<at:int,close:int>>").alias("done"))
+    signs = F.transform(pieces, lambda x, at: F.struct(at.alias("at"), F.right(x["piece"], F.lit(1)).alias("sign"), (_openers(x["piece"]).isNotNull()).alias("asked")))
+    signs = F.filter(signs, lambda x: x["sign"].isin("(", ")"))
+
+    def step(now: Column, x: Column) -> Column:
+        # an opening that nobody asked about is held as its place below zero
+        held, top = F.when(x["asked"], x["at"]).otherwise(-1 - x["at"]), F.try_element_at(now["open"], F.lit(1))
+        opens = F.when(x["sign"] == "(", F.array_prepend(now["open"], held)).otherwise(F.slice(now["open"], F.lit(2), F.greatest(F.size(now["open"]) - 1, F.lit(0))))
+        done = F.when((x["sign"] == ")") & (top >= 0), F.array_append(now["done"], F.struct(top.alias("at"), x["at"].alias("close")))).otherwise(now["done"])
+        return F.struct(opens.alias("open"), done.alias("done"))
+
+    return F.aggregate(signs, none, step, lambda x: x["done"])
+
+
+def _condition(pieces: Column, pair: Column) -> Column:
+    """(row, nth, kinds, shown) of one pair."""
+    first = F.element_at(pieces, pair["at"] + 1)
+    raw = F.array_join(F.transform(_from(pieces, pair["at"] + 2, pair["close"] + 1), lambda x: x["piece"]), "")
+    return F.struct(first["row"].alias("row"), first["nth"].alias("nth"), _openers(first["piece"]).alias("kinds"), _respaced(F.left(raw, F.length(raw) - 1)).alias("shown"))
+
+
+def _told(conditions: Column) -> Column:
+    """Events of conditions that have a text."""
+    event = lambda c: F.transform(c["kinds"], lambda kind, sub: F.struct(c["row"].alias("row"), F.when(F.size(c["kinds"]) == 2, 0).otherwise(1).alias("rank"), c["nth"].alias("nth"), sub.alias("sub"), kind.alias("kind"), c["shown"].alias("shown")))
+    return F.flatten(F.transform(F.filter(conditions, lambda c: c["shown"] != ""), event))
+
+
+def _found(line: Column, row: Column) -> Column:
+    """(row, rank, nth, sub, kind, shown) of what patterns find in a line."""
     label = F.trim(F.regexp_replace(line, r"(?U)^\s+|\s+$", ""))
     named = F.when(F.instr(label, "->") > 1, F.regexp_replace(F.substring_index(label, "->", 1), r"(?U)\s+$", "")).otherwise(label)
-    some = lambda test, rank, kind, shown: F.when(test, F.struct(F.lit(rank).alias("rank"), F.lit(0).alias("nth"), F.lit(kind).alias("kind"), shown.alias("shown")))
-    none = F.lit(None).cast("string")
-    writes = F.transform(
-        F.regexp_extract_all(line, F.lit(kotlin.WRITE.pattern), F.lit(1)),
-        lambda name, k: F.struct(F.lit(6).alias("rank"), k.alias("nth"), F.lit("write").alias("kind"), name.alias("shown")),
-    )
+    told = lambda rank, nth, kind, shown: F.struct(row.alias("row"), F.lit(rank).alias("rank"), nth.alias("nth"), F.lit(0).alias("sub"), F.lit(kind).alias("kind"), shown.alias("shown"))
+    none, once = F.lit(None).cast("string"), F.lit(0)
     single = F.array_compact(
         F.array(
-            some(line.rlike(kotlin.BARE_WHEN.pattern), 2, "switch", none),
-            some(line.rlike(kotlin.ENTRY.pattern), 3, "when-branch", named),
-            some(line.rlike(kotlin.RETURN.pattern), 4, "return", none),
-            some(line.rlike(kotlin.THROW.pattern), 5, "throw", F.regexp_replace(F.regexp_extract(line, kotlin.THROW.pattern, 1), r"(?U)^\s+|\s+$", "")),
+            F.when(line.rlike(kotlin.BARE_WHEN.pattern), told(2, once, "switch", none)),
+            F.when(line.rlike(kotlin.ENTRY.pattern), told(3, once, "when-branch", named)),
+            F.when(line.rlike(kotlin.RETURN.pattern), told(4, once, "return", none)),
+            F.when(line.rlike(kotlin.THROW.pattern), told(5, once, "throw", F.regexp_replace(F.regexp_extract(line, kotlin.THROW.pattern, 1), r"(?U)^\s+|\s+$", ""))),
         )
     )
-    return code.select(*keys, "row", F.explode(F.concat(single, writes)).alias("x")).select(*keys, "row", "x.*")
+    writes = F.transform(F.regexp_extract_all(line, F.lit(kotlin.WRITE.pattern), F.lit(1)), lambda name, k: told(6, k, "write", name))
+    return F.concat(single, writes)
+
+
+def _all_found(rows: DataFrame, lines: str, reach: str) -> DataFrame:
+    """rows with `x`, one for each event in `lines` (row, rank, nth, sub, kind, shown); conditions may end in `reach`, which begins with these lines."""
+    rows = rows.withColumn("__pieces", F.when(_asked(F.col(lines)), _pieces(F.col(reach))))
+    rows = rows.withColumn("__pairs", _pairs(F.col("__pieces")))
+    told = _told(F.filter(F.transform("__pairs", lambda pair: _condition(F.col("__pieces"), pair)), lambda c: c["row"] < F.size(lines)))
+    none = F.array().cast("array<struct<row:int,rank:int,nth:int,sub:int,kind:string,shown:string>>")
+    found = F.concat(F.coalesce(told, none), F.flatten(F.transform(lines, _found)))
+    return rows.withColumn("x", F.explode(found)).drop("__pieces", "__pairs")
 
 
 def line_events(code: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, row, rank, nth, sub, kind, shown) of lines (keys, row, code): all that stands in them, in the order of the last four."""
-    found = _conditions(code, keys).select(*keys, "row", "rank", "nth", F.posexplode("kinds").alias("sub", "kind"), "shown")
-    return found.unionByName(_found(code, keys).withColumn("sub", F.lit(0)))
+    files_of = code.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("row", "code"))).alias("__all"))
+    lines = files_of.select(*keys, F.transform("__all", lambda x: x["row"]).alias("__rows"), F.transform("__all", lambda x: x["code"]).alias("__lines"))
+    found = _all_found(lines, "__lines", "__lines")
+    return found.select(*keys, F.element_at("__rows", F.col("x.row") + 1).alias("row"), "x.rank", "x.nth", "x.sub", "x.kind", "x.shown")
+
+
+SPAN = "row:int,end:int,class:string,method:string,parameters:string"
+
+
+def _spans(codes: Column) -> Column:
+    """(row, end, class, method, parameters) of classes and functions in order; end is the first later line of smaller depth, null if none comes."""
+    part = lambda c, p, k: F.when(c.rlike(p.pattern), F.regexp_extract(c, p.pattern, k))
+    mark = lambda c, row: F.struct(row.alias("row"), (_count(c, "{") - _count(c, "}")).alias("step"), part(c, kotlin.CLASS, 1).alias("class"), part(c, kotlin.FUNCTION, 1).alias("method"), part(c, kotlin.FUNCTION, 2).alias("parameters"))
+    begins = lambda m: m["class"].isNotNull() | m["method"].isNotNull()
+    marks = F.filter(F.transform(codes, mark), lambda m: (m["step"] != 0) | begins(m))
+    ended = lambda o, end: F.struct(o["row"].alias("row"), end.alias("end"), o["class"].alias("class"), o["method"].alias("method"), o["parameters"].alias("parameters"))
+    none = F.struct(F.lit(0).alias("depth"), F.array().cast(f"array<struct<depth:int,{SPAN.replace('end:int,', '')}>>").alias("open"), F.array().cast(f"array<struct<{SPAN}>>").alias("done"))
+
+    def step(now: Column, m: Column) -> Column:
+        depth = now["depth"] + m["step"]
+        opens = F.when(m["step"] < 0, F.filter(now["open"], lambda o: o["depth"] <= depth)).otherwise(now["open"])
+        own = F.struct(depth.alias("depth"), m["row"].alias("row"), m["class"].alias("class"), m["method"].alias("method"), m["parameters"].alias("parameters"))
+        over = F.filter(now["open"], lambda o: o["depth"] > depth)
+        done = F.when((m["step"] < 0) & F.exists(now["open"], lambda o: o["depth"] > depth), F.concat(now["done"], F.transform(over, lambda o: ended(o, m["row"])))).otherwise(now["done"])
+        return F.struct(depth.alias("depth"), F.when(begins(m), F.array_append(opens, own)).otherwise(opens).alias("open"), done.alias("done"))
+
+    rest = lambda now: F.transform(now["open"], lambda o: ended(o, F.lit(None).cast("int")))
+    return F.array_sort(F.aggregate(marks, none, step, lambda now: F.concat(now["done"], rest(now))))
+
+
+def _outermost(functions: Column) -> Column:
+    """Functions that do not begin in another's span or on the line that ends it."""
+    none = F.struct(F.lit(-1).alias("last"), F.array().cast(f"array<struct<{SPAN}>>").alias("kept"))
+    step = lambda now, f: F.struct(F.greatest(now["last"], f["end"]).alias("last"), F.when(now["last"] < f["row"], F.array_append(now["kept"], f)).otherwise(now["kept"]).alias("kept"))
+    return F.aggregate(functions, none, step, lambda now: now["kept"])
 
 
 def _signature(name: Column, parameters: Column) -> Column:
@@ -116,40 +174,36 @@ def events(sources: DataFrame, keys: list[str] = ("path",), include: list[str] =
     chosen = chosen.where(~begins(exclude)) if exclude else chosen
     top = F.concat(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", ""), F.lit("Kt"))
     # a last line that is empty holds nothing either way
-    lines = chosen.select(*keys, F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("row", "line"))
-    code = lines.select(*keys, "row", F.substring_index("line", "//", 1).alias("code"))
-    upto = Window.partitionBy(*keys).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    code = code.withColumn("depth", F.sum(_count(F.col("code"), "{") - _count(F.col("code"), "}")).over(upto))
-    falls = _levels(code, keys, "depth", ["row"])
-
-    part = lambda p, k: F.regexp_extract("code", p.pattern, k)
-    classes = _until(code.where(F.col("code").rlike(kotlin.CLASS.pattern)).select(*keys, "row", "depth", part(kotlin.CLASS, 1).alias("name")), falls, keys)
-    held = classes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("row", "name", "end"))).alias("classes"))
-    heads = code.where(F.col("code").rlike(kotlin.FUNCTION.pattern)).select(*keys, "row", "depth", part(kotlin.FUNCTION, 1).alias("method"), part(kotlin.FUNCTION, 2).alias("parameters"))
-    last = F.coalesce("end", F.lit(2**31 - 1))
-    before = Window.partitionBy(*keys).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    functions = _until(heads, falls, keys).withColumn("end", last)
-    # one within another's span, or on the line that ends it, is no function of its own
-    functions = functions.withColumn("covered", F.max("end").over(before)).where("covered is null or covered < row")
-
-    found = line_events(code, keys)
-    # a function's row stands before the events of its line
-    marked = found.unionByName(functions.select(*keys, "row", F.lit(-1).alias("rank"), F.struct("end", "method", "parameters").alias("function")), allowMissingColumns=True)
-    order = Window.partitionBy(*keys).orderBy("row", "rank", "nth", "sub")
-    marked = marked.withColumn("function", F.last("function", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = marked.where("rank >= 0 and row <= function.end").withColumn("idx", F.row_number().over(order).cast("bigint") - 1)
-    named = inside.join(held, keys, "left").join(chosen.select(*keys, package.alias("package"), top.alias("top")), keys)
+    codes = F.transform(F.split("text", r"\r\n|\r|\n"), lambda line: F.substring_index(line, "//", 1))
+    spans = chosen.select(*keys, package.alias("package"), top.alias("top"), codes.alias("codes")).withColumn("spans", _spans(F.col("codes")))
+    last = F.size("codes") - 1
+    heads = F.filter("spans", lambda x: x["method"].isNotNull())
+    heads = F.transform(heads, lambda f: f.withField("end", F.coalesce(f["end"], last)))
+    spans = spans.withColumns({"heads": _outermost(heads), "classes": F.filter("spans", lambda x: x["class"].isNotNull())})
+
+    def taken(f: Column) -> Column:
+        lines = _from(F.col("codes"), f["row"] + 1, f["end"] + 1)
+        # a condition that the function's last line leaves open may end anywhere after it
+        opens = (f["end"] < last) & _asked(lines) & (_still_open(F.array_join(lines, "")) > 0)
+        rest = F.when(opens, _from(F.col("codes"), f["end"] + 2, last + 1)).otherwise(F.array().cast("array<string>"))
+        around = F.filter("classes", lambda c: (c["row"] <= f["end"]) & (c["end"].isNull() | (f["row"] < c["end"])))
+        return F.struct(f["row"].alias("first"), f["method"].alias("method"), f["parameters"].alias("parameters"), lines.alias("lines"), rest.alias("rest"), around.alias("classes"))
+
+    each = spans.select(*keys, "package", "top", F.explode(F.transform("heads", taken)).alias("f"))
+    each = each.select(*keys, "package", "top", "f.*", _signature(F.col("f.method"), F.col("f.parameters")).alias("signature"))
+    found = _all_found(each.withColumn("reach", F.concat("lines", "rest")), "lines", "reach").withColumn("row", F.col("first") + F.col("x.row"))
     around = F.filter("classes", lambda c: (c["row"] <= F.col("row")) & (c["end"].isNull() | (F.col("row") < c["end"])))
-    owner = F.coalesce(F.nullif(F.array_join(F.transform(around, lambda c: c["name"]), "$"), F.lit("")), "top")
+    owner = F.coalesce(F.nullif(F.array_join(F.transform(around, lambda c: c["class"]), "$"), F.lit("")), "top")
     fqcn = F.when(F.col("package") != "", F.concat("package", F.lit("."), owner)).otherwise(owner)
-    return named.select(
+    order = Window.partitionBy(*keys).orderBy("row", "x.rank", "x.nth", "x.sub")
+    return found.withColumn("idx", F.row_number().over(order).cast("bigint") - 1).select(
         F.lit("kotlin").alias("language"),
         fqcn.alias("fqcn"),
-        F.col("function.method").alias("method"),
-        _signature(F.col("function.method"), F.col("function.parameters")).alias("signature"),
-        "kind",
+        "method",
+        "signature",
+        "x.kind",
         (F.col("row") + 1).cast("int").alias("line"),
-        F.col("shown").alias("condition_text"),
+        F.col("x.shown").alias("condition_text"),
         *keys,
         "idx",
     )

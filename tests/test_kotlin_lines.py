@@ -41,3 +41,24 @@ def test_packages_and_plan(spark):
     assert {r["path"] for r in kotlin_lines.events(frame, exclude=["a.b"]).collect()} == {"/b.kt"}
     plan = kotlin_lines.events(frame)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_events_without_their_number_need_no_shuffle(spark):
+    frame = spark.createDataFrame([("/a.kt", fixtures.KOTLIN)], "path string, text string")
+    plan = kotlin_lines.events(frame).drop("idx")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_conditions_end_anywhere_after_their_function(spark):
+    text = "fun a() {\n  if (b(\n}\nclass C {\n  )) x\n  fun d() = when (e)\n}\n"
+    got = sorted((x["idx"], *(x[c] for c in kotlin_lines.FIELDS)) for x in kotlin_lines.events(spark.createDataFrame([("/s/A.kt", text)], "path string, text string")).collect())
+    assert got == [(k, *e) for k, e in enumerate(kotlin.scan(text, "A.kt"))] and "b(}class C {)" in {e[-1] for e in got}
+
+
+def test_java_files_of_other_packages_are_not_read_whole(monkeypatch):
+    from callweave.sources import java
+
+    text = "// package no;\npackage a . b;\nclass C { int m() { return 1; } }"
+    assert [e[1] for e in java.scan(text, "C.java", ["a.b"])] == ["a.b.C"]
+    monkeypatch.setattr(java, "Source", None)
+    assert list(java.scan(text, "C.java", ["a.c"])) == []
