@@ -174,3 +174,13 @@ def test_linked_folders_are_skipped(spark, tmp_path):
     (tmp_path / "src/a/Four.kt").symlink_to(tmp_path / "out/Three.kt")
     assert plain() == want | {"a/Four.kt": b"package p\n"}
     assert files.walk(spark, str(tmp_path / "src")) == ([str(tmp_path / x) for x in ("src", "src/a", "src/a/b")], True)
+
+
+def test_older_mode_reads_no_further_than_the_package(monkeypatch):
+    from callweave.sources import kotlin_tree, tokens
+
+    assert next(tokens.tokens("/* x */ \n\n package")) == ("name", "package", 11, 3)
+    text = "package a.b; // c\nfun f() { if (x) y() }"
+    assert [r[:3] for r in kotlin_tree.legacy_rules(text, "F.kt", "a.b")] == [("a.b.FKt", "f", k) for k in ("enter", "exit", "if-true", "if-false")]
+    monkeypatch.setattr(kotlin_tree, "Source", None)
+    assert list(kotlin_tree.legacy_rules(text, "F.kt", "a.c")) == []
