@@ -153,3 +153,23 @@ def test_closure_of_a_chain_a_fan_and_a_cycle(spark):
     assert got.count() == got.distinct().count() == 200 * 201 // 2 + 10_000 * 3 + 3 + 9
     assert got.where("type = 'c0'").count() == 200 and got.where("type = 'f77'").count() == 3
     assert {tuple(r) for r in got.where("type = 'x'").collect()} == {("x", "x"), ("x", "y"), ("x", "z")}
+
+
+def test_forms_by_shape_are_those_of_each_text(spark):
+    import random
+
+    from callweave.functions import predicates
+
+    r = random.Random(3)
+    bits = ["a1", "b", "x.y2", "12", "-7", "3.50", ".5", "007", '"q 10"', "'9'", "LIM_4", "==", "==", "!=", "instanceof", "T10", "p.T3", "&&", "||", "(", ")", " ", "f5(6)", "c[1]", "true", "0", "100"]
+    texts = [" ".join(r.choice(bits) for _ in range(r.randint(0, 9))) for _ in range(1500)] + ["a == 1", "a == 22 && b2 == 'x0'", "", " ", "10", "a10 == 0 || (b == 100 && c != 20)"]
+    frame = spark.createDataFrame([(t,) for t in set(texts)], "condition_text string")
+    for evaluator, strict in ((predicates.EVALUATOR, False), ("my0.E10", True)):
+        got = predicates.with_forms(frame, strict, evaluator)
+        want = predicates.condition_forms(frame, strict, evaluator)
+        order = want.columns
+        assert sorted(map(tuple, got.select(order).collect())) == sorted(map(tuple, want.collect()))
+    few = predicates.with_forms(spark.range(1000).selectExpr("'a' || id || ' == ' || id as condition_text"), few=True)
+    assert few.count() == 1000
+    shapes = predicates.condition_forms(spark.range(1000).selectExpr("regexp_replace('a' || id || ' == ' || id, '[0-9]+', '0') as condition_text"))
+    assert shapes.count() == 1
