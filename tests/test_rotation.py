@@ -56,3 +56,10 @@ def test_one_shard_runs_in_many_tasks_without_python(spark):
     assert got.groupBy("rotation").count().where("count <> 10").count() == 0
     numbers = rotation.numbered(rows.select("shard", "place", F.lit(100).cast("bigint").alias("bytes")), ["shard"], ["place"])
     assert numbers.rdd.getNumPartitions() > 1 or spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_texts_go_along_and_are_not_joined(spark):
+    got = dispatch.rotated(rules(spark, [(k % 3, k, 50 + k % 90) for k in range(400)]), 10, 500, 3)
+    above, union, _ = got._jdf.queryExecution().executedPlan().toString().partition("Union")
+    assert union and "Join" not in above
+    assert all(len(r["rule_text"]) + 2 == r["bytes"] == 50 + (3 * r["seq"] + r["shard"]) % 90 for r in got.collect())
