@@ -73,3 +73,38 @@ def test_probability_is_exact_beyond_64_bit_products():
 
 def test_empty_table(spark):
     assert divergence.audit(prepare(spark).createDataFrame([], "text string, lang string, source string")).collect() == []
+
+
+def test_long_texts_many_groups_and_odd_bytes_are_counted_piece_by_piece(spark, monkeypatch):
+    for name, value in (("LEAVES", 9), ("COUNTERS", 12), ("PIECE", 40), ("TEXTS", 3), ("PIECES", 2)):
+        monkeypatch.setattr(divergence, name, value)
+    r = random.Random(2)
+    rows = [(" ".join(r.choice("aBcé日") * r.randint(1, 4) for _ in range(r.choice([0, 3, 60]))), r.choice("xy"), f"s{r.randint(0, 20)}") for _ in range(120)]
+    rows += [("q" * 100 + " 1 " + "q" * 100, "x", "s1"), (" " * 200, "x", "blank"), ("[É]\x7f@`{|A" * 9, "y", "s2"), (None, "y", None), ("", "", "")]
+    got = divergence.audit(prepare(spark).createDataFrame(rows, "text string, lang string, source string").repartition(2))
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+
+
+def test_terms_below_one_prefix_split_a_node():
+    words = [b"a" * k for k in range(1, 400)] + [b"aaab%d" % k for k in range(500)] + ["日".encode(), b"", b"ab"]
+    random.Random(4).shuffle(words)
+    trie = divergence.Trie(words)
+    assert [t for t, _ in trie.walk()] == sorted(words)
+    assert any(isinstance(node, tuple) for node in trie.stems.values())
+
+
+def test_a_trie_costs_little_more_than_sorting_its_terms():
+    from time import process_time
+
+    r = random.Random(6)
+    words = list({bytes(r.choices(b"abcdefghijklmnopqrstuvwxyz", k=r.randint(4, 9))) for _ in range(150_000)})
+
+    def least(job):
+        took = []
+        for _ in range(3):
+            began = process_time()
+            job()
+            took.append(process_time() - began)
+        return min(took)
+
+    assert least(lambda: list(divergence.Trie(words).walk())) < 6 * least(lambda: sorted(words))
